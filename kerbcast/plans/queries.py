@@ -20,10 +20,10 @@ from kerbcast.operators import (
 )
 from kerbcast.plans import scoring, training
 from kerbcast.plans.demand_build import build_demand
-from kerbcast.plans.tables import Tables
+from kerbcast.plans.tables import DRIFT_FEATURES, Tables
 from kerbcast.schemas import (
-    ANOMALY_FEATURES, CALENDAR_FEATURES, COUNT, FARE_FEATURES, FARE_TREE_FEATURES, FULL_FEATURES,
-    HOUR_TS, PICKUP, SEQUENCE_FEATURES, WEATHER, ZONE,
+    ANOMALY_FEATURES, CALENDAR_FEATURES, COUNT, FARE_FEATURES, FULL_FEATURES,
+    HOUR_TS, PICKUP, WEATHER, ZONE,
 )
 from kerbcast.session import fresh_path
 from kerbcast.sources import readers, writers
@@ -32,7 +32,6 @@ from kerbcast.streaming import hourly
 Query = Callable[[Tables], DataFrame]
 REGISTRY: dict[str, Query] = {}
 CELL = [ZONE, HOUR_TS]
-DRIFT_FEATURES = ["pickup_hour", "pickup_dow", "temperature_2m", "precipitation", "trip_count", "lag_24h"]
 
 
 def query(fn: Query) -> Query:
@@ -705,11 +704,8 @@ def standardize(t: Tables) -> DataFrame:
 
 
 def _conformal(t: Tables) -> tuple[DataFrame, DataFrame]:
-    parts = splits.with_three_way_split(t.demand)
-    fitting = parts.where(F.col("split") == "train")
-    scored = baselines.historical_mean(fitting, parts.where(F.col("split") != "train"))
-    calibration = scored.where(F.col("split") == "calibration")
-    return calibration, scored.where(F.col("split") == "test")
+    part = F.col("split")
+    return t.calibrated.where(part == "calibration"), t.calibrated.where(part == "test")
 
 
 @query
@@ -754,22 +750,16 @@ def mutual_information(t: Tables) -> DataFrame:
 
 # --- drift -----------------------------------------------------------------------------------------
 
-def _drift_rows(t: Tables) -> tuple[DataFrame, DataFrame]:
-    rows = splits.with_split(t.lagged)
-    return rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
-
-
 @query
 def feature_baseline(t: Tables) -> DataFrame:
-    train, _ = _drift_rows(t)
+    train = t.lagged.where(F.col("split") == "train")
     found = drift.feature_baseline(train, [*DRIFT_FEATURES, ZONE], {ZONE})
     return found.select("feature", "n", F.posexplode("breakpoints").alias("decile", "breakpoint"))
 
 
 @query
 def feature_psi(t: Tables) -> DataFrame:
-    train, test = _drift_rows(t)
-    return drift.feature_psi(test, drift.feature_baseline(train, DRIFT_FEATURES), DRIFT_FEATURES)
+    return drift.feature_psi(t.lagged.where(F.col("split") == "test"), t.drift_baseline, DRIFT_FEATURES)
 
 
 @query
@@ -779,8 +769,7 @@ def drifted_features(t: Tables) -> DataFrame:
 
 @query
 def recent_drift(t: Tables) -> DataFrame:
-    baseline = drift.feature_baseline(t.train, [*FULL_FEATURES[:6], "is_airport"], {ZONE})
-    report = drift.drift_report(t.history, baseline)
+    report = drift.drift_report(t.history, t.drift_baseline)
     return report.select(
         "rows_analyzed", F.size("features_checked").alias("n_checked"),
         F.concat_ws(",", "drifted_features").alias("drifted"),

@@ -15,15 +15,18 @@ from kerbcast.functions.timeparts import epoch_hours, epoch_micros
 from kerbcast.operators import baselines
 from kerbcast.operators.cleaning import clean_trips
 from kerbcast.operators.demand import with_filled_weather
+from kerbcast.operators.drift import feature_baseline
 from kerbcast.operators.lags import time_lags
 from kerbcast.operators.residuals import mae, mape
-from kerbcast.operators.splits import with_split
+from kerbcast.operators.splits import with_split, with_three_way_split
 from kerbcast.plans import training
 from kerbcast.plans.demand_build import build_demand
 from kerbcast.schemas import COUNT, HOUR_TS, PICKUP
 from kerbcast.session import fresh_path, written
 from kerbcast.sources import readers, star_tables, writers
 
+DRIFT_FEATURES = ["pickup_hour", "pickup_dow", "temperature_2m", "precipitation", "trip_count", "lag_24h"]
+
 _OPEN: dict[tuple[str, str], "Tables"] = {}
 
 
@@ -114,7 +117,20 @@ class Tables:
     @cached_property
     def lagged(self) -> DataFrame:
         """Demand with the counts 24 and 168 hours earlier, null where there are none."""
-        return written(time_lags(self.demand, self.demand, default=None), "lagged")
+        return written(time_lags(self.split, self.demand, default=None), "lagged")
+
+    @cached_property
+    def drift_baseline(self) -> DataFrame:
+        """The stored deciles of the training rows."""
+        train = self.lagged.where(F.col("split") == "train")
+        return written(feature_baseline(train, DRIFT_FEATURES), "feature-baseline")
+
+    @cached_property
+    def calibrated(self) -> DataFrame:
+        """Calibration and test rows with the historical mean of the first 60 % of the time."""
+        parts = with_three_way_split(self.demand)
+        fitting, rest = (parts.where(f"split {op} 'train'") for op in ("=", "!="))
+        return written(baselines.historical_mean(fitting, rest), "calibrated")
 
     @cached_property
     def model_rows(self) -> DataFrame:
