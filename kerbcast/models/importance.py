@@ -54,13 +54,19 @@ def permutation_importance(
         *[F.col(f).alias(f"_other_{f}") for f in features],
     )
     paired = counted.drop("_n").join(partner, "position")
+    # One scoring pass: every row appears once per feature, with that feature's value swapped.
+    variants = F.array(*[
+        F.struct(
+            F.lit(f).alias("feature"),
+            *[F.col(f"_other_{g}" if g == f else g).cast("double").alias(g) for g in features],
+        )
+        for f in features
+    ])
+    swapped = paired.select(F.col(target).alias("_actual"), F.inline(variants))
+    scored = predict(model, swapped, log_target=log_target)
     base = predict(model, df, log_target=log_target).agg(mae(target).alias("m")).scalar()
-    variants = []
-    for f in features:
-        swapped = paired.withColumn(f, F.col(f"_other_{f}"))
-        scored = predict(model, swapped, log_target=log_target)
-        variants.append(scored.agg(F.lit(f).alias("feature"), mae(target).alias("mae")))
-    return reduce(DataFrame.unionByName, variants).withColumn("importance", F.col("mae") - base)
+    errors = scored.groupBy("feature").agg(mae("_actual").alias("mae"))
+    return errors.withColumn("importance", F.col("mae") - base)
 
 
 def linear_contributions(

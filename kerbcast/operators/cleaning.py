@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,19 +103,24 @@ def iqr_bounds(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
 
 
 def threshold_shares(
-    df: DataFrame, column: str, at_most: Sequence[float] = (), below: Sequence[float] = ()
+    df: DataFrame, tests: Mapping[str, tuple[Sequence[float], Sequence[float]]]
 ) -> DataFrame:
-    """Share of rows ``<=`` each cap (and not negative) and ``<`` each floor: one pass, one row each."""
-    x = F.col(column)
-    tests = [("at_most", t, x.between(0, t)) for t in at_most]
-    tests += [("below", t, x < t) for t in below]
+    """Share of rows inside [0, cap] and share below floor, for (caps, floors) per column.
+
+    All thresholds of all columns come from one pass; one row each.
+    """
+    listed = []
+    for column, (caps, floors) in tests.items():
+        x = F.col(column)
+        listed += [(column, "at_most", t, x.between(0, t)) for t in caps]
+        listed += [(column, "below", t, x < t) for t in floors]
     wide = df.agg(*[
-        F.avg(F.coalesce(test, F.lit(False)).cast("double")).alias(f"s{i}")
-        for i, (_, _, test) in enumerate(tests)
+        F.avg(F.coalesce(inside, F.lit(False)).cast("double")).alias(f"s{i}")
+        for i, (*_, inside) in enumerate(listed)
     ])
     rows = F.array(*[
-        F.struct(F.lit(kind).alias("test"), F.lit(float(t)).alias("threshold"),
-                 F.col(f"s{i}").alias("share"))
-        for i, (kind, t, _) in enumerate(tests)
+        F.struct(F.lit(column).alias("measure"), F.lit(kind).alias("test"),
+                 F.lit(float(t)).alias("threshold"), F.col(f"s{i}").alias("share"))
+        for i, (column, kind, t, _) in enumerate(listed)
     ])
     return wide.select(F.inline(rows))

@@ -104,20 +104,22 @@ def correlation_with(df: DataFrame, target: str, columns: Sequence[str]) -> Data
 
 
 def profile(df: DataFrame, ts: str, distinct: Sequence[str], nullable: Sequence[str]) -> DataFrame:
-    """Rows, time range, exact distinct counts and null counts in one row.
+    """Rows, time range, exact distinct counts and null counts in one row, from one scan.
 
-    The distinct columns are identifiers of bounded range; each is de-duplicated before the shuffle.
+    The distinct columns are identifiers of bounded range: the rows are first reduced to one per
+    combination of them, and the distinct counts are taken from that small table.
     """
-    base = df.agg(
+    null_count = {f"null_{c}": F.count_if(F.col(c).isNull()) for c in nullable}
+    combined = df.groupBy(*distinct).agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in nullable],
+        *[c.alias(name) for name, c in null_count.items()],
+    )
+    return combined.agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in null_count],
+        *[F.count_distinct(c).alias(f"distinct_{c}") for c in distinct],
     )
-    counts = [
-        df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).alias("n"))
-        .scalar().alias(f"distinct_{c}")
-        for c in distinct
-    ]
-    return base.select("*", *counts)
 
 
 def mutual_information(

@@ -11,11 +11,15 @@ from kerbcast.operators.validation import require_columns
 from kerbcast.schemas import HOUR_TS
 
 
-def _span(df: DataFrame, ts: str):
-    ends = df.agg(F.min(ts).alias("first"), F.max(ts).alias("last")).select(
+def _ends(df: DataFrame, ts: str) -> DataFrame:
+    """First and last time in microseconds, one row."""
+    return df.agg(F.min(ts).alias("first"), F.max(ts).alias("last")).select(
         epoch_micros(F.col("first")).alias("lo"), epoch_micros(F.col("last")).alias("hi")
     )
-    return as_value(ends)
+
+
+def _span(df: DataFrame, ts: str):
+    return as_value(_ends(df, ts))
 
 
 def with_split(df: DataFrame, ts: str = HOUR_TS, ratio: float = 0.8, name: str = "split") -> DataFrame:
@@ -55,14 +59,15 @@ def with_fold_segment(df: DataFrame, n_splits: int = 5, ts: str = HOUR_TS) -> Da
     fold and no row is copied.
     """
     require_columns(df, [ts])
-    tagged = df.withColumn("_span", _span(df, ts))
-    lo, hi = F.col("_span.lo"), F.col("_span.hi")
-    step = (hi - lo) / F.lit(float(n_splits + 1))
-    offset = epoch_micros(F.col(ts)) - lo
-    segment = sum(
-        [(offset > step * F.lit(float(i + 1))).cast("int") for i in range(n_splits)], F.lit(0)
+    step = (F.col("hi") - F.col("lo")) / F.lit(float(n_splits + 1))
+    steps = F.array(*[step * F.lit(float(i + 1)) for i in range(n_splits)])
+    slices = as_value(_ends(df, ts).select("lo", steps.alias("steps")))
+    offset = epoch_micros(F.col(ts)) - F.col("_slices.lo")
+    passed = F.size(F.filter("_slices.steps", lambda s: s < F.col("_offset")))
+    return (
+        df.withColumn("_slices", slices).withColumn("_offset", offset)
+        .withColumn("segment", passed).drop("_slices", "_offset")
     )
-    return tagged.withColumn("segment", segment).drop("_span")
 
 
 def fold_sizes(df: DataFrame, n_splits: int = 5, ts: str = HOUR_TS) -> DataFrame:

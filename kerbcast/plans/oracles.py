@@ -442,8 +442,8 @@ ORACLES: dict[str, str] = {
       coalesce(precipitation, 0.0) AS precipitation, coalesce(snowfall, 0.0) AS snowfall, is_holiday FROM demand""",
     "snow_buckets": BASE + f" SELECT {CELL}, {SNOW} AS snow_bucket FROM (SELECT *, coalesce(snowfall, 0) AS s FROM demand)",
     "demand_bands": BASE + f" SELECT {CELL}, {BAND} AS demand_band, {COARSE} AS coarse_band FROM demand",
-    "threshold_shares": BASE + POSITIVE + " " + _thresholds("fare", "fare_amount", [50, 100, 150, 200], [0.5 * i for i in range(1, 10)])
-    + " UNION ALL " + _thresholds("distance", "trip_distance", [], [0.05, 0.1, 0.15, 0.2, 0.25]),
+    "threshold_shares": BASE + POSITIVE + " " + _thresholds("fare_amount", "fare_amount", [50, 100, 150, 200], [0.5 * i for i in range(1, 10)])
+    + " UNION ALL " + _thresholds("trip_distance", "trip_distance", [], [0.05, 0.1, 0.15, 0.2, 0.25]),
     "iqr_bounds": BASE + POSITIVE + """ SELECT round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 1.5 * (q3 - q1), 6) AS lower,
       round(q3 + 1.5 * (q3 - q1), 6) AS upper
       FROM (SELECT quantile_cont(fare_amount, 0.25) AS q1, quantile_cont(fare_amount, 0.75) AS q3 FROM positive)""",
@@ -647,5 +647,7 @@ ORACLES: dict[str, str] = {
     "stream_hourly_demand": BASE + """ SELECT PULocationID, pickup_hour_ts, trip_count FROM cells
       WHERE pickup_hour_ts + INTERVAL 1 HOUR <= (SELECT to_timestamp(max(epoch_us(tpep_pickup_datetime)) / 1000000.0::DOUBLE)::TIMESTAMP
         FROM clean) - INTERVAL 2 HOUR""",
+    "stream_psi": BASE + _baseline(["fare_amount", "trip_distance"], "clean") + _psi(["fare_amount", "trip_distance"], "trips")
+    + " SELECT feature, n, round(psi, 6) AS psi FROM psi",
     "stream_history": BASE + " SELECT trip_id, PULocationID, tpep_pickup_datetime FROM trips",
 }

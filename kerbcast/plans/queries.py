@@ -25,7 +25,7 @@ from kerbcast.schemas import (
     ANOMALY_FEATURES, CALENDAR_FEATURES, COUNT, FARE_FEATURES, FULL_FEATURES,
     HOUR_TS, PICKUP, WEATHER, ZONE,
 )
-from kerbcast.session import fresh_path
+from kerbcast.session import fresh_path, written
 from kerbcast.sources import readers, writers
 from kerbcast.streaming import hourly
 
@@ -256,11 +256,10 @@ def _positive(t: Tables) -> DataFrame:
 
 @query
 def threshold_shares(t: Tables) -> DataFrame:
-    fares = cleaning.threshold_shares(
-        _positive(t), "fare_amount", [50, 100, 150, 200], [0.5 * i for i in range(1, 10)]
-    )
-    miles = cleaning.threshold_shares(_positive(t), "trip_distance", (), [0.05, 0.1, 0.15, 0.2, 0.25])
-    return fares.withColumn("measure", F.lit("fare")).unionByName(miles.withColumn("measure", F.lit("distance")))
+    return cleaning.threshold_shares(_positive(t), {
+        "fare_amount": ([50, 100, 150, 200], [0.5 * i for i in range(1, 10)]),
+        "trip_distance": ([], [0.05, 0.1, 0.15, 0.2, 0.25]),
+    })
 
 
 @query
@@ -719,7 +718,7 @@ def conformal_bounds(t: Tables) -> DataFrame:
 @query
 def interval_coverage(t: Tables) -> DataFrame:
     calibration, test = _conformal(t)
-    margins = intervals.conformal_margins(calibration, log_scale=True)
+    margins = written(intervals.conformal_margins(calibration, log_scale=True), "margins")
     out = [
         intervals.interval_quality(
             intervals.with_interval(test, intervals.margin_for(margins, c), log_scale=True)
@@ -916,7 +915,7 @@ def anomalies(t: Tables) -> DataFrame:
 def score_requests(t: Tables) -> DataFrame:
     train, test = _model_split(t)
     model = regression.fit(train, FULL_FEATURES)
-    margins = intervals.conformal_margins(regression.predict(model, test), [0.8])
+    margins = written(intervals.conformal_margins(regression.predict(model, test), [0.8]), "margins")
     windows = training.sequence_rows(t.demand, zones=None, newest_year=False)
     sequence_model = sequence.fit_sequence_model(windows)
     features = scoring.request_features(t.requests, t.history, t.weather, t.holidays)

@@ -32,7 +32,8 @@ def read_trips(
     """
     y = f"{year:04d}" if year is not None else "[0-9][0-9][0-9][0-9]"
     m = f"{month:02d}" if month is not None else "[0-9][0-9]"
-    files = f"{path.rstrip('/')}/{{*tripdata[_=]{y}-{m}*,*/*tripdata[_=]{y}-{m}*}}"
+    name = f"*tripdata[_=]{y}-{m}*"
+    files = f"{path.rstrip('/')}/{{{name},*/{name},*/*/{name}}}"
     try:
         trips = spark.read.option("recursiveFileLookup", True).parquet(files)
     except AnalysisException as e:
