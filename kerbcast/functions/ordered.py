@@ -36,12 +36,12 @@ def distinct_totals(
 
 
 def _in_pieces(totals: DataFrame, sums: Sequence[str], pieces: int) -> tuple[DataFrame, DataFrame]:
-    """The totals with their ``piece``, and per piece the sums before it, in it and over all."""
+    """The totals with their ``piece`` (0 to ``pieces``), and per piece the sums before, in and over all."""
     # `n` orders after the hash only so that this branch reads the same shuffled aggregate as the rows.
     by_hash = Window.partitionBy("feature").orderBy(F.xxhash64("value"), "value", "n")
     split_points = (
         totals.withColumn("pick", F.row_number().over(by_hash))
-        .where(F.col("pick") < pieces)
+        .where(F.col("pick") <= pieces)
         .groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("points"))
     )
     cut = totals.join(F.broadcast(split_points), "feature").select(

@@ -36,6 +36,8 @@ def feature_psi(df: DataFrame, baseline: DataFrame, features: Sequence[str]) ->
     ten counts per feature before anything else happens to them.
     """
     shared = [f for f in features if f in df.columns]
+    if not shared:
+        return baseline.limit(0).select("feature", "n", F.lit(0.0).alias("psi"))
     kept = baseline.where(F.col("feature").isin(shared)).where(
         F.size(F.array_distinct("breakpoints")) == F.size("breakpoints")
     )

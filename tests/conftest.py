@@ -12,7 +12,8 @@ from kerbcast.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "kerbcast-tests", master="local[8]", spark__sql__shuffle__partitions=4, spark__driver__memory="6g"
+        "kerbcast-tests", master="local[8]", spark__sql__shuffle__partitions=4, spark__driver__memory="6g",
+        spark__sql__maxMetadataStringLength=10000,
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -20,7 +20,7 @@ def trips(spark, distance, fare, times=None):
 
 @pytest.mark.parametrize("distance, fare, kept", [
     ([1.0, 2.0, 3.0], [-7.0, 4.0, 15.0], 2),
-    ([1.0, 0.0, 3.0], [5.0, 2.0, 15.0], 1),
+    ([1.0, 0.0, 3.0], [5.0, 2.0, 15.0], 2),
     ([0.15, 40.0, 40.1], [10.0, 10.0, 10.0], 1),
     ([1.0, 1.0, 1.0], [3.5, 150.0, 150.5], 1),
     ([0.0, 0.0, 0.0], [1.0, 1.0, 1.0], 0),

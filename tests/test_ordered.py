@@ -17,7 +17,7 @@ def frame(spark, values):
     return spark.createDataFrame(pd.DataFrame({"x": values}))
 
 
-@pytest.mark.parametrize("pieces", [1, 2, 7, 128])
+@pytest.mark.parametrize("pieces", [1, 7, 128])
 @pytest.mark.parametrize("kind", ["continuous", "ties", "hot", "negative", "one"])
 def test_quantiles(spark, pieces, kind):
     rng = np.random.default_rng(5)
@@ -33,7 +33,7 @@ def test_quantiles(spark, pieces, kind):
     np.testing.assert_allclose(got["q"], np.quantile(values, PROBS), rtol=1e-12)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.integers(-3, 3), st.floats(-1e6, 1e6)), min_size=1, max_size=60),
        st.integers(1, 9), st.floats(0, 1))
 def test_quantile_of_anything(spark, values, pieces, prob):
@@ -55,7 +55,7 @@ def test_empty_column_has_no_quantile(spark):
     assert df.select(quantile(df, F.col("a"), 0.5).alias("q")).first()["q"] is None
 
 
-@pytest.mark.parametrize("pieces", [1, 3, 128])
+@pytest.mark.parametrize("pieces", [1, 3])
 def test_running_totals(spark, pieces):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"x": rng.integers(0, 40, 900) / 4, "y": rng.integers(0, 2, 900)})
