@@ -6,6 +6,10 @@ smallest hashes, which is a reproducible uniform sample of them; they only decid
 values are cut into pieces, never which rows count. Piece totals give every piece its starting rank,
 and the running sums are windows inside one piece. There are at most ``pieces`` split points and starting
 ranks per column, so the broadcasts that carry them to the values have a fixed size.
+
+For a few quantiles of a raw column with mostly different values, even the distinct values are too many
+to shuffle. ``coarse_first`` then counts rows per coarse interval (a handful of numbers per task), finds
+the intervals that hold the wanted ranks, and treats only their rows as above.
 """
 
 from __future__ import annotations
@@ -19,20 +23,74 @@ from pyspark.sql.window import Window
 PIECES = 128
 
 
-def distinct_totals(
+def _long(
     df: DataFrame, columns: Mapping[str, Column], measures: Mapping[str, Column] | None = None
 ) -> DataFrame:
-    """(feature, value, n, measures...) per distinct non-null value; NaN counts as null."""
-    extra = dict(measures or {})
+    """One (feature, value, measures...) row per column and input row; null and NaN left out."""
     pairs = F.array(*[
         F.struct(F.lit(name).alias("feature"), col.cast("double").alias("value"))
         for name, col in columns.items()
     ])
-    long = df.select(F.inline(pairs), *[c.alias(m) for m, c in extra.items()])
-    long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    extra = [c.alias(m) for m, c in (measures or {}).items()]
+    long = df.select(F.inline(pairs), *extra)
+    return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def distinct_totals(
+    df: DataFrame, columns: Mapping[str, Column], measures: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """(feature, value, n, measures...) per distinct value."""
+    return _totals(_long(df, columns, measures), list(measures or {}))
+
+
+def _totals(long: DataFrame, measures: Sequence[str] = ()) -> DataFrame:
     return long.groupBy("feature", "value").agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(m).alias(m) for m in extra]
+        F.count(F.lit(1)).alias("n"), *[F.sum(m).alias(m) for m in measures]
+    )
+
+
+def _coarse(value: Column) -> Column:
+    """An integer that never falls as the value rises: the signed eighth root in steps of 1/4096.
+
+    Square roots are correctly rounded everywhere, so two passes agree on every row. Up to 2**20
+    intervals on either side; larger values share the outermost one.
+    """
+    root = F.sqrt(F.sqrt(F.sqrt(F.abs(value))))
+    step = F.least(F.floor(root * 4096.0), F.lit(2**20)).cast("long")
+    return F.when(value < 0, -step - 1).otherwise(step)
+
+
+def _ranks(probs: Sequence[float], total: Column) -> list[Column]:
+    spots = [F.lit(float(p)) * (total - 1) for p in probs]
+    return [rank for s in spots for rank in (F.floor(s), F.ceil(s))]
+
+
+def _holds_any(ranks: Sequence[Column], start: Column, size: Column) -> Column:
+    held = F.lit(False)
+    for rank in ranks:
+        held = held | ((rank >= start) & (rank < start + size))
+    return held
+
+
+def _near_ranks(long: DataFrame, probs: Sequence[float]) -> tuple[DataFrame, DataFrame]:
+    """Rows of the coarse intervals holding a wanted rank, and (feature, interval, skipped, total).
+
+    ``skipped`` counts the dropped rows before an interval. At most two intervals per quantile remain.
+    """
+    tagged = long.withColumn("interval", _coarse(F.col("value")))
+    counts = tagged.groupBy("feature", "interval").agg(F.count(F.lit(1)).alias("m"))
+    in_order = Window.partitionBy("feature").orderBy("interval")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.select(
+        "feature", "interval", "m",
+        F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start"),
+        F.sum("m").over(Window.partitionBy("feature")).alias("all_rows"),
     )
+    held = placed.where(_holds_any(_ranks(probs, F.col("all_rows")), F.col("start"), F.col("m")))
+    kept_before = F.coalesce(F.sum("m").over(before), F.lit(0))
+    held = held.select("feature", "interval", "all_rows", (F.col("start") - kept_before).alias("skipped"))
+    rows = tagged.join(F.broadcast(held.select("feature", "interval")), ["feature", "interval"], "left_semi")
+    return rows, held
 
 
 def _in_pieces(totals: DataFrame, sums: Sequence[str], pieces: int) -> tuple[DataFrame, DataFrame]:
@@ -82,47 +140,60 @@ def running_totals(
 
 
 def quantiles(
-    df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], pieces: int = PIECES
+    df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], pieces: int = PIECES,
+    coarse_first: bool = False,
 ) -> DataFrame:
     """(feature, n, q): exact linear-interpolation quantiles, ``q`` in the order of ``probs``.
 
     Only pieces holding a wanted rank are sorted. Features without values are absent.
     """
-    cut, bases = _in_pieces(distinct_totals(df, columns), ["n"], pieces)
-    start, stop = F.col("n_before"), F.col("n_before") + F.col("n_piece")
-    spots = [F.lit(float(p)) * (F.col("n_total") - 1) for p in probs]
-    needed = F.lit(False)
-    for s in spots:
-        for rank in (F.floor(s), F.ceil(s)):
-            needed = needed | ((rank >= start) & (rank < stop))
+    long = _long(df, columns)
+    held = None
+    if coarse_first:
+        long, held = _near_ranks(long, probs)
+    cut, bases = _in_pieces(_totals(long), ["n"], pieces)
+    value, start, size = F.col("value"), F.col("n_before"), F.col("n_piece")
+    if held is None:
+        bases = bases.withColumn("all_rows", F.col("n_total"))
+        bases = bases.where(_holds_any(_ranks(probs, F.col("all_rows")), start, size))
+        joined = cut.join(F.broadcast(bases), ["feature", "piece"]).withColumn("skipped", F.lit(0))
+    else:
+        cut = cut.withColumn("interval", _coarse(value))
+        joined = cut.join(F.broadcast(bases), ["feature", "piece"])
+        joined = joined.join(F.broadcast(held), ["feature", "interval"])
     inside = (
         Window.partitionBy("feature", "piece").orderBy("value")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    placed = cut.join(F.broadcast(bases.where(needed)), ["feature", "piece"]).select(
-        "feature", "value", "n", "n_total", (start + F.sum("n").over(inside)).alias("stop")
+    placed = joined.select(
+        "feature", "value", "n", "all_rows",
+        (F.col("skipped") + start + F.sum("n").over(inside)).alias("stop"),
     )
 
     def at(rank: Column) -> Column:
         here = (rank >= F.col("stop") - F.col("n")) & (rank < F.col("stop"))
-        return F.max(F.when(here, F.col("value")))
+        return F.max(F.when(here, value))
 
-    aggs = []
-    for i, s in enumerate(spots):
-        aggs += [at(F.floor(s)).alias(f"lo{i}"), at(F.ceil(s)).alias(f"hi{i}")]
-    found = placed.groupBy("feature").agg(F.max("n_total").alias("n_total"), *aggs)
-    values = [
-        F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (s - F.floor(s))
-        for i, s in enumerate(spots)
-    ]
-    return found.select("feature", F.col("n_total").alias("n"), F.array(*values).alias("q"))
+    ranks = _ranks(probs, F.col("all_rows"))
+    found = placed.groupBy("feature").agg(
+        F.max("all_rows").alias("all_rows"), *[at(r).alias(f"at{i}") for i, r in enumerate(ranks)]
+    )
+    values = []
+    for i, p in enumerate(probs):
+        spot = F.lit(float(p)) * (F.col("all_rows") - 1)
+        low, high = F.col(f"at{2 * i}"), F.col(f"at{2 * i + 1}")
+        values.append(low + (high - low) * (spot - F.floor(spot)))
+    return found.select("feature", F.col("all_rows").alias("n"), F.array(*values).alias("q"))
 
 
-def quantile(df: DataFrame, column: Column, prob: float) -> Column:
+def quantile(df: DataFrame, column: Column, prob: float, coarse_first: bool = False) -> Column:
     """One exact quantile as a scalar subquery."""
-    return quantiles(df, {"x": column}, [prob]).select(F.col("q")[0].alias("q")).scalar()
+    found = quantiles(df, {"x": column}, [prob], coarse_first=coarse_first)
+    return found.select(F.col("q")[0].alias("q")).scalar()
 
 
-def quantile_list(df: DataFrame, column: Column, probs: Sequence[float]) -> Column:
+def quantile_list(
+    df: DataFrame, column: Column, probs: Sequence[float], coarse_first: bool = False
+) -> Column:
     """Several exact quantiles of one column as a scalar subquery holding an array."""
-    return quantiles(df, {"x": column}, probs).select("q").scalar()
+    return quantiles(df, {"x": column}, probs, coarse_first=coarse_first).select("q").scalar()

@@ -91,11 +91,11 @@ def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> D
 
 
 def iqr_bounds(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
-    """Quartiles and the outlier fences around them, one row."""
+    """Quartiles and the outlier fences around them, one row. Made for raw columns."""
     spread = F.col("q3") - F.col("q1")
     return (
         df.sparkSession.range(1)
-        .select(quantile_list(df, F.col(column), [0.25, 0.75]).alias("q"))
+        .select(quantile_list(df, F.col(column), [0.25, 0.75], coarse_first=True).alias("q"))
         .select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
         .select("q1", "q3", (F.col("q1") - factor * spread).alias("lower"),
                 (F.col("q3") + factor * spread).alias("upper"))

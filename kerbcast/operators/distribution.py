@@ -14,8 +14,11 @@ from kerbcast.functions.scalars import as_value, clean_number
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles; one row per column."""
+def describe(df: DataFrame, columns: Sequence[str], coarse_first: bool = False) -> DataFrame:
+    """Count, mean, sample deviation, extremes and exact quartiles; one row per column.
+
+    ``coarse_first`` suits raw tables, see ``ordered.quantiles``.
+    """
     parts = []
     for i, c in enumerate(columns):
         x = clean_number(F.col(c))
@@ -29,7 +32,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for i, c in enumerate(columns)
     ])
     moments = df.agg(*parts).select(F.inline(rows))
-    middle = quantiles(df, {c: F.col(c) for c in columns}, QUARTILES)
+    middle = quantiles(df, {c: F.col(c) for c in columns}, QUARTILES, coarse_first=coarse_first)
     q = [F.col("q")[i].alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
     return moments.join(middle.select("feature", *q), "feature", "left")
 

@@ -593,6 +593,10 @@ ORACLES: dict[str, str] = {
     "trip_time_split": BASE + """, e AS (SELECT epoch_us(min(tpep_pickup_datetime)) AS lo, epoch_us(max(tpep_pickup_datetime)) AS hi FROM clean)
       SELECT CASE WHEN epoch_us(tpep_pickup_datetime) < lo + (hi - lo) * 0.8::DOUBLE THEN 'train' ELSE 'test' END AS split,
         count(*)::BIGINT AS n, min(tpep_pickup_datetime) AS first_ts, max(tpep_pickup_datetime) AS last_ts FROM clean, e GROUP BY 1""",
+    "fare_line": BASE + """, e AS (SELECT epoch_us(min(tpep_pickup_datetime)) AS lo, epoch_us(max(tpep_pickup_datetime)) AS hi FROM clean)
+      SELECT count(*)::BIGINT AS n, round(regr_slope(fare_amount, trip_distance), 6) AS slope,
+        round(regr_intercept(fare_amount, trip_distance), 6) AS intercept
+      FROM clean, e WHERE epoch_us(tpep_pickup_datetime) < lo + (hi - lo) * 0.8::DOUBLE""",
     "three_way_split": EVAL + f" SELECT {CELL}, split FROM three",
     "cv_folds": EVAL + """ SELECT fold::BIGINT AS fold, role, count(*)::BIGINT AS n, min(pickup_hour_ts) AS first_ts,
       max(pickup_hour_ts) AS last_ts FROM fold_rows GROUP BY fold, role""",

@@ -445,7 +445,7 @@ def describe_trip_count(t: Tables) -> DataFrame:
 
 @query
 def describe_trips(t: Tables) -> DataFrame:
-    return distribution.describe(t.clean, ["trip_distance", "fare_amount", "trip_duration"])
+    return distribution.describe(t.clean, ["trip_distance", "fare_amount", "trip_duration"], coarse_first=True)
 
 
 @query
@@ -813,6 +813,15 @@ def fare_linear(t: Tables) -> DataFrame:
     return trained.errors.select("mae", "mape", F.inline(rows))
 
 
+@query
+def fare_line(t: Tables) -> DataFrame:
+    train, _ = splits.train_test(t.clean, PICKUP)
+    weights = regression.coefficients(regression.fit(train, ["trip_distance"], "fare_amount"), ["trip_distance"])
+    return train.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", F.lit(weights["trip_distance"]).alias("slope"), F.lit(weights[""]).alias("intercept")
+    )
+
+
 @query
 def fare_gbt(t: Tables) -> DataFrame:
     return training.train_fare(t.clean, trees=True, regressor=regression.boosted(**SMALL_TREES)).errors

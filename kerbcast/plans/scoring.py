@@ -18,7 +18,7 @@ from kerbcast.operators.drift import (
 )
 from kerbcast.operators.lags import latest_history, time_lags
 from kerbcast.operators.residuals import forecast_errors
-from kerbcast.schemas import HOUR_TS, SEQUENCE_FEATURES, ZONE
+from kerbcast.schemas import HOUR_TS, MAX_ZONE, SEQUENCE_FEATURES, ZONE
 
 
 def request_features(
@@ -55,9 +55,10 @@ def score_requests(features: DataFrame, model: Model, margin: Column) -> DataFra
 def score_with_history(requests: DataFrame, history: DataFrame, sequence_model, window: int = 24) -> DataFrame:
     """Predictions from each zone's newest rows; ``error`` where a zone has too few of them.
 
-    The model is applied once per zone, not once per request.
+    The model is applied once per zone, not once per request. Zone ids are limited to the valid range,
+    which bounds the broadcast table of predictions.
     """
-    last = latest_history(history, window)
+    last = latest_history(history.where(F.col("zone_id").between(1, MAX_ZONE)), window)
     zones = last.groupBy("zone_id").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("step", F.struct(*SEQUENCE_FEATURES).alias("h")))),
@@ -68,7 +69,7 @@ def score_with_history(requests: DataFrame, history: DataFrame, sequence_model,
         "zone_id", F.bround("prediction", 2).alias("predicted_trips")
     )
     missing = F.concat(F.lit("not enough history for zone "), F.col("zone_id").cast("string"))
-    return requests.join(by_zone, "zone_id", "left").withColumn(
+    return requests.join(F.broadcast(by_zone), "zone_id", "left").withColumn(
         "error", F.when(F.col("predicted_trips").isNull(), missing)
     )
 

@@ -92,11 +92,14 @@ def train_demand(
 
 
 def train_fare(trips: DataFrame, trees: bool = False, regressor=None, share: float = 1.0) -> Trained:
-    """Fare from trip columns, split on the pickup time. ``share`` samples rows reproducibly."""
+    """Fare from trip columns, split on the pickup time. ``share`` samples rows reproducibly.
+
+    Trees read their rows many times and get a written copy; the linear fit is one pass over the source.
+    """
     features = FARE_TREE_FEATURES if trees else FARE_FEATURES
     rows = trips if share >= 1 else sample_share(trips, share, [PICKUP, ZONE])
     kept = rows.select(PICKUP, "fare_amount", *features)
-    train, test = train_test(written(kept, "fare-rows"), PICKUP)
+    train, test = train_test(written(kept, "fare-rows") if trees else kept, PICKUP)
     model = fit(train, features, "fare_amount", regressor or (boosted(depth=6) if trees else linear()))
     scored = predict(model, test)
     return Trained(model, scored, forecast_errors(scored, "fare_amount"))

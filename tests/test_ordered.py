@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kerbcast.functions.ordered import quantile, quantiles, running_totals
+from kerbcast.functions.ordered import _coarse, _long, _near_ranks, quantile, quantiles, running_totals
 from kerbcast.operators.distribution import describe, ecdf, histogram, shape
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.8, 0.99, 1.0]
@@ -17,9 +17,9 @@ def frame(spark, values):
     return spark.createDataFrame(pd.DataFrame({"x": values}))
 
 
-@pytest.mark.parametrize("pieces", [1, 7, 128])
-@pytest.mark.parametrize("kind", ["continuous", "ties", "hot", "negative", "one"])
-def test_quantiles(spark, pieces, kind):
+@pytest.mark.parametrize("pieces, coarse", [(1, False), (7, True), (128, False), (128, True)])
+@pytest.mark.parametrize("kind", ["continuous", "ties", "hot", "negative", "one", "wide"])
+def test_quantiles(spark, pieces, coarse, kind):
     rng = np.random.default_rng(5)
     values = {
         "continuous": rng.exponential(30, 2000),
@@ -27,21 +27,36 @@ def test_quantiles(spark, pieces, kind):
         "hot": np.where(rng.random(3000) < 0.4, 7.0, rng.normal(0, 50, 3000)),
         "negative": -rng.exponential(1e-6, 500),
         "one": np.array([4.5]),
+        "wide": rng.choice([-1.0, 1.0], 800) * 10.0 ** rng.uniform(-300, 300, 800),
     }[kind]
-    got = quantiles(frame(spark, values), {"x": F.col("x")}, PROBS, pieces).first()
+    got = quantiles(frame(spark, values), {"x": F.col("x")}, PROBS, pieces, coarse).first()
     assert got["n"] == len(values)
     np.testing.assert_allclose(got["q"], np.quantile(values, PROBS), rtol=1e-12)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.integers(-3, 3), st.floats(-1e6, 1e6)), min_size=1, max_size=60),
-       st.integers(1, 9), st.floats(0, 1))
-def test_quantile_of_anything(spark, values, pieces, prob):
-    got = quantiles(frame(spark, [float(v) for v in values]), {"x": F.col("x")}, [prob], pieces).first()
+       st.integers(1, 9), st.floats(0, 1), st.booleans())
+def test_quantile_of_anything(spark, values, pieces, prob, coarse):
+    got = quantiles(frame(spark, [float(v) for v in values]), {"x": F.col("x")}, [prob], pieces, coarse).first()
     expected = np.quantile(np.array(values, dtype=float), prob)
     assert got["q"][0] == pytest.approx(expected, rel=1e-9, abs=1e-9)
 
 
+def test_coarse_intervals_rise_with_the_value(spark):
+    values = np.sort(np.concatenate([-np.logspace(-200, 200, 300), [0.0], np.logspace(-200, 200, 300), np.linspace(-50, 50, 2001)]))
+    steps = frame(spark, values).coalesce(1).select("x", _coarse(F.col("x")).alias("k")).toPandas()
+    assert steps.sort_values("x")["k"].is_monotonic_increasing
+    assert steps["k"].abs().max() <= 2**20 + 1
+
+
+def test_only_rows_near_the_ranks_are_shuffled(spark):
+    values = np.random.default_rng(0).exponential(30, 20000)
+    long = _long(frame(spark, values), {"x": F.col("x")})
+    near, held = _near_ranks(long, [0.25, 0.75])
+    assert held.count() <= 4 and near.count() < 200
+
+
 def test_missing_values_and_several_columns(spark):
     df = spark.createDataFrame([(1.0, 5), (None, 6), (float("nan"), 7), (3.0, 8)], "a double, b int")
     got = {r["feature"]: (r["n"], r["q"]) for r in quantiles(
