@@ -20,6 +20,15 @@ def clean_number(col: Column) -> Column:
     return F.nanvl(col.cast("double"), F.lit(None).cast("double"))
 
 
+def correlation(x: Column, y: Column, complete: bool = False) -> Column:
+    """Pearson r over the pairs with both values; null where either side does not vary.
+
+    ``complete`` says that neither column has nulls, so that deviations are shared between pairs.
+    """
+    left, right = (x, y) if complete else (F.when(y.isNotNull(), x), F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(left) * F.stddev_pop(right))
+
+
 def cut(value: Column, edges: Sequence[float], labels: Sequence[str], lowest: bool = False) -> Column:
     """Label of the right-closed bin ``(edges[i], edges[i+1]]``; null outside the edges.
 

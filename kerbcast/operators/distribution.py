@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kerbcast.functions.ordered import quantiles, running_totals
-from kerbcast.functions.scalars import as_value, clean_number
+from kerbcast.functions.scalars import as_value, clean_number, correlation
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -85,7 +85,9 @@ def _pairwise(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pearson r of each column pair, nulls as 0, all from one aggregate; null for a constant column."""
     columns = sorted({c for pair in pairs for c in pair})
     filled = df.select(*[F.coalesce(clean_number(F.col(c)), F.lit(0.0)).alias(c) for c in columns])
-    wide = filled.agg(*[clean_number(F.corr(a, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = filled.agg(*[
+        correlation(F.col(a), F.col(b), complete=True).alias(f"r{i}") for i, (a, b) in enumerate(pairs)
+    ])
     rows = F.array(*[
         F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kerbcast.functions.scalars import correlation
 from kerbcast.functions.timeparts import plus_hours
 from kerbcast.schemas import COUNT, HOUR_TS, SEQUENCE_FEATURES, ZONE
 
@@ -58,11 +59,17 @@ def autocorrelation(
         totals = demand.groupBy(ZONE).agg(F.sum(COUNT).alias("total"))
         top = totals.agg(F.max_by(ZONE, F.struct("total", -F.col(ZONE))).alias(ZONE))
         series = series.where(F.col(ZONE) == top.scalar())
-    shifted = series.withColumns({f"y{n}": F.lag("y", n).over(_in_time()) for n in lags})
-    # Both sides of a pair must be present, as `corr` skips incomplete pairs.
-    wide = shifted.groupBy(ZONE).agg(*[F.corr("y", f"y{n}").alias(f"r{n}") for n in lags])
-    rows = F.array(*[F.struct(F.lit(n).alias("lag"), F.col(f"r{n}").alias("r")) for n in lags])
-    return wide.select(ZONE, F.inline(rows))
+    # One window for all lags: the rows before a row, the latest last. The pairs are reduced to one
+    # row per zone and lag before they are shuffled.
+    before = _in_time().rowsBetween(-max(lags), -1)
+    past = series.select(ZONE, "y", F.collect_list(F.struct(F.col("y").alias("v"))).over(before).alias("past"))
+    wanted = F.array(*[F.lit(n) for n in lags])
+    pairs = F.transform(wanted, lambda n: F.struct(
+        n.alias("lag"), F.try_element_at("past", -n)["v"].alias("earlier")
+    ))
+    return past.select(ZONE, "y", F.inline(pairs)).groupBy(ZONE, "lag").agg(
+        correlation(F.col("y"), F.col("earlier")).alias("r")
+    )
 
 
 def sequence_windows(

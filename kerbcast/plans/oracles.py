@@ -199,9 +199,10 @@ NUMERIC = ["trip_count", "pickup_hour", "pickup_dow", "pickup_week", "is_airport
            "precipitation", "snowfall", "is_holiday", "is_nyc_event"]
 
 
-def _corr(a: str, b: str) -> str:
-    r = f"corr(coalesce({a}, 0)::DOUBLE, coalesce({b}, 0)::DOUBLE)"
-    return f"round(CASE WHEN isnan({r}) THEN NULL ELSE {r} END, 6)"
+def _corr(a: str, b: str, fill: bool = True) -> str:
+    x, y = (f"coalesce({c}, 0)::DOUBLE" if fill else f"{c}::DOUBLE" for c in (a, b))
+    r = f"corr({x}, {y})"
+    return f"round(CASE WHEN isnan({r}) THEN NULL ELSE {r} END, 6) + 0.0"
 
 
 def _autocorrelation(lags, every_zone: bool) -> str:
@@ -210,7 +211,7 @@ def _autocorrelation(lags, every_zone: bool) -> str:
     return BASE + f""", numbered AS (
       SELECT PULocationID, trip_count, row_number() OVER (PARTITION BY PULocationID ORDER BY pickup_hour_ts) AS i
       FROM demand{zone}
-    ) SELECT a.PULocationID, l.lag::BIGINT AS lag, round(corr(a.trip_count::DOUBLE, b.trip_count::DOUBLE), 6) AS r
+    ) SELECT a.PULocationID, l.lag::BIGINT AS lag, {_corr("a.trip_count", "b.trip_count", False)} AS r
     FROM numbered a CROSS JOIN (SELECT unnest([{", ".join(map(str, lags))}]) AS lag) l
     LEFT JOIN numbered b ON b.PULocationID = a.PULocationID AND b.i = a.i - l.lag GROUP BY ALL"""
 

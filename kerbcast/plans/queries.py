@@ -800,7 +800,8 @@ def request_features(t: Tables) -> DataFrame:
 
 # --- models ----------------------------------------------------------------------------------------
 
-SMALL_TREES = {"trees": 20, "depth": 5, "rate": 0.1}
+# Fewer and smaller trees than the defaults of `boosted`, which are those of a production fit.
+SMALL_TREES = {"trees": 10, "depth": 4, "rate": 0.1}
 
 
 @query
@@ -879,7 +880,7 @@ def log_target_compare(t: Tables) -> DataFrame:
 
 @query
 def ablation(t: Tables) -> DataFrame:
-    return regression.ablation(t.model_rows)
+    return t.ablation
 
 
 @query
@@ -887,6 +888,23 @@ def ablation_delta(t: Tables) -> DataFrame:
     return regression.with_step_delta(ablation(t))
 
 
+@query
+def ab_test_models(t: Tables) -> DataFrame:
+    train, _ = _model_split(t)
+    model = regression.fit(train, FULL_FEATURES)
+    sequence_model = sequence.fit_sequence_model(lags.sequence_windows(t.demand))
+    return training.ab_test(t.demand, model, sequence_model)
+
+
+@query
+def monitor_month(t: Tables) -> DataFrame:
+    train, _ = _model_split(t)
+    return scoring.monitor_month(
+        t.spark, t.trip_files, 2024, 11, t.weather, t.holidays, t.history,
+        regression.fit(train, FULL_FEATURES), t.drift_baseline, t.versions, "demand_mean",
+    ).select("mae", "mape", "output_drifted", "retrain", "reasons")
+
+
 @query
 def cv_ttest(t: Tables) -> DataFrame:
     rows = regression.fold_rows(t.model_rows)

@@ -5,20 +5,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbcast.functions.timeparts import hour_floor
 from kerbcast.models.regression import predict
 from kerbcast.models.sequence import score_sequences
 from kerbcast.operators.abtest import clipped, route
-from kerbcast.operators.demand import with_calendar, with_city_event, with_holiday
+from kerbcast.operators.demand import (
+    with_calendar, with_city_event, with_filled_weather, with_holiday,
+)
 from kerbcast.operators.drift import (
     drifted_features, feature_psi, output_drift, retrain_decision,
 )
 from kerbcast.operators.lags import latest_history, time_lags
 from kerbcast.operators.residuals import forecast_errors
-from kerbcast.schemas import HOUR_TS, MAX_ZONE, SEQUENCE_FEATURES, ZONE
+from kerbcast.plans.demand_build import build_demand
+from kerbcast.schemas import FULL_FEATURES, HOUR_TS, MAX_ZONE, SEQUENCE_FEATURES, ZONE
+from kerbcast.sources.readers import load_clean_trips
 
 
 def request_features(
@@ -114,3 +118,15 @@ def monitor(
     return retrain_decision(
         errors.withColumns({"output_drifted": drifted.scalar(), "drifted_features": inputs.scalar()})
     )
+
+
+def monitor_month(
+    spark: SparkSession, trip_files: str, year: int, month: int, weather: DataFrame, holidays: DataFrame,
+    history: DataFrame, model: Model, baseline: DataFrame, versions: DataFrame, name: str,
+    features: Sequence[str] = tuple(FULL_FEATURES),
+) -> DataFrame:
+    """Build the demand of one month from its files, score it and decide. Lags come from the history."""
+    trips = load_clean_trips(spark, trip_files, year, month)
+    demand = build_demand(trips, weather, holidays, validate=True)
+    rows = with_filled_weather(time_lags(demand, history, history_zone="zone_id"))
+    return monitor(predict(model, rows), baseline, versions, name, features)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbcast.functions.timeparts import epoch_hours, epoch_micros
+from kerbcast.models.regression import ablation
 from kerbcast.operators import baselines
 from kerbcast.operators.cleaning import clean_trips
 from kerbcast.operators.demand import with_filled_weather
@@ -136,6 +137,10 @@ class Tables:
     def model_rows(self) -> DataFrame:
         return written(with_split(training.model_rows(self.demand)), "model-rows")
 
+    @cached_property
+    def ablation(self) -> DataFrame:
+        return written(ablation(self.model_rows), "ablation")
+
     @property
     def filled(self) -> DataFrame:
         return with_filled_weather(self.demand)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from kerbcast.models.importance import permutation_importance
 from kerbcast.models.regression import boosted, fit, linear, predict
+from kerbcast.models.sequence import score_sequences
+from kerbcast.operators.abtest import paired_errors, paired_t_test
 from kerbcast.operators.cleaning import latest_year, more_trips_than, sample_share
 from kerbcast.operators.demand import rows_of_busiest_zones, with_filled_weather
 from kerbcast.operators.drift import feature_baseline
@@ -117,3 +119,11 @@ def paired_points(demand: DataFrame, carry: Sequence[str] = tuple(FULL_FEATURES)
     lagged = with_filled_weather(row_lags(demand))
     extra = [c for c in carry if c not in (ZONE, HOUR_TS, COUNT)]
     return sequence_windows(lagged, carry=extra).where(F.col("split") == "test").drop("split")
+
+
+def ab_test(demand: DataFrame, model: Model, sequence_model, features: Sequence[str] = tuple(FULL_FEATURES)) -> DataFrame:
+    """Paired test of a feature model against a sequence model on the points both can predict."""
+    points = paired_points(demand, features)
+    both = predict(model, score_sequences(sequence_model, points), "by_features")
+    errors = paired_errors(both, "by_features", "prediction", "target")
+    return paired_t_test(errors, ("features", "sequence"))

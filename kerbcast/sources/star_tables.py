@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def trips_from_events(events: DataFrame) -> DataFrame:
     zones = F.array(*[F.lit(z) for z in TRIP_ZONES])
-    pickup = F.col("ts") + F.make_dt_interval(F.lit(303))
+    pickup = F.col("ts").cast("timestamp_ntz") + F.make_dt_interval(F.lit(303))
     surcharge = F.when(F.col("event_id") % 7 != 0, (F.col("event_id") % 4) / 2.0)
     return events.select(
         F.col("event_id").alias("trip_id"),

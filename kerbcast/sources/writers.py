@@ -68,6 +68,11 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def replace_rows(df: DataFrame, path: str) -> None:
+    """Result tables that are rebuilt as a whole: flagged anomalies, zone clusters, baselines, margins."""
+    df.write.mode("overwrite").parquet(path)
+
+
 def version_row(
     spark: SparkSession, id_: int, name: str, mae: float, mape: float, trained_at: datetime,
     params: Mapping[str, float] | None = None,
@@ -96,6 +101,18 @@ def run_rows(
     )
 
 
+def runs_from_records(spark: SparkSession, records: Sequence[Mapping], tags: Mapping[str, str]) -> DataFrame:
+    """Earlier runs given as records (run_name, experiment, params, metrics, features), for a backfill."""
+    rows = []
+    for r in records:
+        params = {k: str(v) for k, v in r.get("params", {}).items()}
+        if r.get("features"):
+            params["features"] = ", ".join(r["features"])
+        metrics = {k: float(v) for k, v in r.get("metrics", {}).items() if v is not None}
+        rows.append((r["run_name"], r["experiment"], params, metrics, dict(tags)))
+    return spark.createDataFrame(rows, RUN_SCHEMA)
+
+
 def search_runs(runs: DataFrame) -> DataFrame:
     """The columns a run listing shows."""
     return runs.select(

@@ -95,6 +95,10 @@ def test_runs(spark):
     row = stored.where("run_name = 'a' AND experiment = 'demand'").first()
     assert row["metrics"] == {"mae": 1.0} and row["params"] == {"n_estimators": "300", "features": "x, y"}
     assert writers.search_runs(stored).where("n_estimators = '300'").count() == 2
+    old = [{"run_name": "fare", "experiment": "fare", "params": {"depth": 6}, "features": ["x"], "metrics": {"mae": 2, "mape": None}}]
+    record = writers.runs_from_records(spark, old, {"source": "historical"}).first()
+    assert record["params"] == {"depth": "6", "features": "x"} and record["metrics"] == {"mae": 2.0}
+    assert record["tags"] == {"source": "historical"}
 
 
 def test_scoring(spark, hourly):
