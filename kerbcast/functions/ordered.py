@@ -1,9 +1,9 @@
 """Exact order statistics without sorting a whole column in one task.
 
 A column is first reduced to distinct values with their totals (partial aggregation runs before the
-shuffle, so a hot value costs nothing). Split points are then taken from the distinct values with the
-smallest hashes, which is a reproducible uniform sample of them; they only decide where the ordered
-values are cut into pieces, never which rows count. Piece totals give every piece its starting rank,
+shuffle, so a hot value costs nothing). Split points are chosen among the distinct values by hash, which
+is reproducible and uniform; they only decide where the ordered values are cut into pieces, never which
+rows count. Piece totals give every piece its starting rank,
 and the running sums are windows inside one piece. There are at most ``pieces`` split points and starting
 ranks per column, so the broadcasts that carry them to the values have a fixed size.
 
@@ -93,24 +93,42 @@ def _near_ranks(long: DataFrame, probs: Sequence[float]) -> tuple[DataFrame, Dat
     return rows, held
 
 
-def _in_pieces(totals: DataFrame, sums: Sequence[str], pieces: int) -> tuple[DataFrame, DataFrame]:
-    """The totals with their ``piece`` (0 to ``pieces``), and per piece the sums before, in and over all."""
-    # `n` orders after the hash only so that this branch reads the same shuffled aggregate as the rows.
-    by_hash = Window.partitionBy("feature").orderBy(F.xxhash64("value"), "value", "n")
-    split_points = (
-        totals.withColumn("pick", F.row_number().over(by_hash))
-        .where(F.col("pick") <= pieces)
-        .groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("points"))
+def _with_piece(totals: DataFrame, long: DataFrame, pieces: int) -> DataFrame:
+    """The totals with their ``piece``, 0 to ``pieces``, rising with the value.
+
+    Split points are one value per hash class, the one with the smallest second hash: a uniform choice
+    among the distinct values that partial aggregation makes without sorting or shuffling rows.
+    """
+    points = (
+        long.groupBy("feature", F.pmod(F.xxhash64("value"), F.lit(pieces)).alias("class"))
+        .agg(F.min_by("value", F.xxhash64("value", F.lit(1))).alias("point"))
+        .groupBy("feature").agg(F.array_sort(F.collect_list("point")).alias("points"))
     )
-    cut = totals.join(F.broadcast(split_points), "feature").select(
-        *totals.columns, F.size(F.filter("points", lambda p: p <= F.col("value"))).alias("piece")
+    # Two short searches instead of one long one: first among every width-th point, then in its block.
+    width = max(1, round(pieces**0.5))
+    starts = F.sequence(F.lit(0), F.lit((pieces - 1) // width))
+    blocks = points.select(
+        "feature",
+        F.filter("points", lambda _, i: i % width == 0).alias("heads"),
+        F.transform(starts, lambda i: F.slice("points", i * width + 1, width)).alias("blocks"),
     )
+    reached = F.size(F.filter("heads", lambda p: p <= F.col("value")))
+    block = F.try_element_at("blocks", F.nullif(reached, F.lit(0)))
+    inside = F.coalesce(F.size(F.filter(block, lambda p: p <= F.col("value"))), F.lit(0))
+    return totals.join(F.broadcast(blocks), "feature").select(
+        *totals.columns, (F.greatest(reached - 1, F.lit(0)) * width + inside).alias("piece")
+    )
+
 
+def _piece_sums(cut: DataFrame, sums: Sequence[str]) -> DataFrame:
+    """Per piece the sums before it, in it and over all; at most ``pieces + 1`` rows per feature."""
     in_order = Window.partitionBy("feature").orderBy("piece")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("feature")
-    bases = (
-        cut.groupBy("feature", "piece").agg(*[F.sum(s).alias(s) for s in sums])
+    # The largest value is taken along so that this branch reads the same shuffled columns as the rows.
+    return (
+        cut.groupBy("feature", "piece").agg(F.max("value").alias("top"), *[F.sum(s).alias(s) for s in sums])
+        .where(F.col("top").isNotNull())
         .select(
             "feature", "piece",
             *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"{s}_before") for s in sums],
@@ -118,7 +136,6 @@ def _in_pieces(totals: DataFrame, sums: Sequence[str], pieces: int) -> tuple[Dat
             *[F.sum(s).over(whole).alias(f"{s}_total") for s in sums],
         )
     )
-    return cut, bases
 
 
 def running_totals(
@@ -127,7 +144,10 @@ def running_totals(
 ) -> DataFrame:
     """Per distinct value: its totals, ``*_upto`` (values up to and including it) and ``*_total``."""
     sums = ["n", *(measures or {})]
-    cut, bases = _in_pieces(distinct_totals(df, columns, measures), sums, pieces)
+    long = _long(df, columns, measures)
+    # Both uses of the pieces read the same shuffled rows.
+    cut = _with_piece(_totals(long, sums[1:]), long, pieces).repartition("feature", "piece")
+    bases = _piece_sums(cut, sums)
     inside = (
         Window.partitionBy("feature", "piece").orderBy("value")
         .rowsBetween(Window.unboundedPreceding, 0)
@@ -151,7 +171,8 @@ def quantiles(
     held = None
     if coarse_first:
         long, held = _near_ranks(long, probs)
-    cut, bases = _in_pieces(_totals(long), ["n"], pieces)
+    cut = _with_piece(_totals(long), long, pieces)
+    bases = _piece_sums(cut, ["n"])
     value, start, size = F.col("value"), F.col("n_before"), F.col("n_piece")
     if held is None:
         bases = bases.withColumn("all_rows", F.col("n_total"))
