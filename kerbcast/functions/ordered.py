@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-PIECES = 128
+# Pieces limit the parallelism of sorting a column with very many distinct values; raise them with it.
+PIECES = 512
 
 
 def _long(

@@ -10,6 +10,7 @@ from kerbcast.operators.demand import (
 from kerbcast.operators.validation import (
     DEMAND_COLUMNS, DEMAND_RULES, TRIP_RULES, check, require_columns,
 )
+from kerbcast.session import written
 
 
 def enrich(cells: DataFrame, weather: DataFrame, holidays: DataFrame) -> DataFrame:
@@ -23,10 +24,11 @@ def build_demand(
     """One row per zone and hour with a trip.
 
     The only shuffle of trip-sized data is the count per zone and hour, which is combined before it.
-    With ``validate``, both ends are checked and a broken rule raises.
+    With ``validate``, both ends are checked and a broken rule raises. The checked demand is a written
+    table, so that the check and the caller do not each count the trips again.
     """
     if validate:
         check(trips, TRIP_RULES, "trips")
     demand = enrich(hourly_demand(trips), weather, holidays)
     require_columns(demand, DEMAND_COLUMNS)
-    return check(demand, DEMAND_RULES, "demand") if validate else demand
+    return check(written(demand, "checked-demand"), DEMAND_RULES, "demand") if validate else demand

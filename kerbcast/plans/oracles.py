@@ -654,5 +654,5 @@ ORACLES: dict[str, str] = {
         FROM clean) - INTERVAL 2 HOUR""",
     "stream_psi": BASE + _baseline(["fare_amount", "trip_distance"], "clean") + _psi(["fare_amount", "trip_distance"], "trips")
     + " SELECT feature, n, round(psi, 6) AS psi FROM psi",
-    "stream_history": BASE + " SELECT trip_id, PULocationID, tpep_pickup_datetime FROM trips",
+    "stream_history": BASE + " SELECT PULocationID, pickup_hour_ts, trip_count FROM cells",
 }

@@ -952,15 +952,14 @@ def score_requests(t: Tables) -> DataFrame:
 
 # --- streams ---------------------------------------------------------------------------------------
 
-def _stream(t: Tables) -> DataFrame:
-    schema = t.spark.read.parquet(t.trip_files).schema
-    return hourly.trip_stream(t.spark, t.trip_files, schema)
+def _trip_stream(t: Tables) -> DataFrame:
+    return hourly.parquet_stream(t.spark, t.trip_files, t.spark.read.parquet(t.trip_files).schema)
 
 
 @query
 def stream_hourly_demand(t: Tables) -> DataFrame:
     out, state = fresh_path(t.spark, "stream-demand"), fresh_path(t.spark, "stream-state")
-    cleaned = cleaning.plausible_trips(_stream(t))
+    cleaned = cleaning.plausible_trips(_trip_stream(t))
     hourly.run_to_files(hourly.hourly_demand_stream(cleaned), out, state)
     return t.spark.read.parquet(out)
 
@@ -968,9 +967,8 @@ def stream_hourly_demand(t: Tables) -> DataFrame:
 @query
 def stream_history(t: Tables) -> DataFrame:
     out, state = fresh_path(t.spark, "stream-history"), fresh_path(t.spark, "stream-state")
-    reader = hourly.trip_stream(t.spark, t.trip_files, t.spark.read.parquet(t.trip_files).schema, 1)
-    keys = reader.select("trip_id", ZONE, PICKUP)
-    hourly.run_batches(keys, hourly.insert_new_cells(out, ["trip_id"]), state)
+    cells = hourly.parquet_stream(t.spark, t.demand_files, t.demand.schema).select(*CELL, COUNT)
+    hourly.run_batches(cells, hourly.insert_new_cells(out), state)
     return t.spark.read.parquet(out)
 
 
@@ -979,5 +977,5 @@ def stream_psi(t: Tables) -> DataFrame:
     out, state = fresh_path(t.spark, "stream-psi"), fresh_path(t.spark, "stream-state")
     features = ["fare_amount", "trip_distance"]
     baseline = drift.feature_baseline(t.clean, features)
-    hourly.run_batches(_stream(t), hourly.batch_drift(baseline, features, out), state)
+    hourly.run_batches(_trip_stream(t), hourly.batch_drift(baseline, features, out), state)
     return t.spark.read.parquet(out).select("feature", "n", "psi")

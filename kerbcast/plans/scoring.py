@@ -22,6 +22,7 @@ from kerbcast.operators.lags import latest_history, time_lags
 from kerbcast.operators.residuals import forecast_errors
 from kerbcast.plans.demand_build import build_demand
 from kerbcast.schemas import FULL_FEATURES, HOUR_TS, MAX_ZONE, SEQUENCE_FEATURES, ZONE
+from kerbcast.session import written
 from kerbcast.sources.readers import load_clean_trips
 
 
@@ -129,4 +130,5 @@ def monitor_month(
     trips = load_clean_trips(spark, trip_files, year, month)
     demand = build_demand(trips, weather, holidays, validate=True)
     rows = with_filled_weather(time_lags(demand, history, history_zone="zone_id"))
-    return monitor(predict(model, rows), baseline, versions, name, features)
+    scored = written(predict(model, rows), "scored-month")
+    return monitor(scored, baseline, versions, name, features)

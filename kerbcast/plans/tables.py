@@ -104,10 +104,14 @@ class Tables:
         return path
 
     @cached_property
-    def demand(self) -> DataFrame:
+    def demand_files(self) -> str:
         path = fresh_path(self.spark, "demand")
         writers.write_demand(build_demand(self.clean, self.weather, self.holidays), path)
-        return readers.read_demand(self.spark, path).drop("year")
+        return path
+
+    @cached_property
+    def demand(self) -> DataFrame:
+        return readers.read_demand(self.spark, self.demand_files).drop("year")
 
     @cached_property
     def history(self) -> DataFrame:

@@ -38,7 +38,7 @@ def workspace(spark: SparkSession) -> str:
     That folder is shared between the machines of a cluster, so a written table outlives an executor.
     Only a local session may fall back to a temporary folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     app = spark.sparkContext.applicationId
     if not base:
         if not spark.sparkContext.master.startswith("local"):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from kerbcast.operators.cleaning import clean_trips, within_month
@@ -23,19 +26,22 @@ def file_month(part: int) -> Column:
 
 
 def read_trips(
-    spark: SparkSession, path: str, year: int | None = None, month: int | None = None
+    spark: SparkSession, path: str, year: int | None = None, month: int | None = None,
+    skip_corrupt: bool = False, schema: StructType | None = None,
 ) -> DataFrame:
     """All trip files below ``path`` with ``file_year`` and ``file_month``.
 
     A given year or month limits the listing by file name, so other files are never opened. Raises if
-    nothing matches.
+    nothing matches. Unreadable files fail the job unless ``skip_corrupt`` is set; then a ``schema``
+    should be given too, as it cannot always be taken from the files.
     """
     y = f"{year:04d}" if year is not None else "[0-9][0-9][0-9][0-9]"
     m = f"{month:02d}" if month is not None else "[0-9][0-9]"
     name = f"*tripdata[_=]{y}-{m}*"
     files = f"{path.rstrip('/')}/{{{name},*/{name},*/*/{name}}}"
     try:
-        trips = spark.read.option("recursiveFileLookup", True).parquet(files)
+        reader = spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", skip_corrupt)
+        trips = (reader.schema(schema) if schema else reader).parquet(files)
     except AnalysisException as e:
         raise ValueError(f"no parquet files found for year={year}, month={month}") from e
     return trips.withColumns({"file_year": file_month(1), "file_month": file_month(2)})
@@ -51,13 +57,20 @@ def load_clean_trips(
     return clean_trips(trips)
 
 
-def file_completeness(trips: DataFrame, ts: str = PICKUP) -> DataFrame:
-    """Per file month: the newest pickup, and whether it reaches the last day of that month."""
+def file_completeness(
+    trips: DataFrame, ts: str = PICKUP, expected: Sequence[tuple[int, int]] | None = None
+) -> DataFrame:
+    """Per file month: the newest pickup, and whether it reaches the last day of that month.
+
+    ``expected`` lists (year, month) pairs that must appear: a month without a readable file is
+    incomplete. Only the time column is read, and one row per month leaves each task.
+    """
+    months = trips.groupBy("file_year", "file_month").agg(F.max(ts).alias("last_pickup"))
+    if expected is not None:
+        wanted = trips.sparkSession.createDataFrame(list(expected), "file_year int, file_month int")
+        months = wanted.join(months, ["file_year", "file_month"], "left")
     last = F.last_day(F.make_date("file_year", "file_month", F.lit(1)))
-    return (
-        trips.groupBy("file_year", "file_month").agg(F.max(ts).alias("last_pickup"))
-        .withColumn("complete", F.coalesce(F.to_date("last_pickup") >= last, F.lit(False)))
-    )
+    return months.withColumn("complete", F.coalesce(F.to_date("last_pickup") >= last, F.lit(False)))
 
 
 def clean_weather(raw: DataFrame) -> DataFrame:
@@ -77,6 +90,12 @@ def read_weather_json(spark: SparkSession, path: str, multi_line: bool = True) -
     return clean_weather(hours)
 
 
+def read_holidays(spark: SparkSession, path: str) -> DataFrame:
+    """Holiday parquet files, one per year, as (date, name); dates may be stored as text."""
+    rows = spark.read.option("recursiveFileLookup", True).parquet(path)
+    return rows.select(F.to_date("date").alias("date"), "name")
+
+
 def read_holidays_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Arrays of holiday objects as (date, name); other fields are not parsed."""
     rows = spark.read.schema(HOLIDAY_JSON).option("multiLine", multi_line).json(path)

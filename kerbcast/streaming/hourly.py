@@ -16,7 +16,7 @@ from kerbcast.schemas import COUNT, HOUR_TS, PICKUP, ZONE
 from kerbcast.sources.writers import exists
 
 
-def trip_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
+def parquet_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

@@ -42,6 +42,23 @@ def test_files_are_chosen_by_name(spark, tmp_path):
         readers.read_trips(spark, str(tmp_path), 2031, 1)
 
 
+def test_unreadable_or_missing_months_are_incomplete(spark, tmp_path):
+    trips(spark, [datetime(2024, 1, 31, 5)]).write.parquet(f"{tmp_path}/2024/yellow_tripdata_2024-01.parquet")
+    (tmp_path / "2024" / "yellow_tripdata_2024-02.parquet").write_bytes(b"not a parquet file")
+    schema = spark.read.parquet(f"{tmp_path}/2024/yellow_tripdata_2024-01.parquet").schema
+    found = readers.read_trips(spark, str(tmp_path), skip_corrupt=True, schema=schema)
+    rows = readers.file_completeness(found, expected=[(2024, 1), (2024, 2), (2024, 3)]).collect()
+    assert {r["file_month"]: r["complete"] for r in rows} == {1: True, 2: False, 3: False}
+
+
+def test_holidays_by_year(spark, tmp_path):
+    for year in (2023, 2024):
+        spark.createDataFrame([(f"{year}-11-11", "Veterans Day"), (f"{year}-12-25", "Christmas Day")], "date string, name string"
+                              ).write.parquet(f"{tmp_path}/{year}/holidays-{year}.parquet")
+    days = readers.holiday_dates(readers.read_holidays(spark, str(tmp_path)))
+    assert {r["date"] for r in days.collect()} == {date(y, m, d) for y in (2023, 2024) for m, d in ((11, 11), (12, 25))}
+
+
 def test_weather_and_holiday_documents(spark, tmp_path):
     doc = {"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "temperature_2m": [1.5, None],
                       "precipitation": [0.0, 0.2], "snowfall": [0.0, 0.0]}, "latitude": 40.7}
@@ -149,7 +166,7 @@ def test_stream_closes_hours_behind_the_watermark(spark, tmp_path):
     path = str(tmp_path / "in")
     for part in (first, more, late, last):
         trips(spark, part).coalesce(1).write.mode("append").parquet(path)
-    stream = streams.trip_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
+    stream = streams.parquet_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
     out = str(tmp_path / "out")
     streams.run_to_files(streams.hourly_demand_stream(stream), out, str(tmp_path / "state"))
     got = {r["pickup_hour_ts"].hour: r["trip_count"] for r in spark.read.parquet(out).collect()}
