@@ -127,6 +127,15 @@ def profile(df: DataFrame, ts: str, distinct: Sequence[str], nullable: Sequence[
     )
 
 
+def null_counts(df: DataFrame) -> DataFrame:
+    """(column, n_null) for every column, from one pass."""
+    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n_null")) for i, c in enumerate(df.columns)
+    ])
+    return wide.select(F.inline(rows))
+
+
 def mutual_information(
     df: DataFrame, features: Sequence[str], target: str, bins: int = 10
 ) -> DataFrame:

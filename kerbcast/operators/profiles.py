@@ -33,6 +33,11 @@ def share_at_least(cells: DataFrame, floor: int = 10, column: str = COUNT) -> Da
     )
 
 
+def cells_by_hour(cells: DataFrame) -> DataFrame:
+    """Number of (zone, weekday) cells that have trips in an hour of day."""
+    return cells.groupBy("pickup_hour").agg(F.count(F.lit(1)).alias("cells"))
+
+
 def trips_by_hour(trips: DataFrame, ts: str = PICKUP) -> DataFrame:
     return trips.groupBy(F.hour(ts).alias("pickup_hour")).agg(F.count(F.lit(1)).alias("trips"))
 

@@ -98,11 +98,19 @@ def failures(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str] = ()) ->
     )
 
 
-def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+def with_outcome(df: DataFrame, rules: Sequence[Rule], name: str = "outcome") -> DataFrame:
+    """``valid`` or ``rejected`` per row."""
     bad = F.lit(False)
     for r in rules:
         bad = bad | r.broken()
-    return df.where(~bad), df.where(bad)
+    return df.withColumn(name, F.when(bad, "rejected").otherwise("valid"))
+
+
+def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+    marked = with_outcome(df, rules, "_outcome")
+    return tuple(
+        marked.where(F.col("_outcome") == part).drop("_outcome") for part in ("valid", "rejected")
+    )
 
 
 def with_request_defaults(requests: DataFrame) -> DataFrame:

@@ -390,8 +390,8 @@ ORACLES: dict[str, str] = {
       FROM filed WHERE trip_distance > 0.15 AND trip_distance <= 40 AND fare_amount > 3.5 AND fare_amount <= 150
         AND date_trunc('month', tpep_pickup_datetime) = file_start GROUP BY ALL""",
     "scan_one_month": BASE + """ SELECT trip_id, tpep_pickup_datetime, round(trip_duration, 6) AS trip_duration,
-      extra AS Airport_fee FROM clean WHERE trip_id % 50 <> 0 AND tpep_pickup_datetime >= TIMESTAMP '2024-11-01'
-      AND tpep_pickup_datetime < TIMESTAMP '2024-12-01'""",
+      extra AS Airport_fee FROM clean WHERE trip_id % 50 <> 0
+      AND tpep_pickup_datetime >= (SELECT date_trunc('month', max(tpep_pickup_datetime)) FROM trips)""",
     "weather_hourly": BASE + " SELECT pickup_hour_ts, round(temperature_2m, 6) AS temperature_2m, precipitation, snowfall FROM weather",
     "weather_from_json": BASE + " SELECT pickup_hour_ts, round(temperature_2m, 6) AS temperature_2m, precipitation, snowfall FROM weather",
     "holiday_dates": """SELECT DISTINCT unnest([make_date(y, 11, 11),
@@ -483,6 +483,12 @@ ORACLES: dict[str, str] = {
       (isodow(tpep_pickup_datetime) - 1)::BIGINT AS pickup_dow, count(*)::BIGINT AS trip_count FROM clean GROUP BY ALL""",
     "busy_cell_share": BASE + """ SELECT count(*)::BIGINT AS cells, round(avg((n >= 10)::INT) * 100, 6) AS pct_at_least FROM (
       SELECT count(*) AS n FROM clean GROUP BY PULocationID, hour(tpep_pickup_datetime), isodow(tpep_pickup_datetime))""",
+    "cells_by_hour": BASE + """ SELECT pickup_hour, count(*)::BIGINT AS cells FROM (
+      SELECT DISTINCT PULocationID, hour(tpep_pickup_datetime)::BIGINT AS pickup_hour, isodow(tpep_pickup_datetime) FROM clean) GROUP BY 1""",
+    "null_counts": BASE + " " + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL)::BIGINT AS n_null FROM demand" for c in (
+            "PULocationID", "pickup_hour_ts", "trip_count", "pickup_hour", "pickup_dow", "pickup_week", "pickup_is_weekend",
+            "is_airport", "temperature_2m", "precipitation", "snowfall", "is_holiday", "is_nyc_event")),
     "trips_by_hour": BASE + " SELECT hour(tpep_pickup_datetime)::BIGINT AS pickup_hour, count(*)::BIGINT AS trips FROM clean GROUP BY 1",
     "trips_by_dow": BASE + " SELECT (isodow(tpep_pickup_datetime) - 1)::BIGINT AS pickup_dow, count(*)::BIGINT AS trips FROM clean GROUP BY 1",
     "trips_dow_hour_pivot": BASE + f""" SELECT pickup_dow, {HOUR_PIVOT} FROM (

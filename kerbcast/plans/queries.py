@@ -68,7 +68,7 @@ def scan_trips(t: Tables) -> DataFrame:
 
 @query
 def scan_one_month(t: Tables) -> DataFrame:
-    loaded = readers.load_clean_trips(t.spark, t.trip_files, 2024, 11)
+    loaded = readers.load_clean_trips(t.spark, t.trip_files, *t.newest_month)
     return loaded.select("trip_id", PICKUP, "trip_duration", "Airport_fee")
 
 
@@ -217,13 +217,8 @@ def validate_requests(t: Tables) -> DataFrame:
         (F.col("snowfall") - 1).alias("snowfall"),
         F.when(F.col(COUNT) > 1, F.col(COUNT)).alias("lag_24h"), F.lit(0.0).alias("lag_168h"), "is_nyc_event",
     )
-    valid, bad = validation.split_valid(
-        validation.with_request_defaults(requests), validation.REQUEST_RULES
-    )
-    counted = lambda df, name: df.groupBy("zone_id").agg(
-        F.lit(name).alias("outcome"), F.count(F.lit(1)).alias("n"), F.sum("lag_24h").alias("lags")
-    )
-    return counted(valid, "valid").unionByName(counted(bad, "rejected"))
+    marked = validation.with_outcome(validation.with_request_defaults(requests), validation.REQUEST_RULES)
+    return marked.groupBy("zone_id", "outcome").agg(F.count(F.lit(1)).alias("n"), F.sum("lag_24h").alias("lags"))
 
 
 @query
@@ -378,6 +373,11 @@ def busy_cell_share(t: Tables) -> DataFrame:
     return profiles.share_at_least(profiles.trips_by_zone_hour_dow(t.clean))
 
 
+@query
+def cells_by_hour(t: Tables) -> DataFrame:
+    return profiles.cells_by_hour(profiles.trips_by_zone_hour_dow(t.clean))
+
+
 @query
 def trips_by_hour(t: Tables) -> DataFrame:
     return profiles.trips_by_hour(t.clean)
@@ -496,6 +496,11 @@ def profile_trips(t: Tables) -> DataFrame:
     return distribution.profile(t.trips, PICKUP, [ZONE, "DOLocationID"], ["Airport_fee", "extra", "fare_amount"])
 
 
+@query
+def null_counts(t: Tables) -> DataFrame:
+    return distribution.null_counts(t.demand)
+
+
 @query
 def demand_years(t: Tables) -> DataFrame:
     return t.demand.select(F.year(HOUR_TS).alias("year")).distinct()
@@ -900,7 +905,7 @@ def ab_test_models(t: Tables) -> DataFrame:
 def monitor_month(t: Tables) -> DataFrame:
     train, _ = _model_split(t)
     return scoring.monitor_month(
-        t.spark, t.trip_files, 2024, 11, t.weather, t.holidays, t.history,
+        t.spark, t.trip_files, *t.newest_month, t.weather, t.holidays, t.history,
         regression.fit(train, FULL_FEATURES), t.drift_baseline, t.versions, "demand_mean",
     ).select("mae", "mape", "output_drifted", "retrain", "reasons")
 

@@ -63,6 +63,12 @@ class Tables:
         writers.write_trip_months(self.trips.withColumn("label", label), path, "label")
         return path
 
+    @cached_property
+    def newest_month(self) -> tuple[int, int]:
+        """Year and month of the newest pickup."""
+        last = self.trips.agg(F.max(PICKUP).alias("ts")).first()["ts"]
+        return last.year, last.month
+
     @cached_property
     def weather_files(self) -> str:
         path = fresh_path(self.spark, "raw-weather")
