@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kerbcast.functions.ordered import quantiles
+from kerbcast.functions.scalars import as_value
 from kerbcast.schemas import AIRPORT_ZONES, MAE_LIMIT, MAPE_LIMIT, OUTPUT_DRIFT_LIMIT, PSI_LIMIT
 
 DECILES = [i / 10 for i in range(11)]
@@ -16,14 +17,15 @@ FLOOR = 1e-6
 
 
 def feature_baseline(
-    df: DataFrame, features: Sequence[str], categorical: Collection[str] = ()
+    df: DataFrame, features: Sequence[str], categorical: Collection[str] = (), coarse_first: bool = False
 ) -> DataFrame:
     """(feature, breakpoints[11], n): exact deciles of the numeric features.
 
     Categorical features are skipped, and so are features whose deciles are not all different.
+    ``coarse_first`` suits raw tables, see ``ordered.quantiles``.
     """
     columns = {f: F.col(f) for f in features if f not in categorical}
-    found = quantiles(df, columns, DECILES)
+    found = quantiles(df, columns, DECILES, coarse_first=coarse_first)
     return found.select("feature", F.col("q").alias("breakpoints"), "n").where(
         F.size(F.array_distinct("breakpoints")) == len(DECILES)
     )
@@ -41,18 +43,18 @@ def feature_psi(df: DataFrame, baseline: DataFrame, features: Sequence[str]) ->
     kept = baseline.where(F.col("feature").isin(shared)).where(
         F.size(F.array_distinct("breakpoints")) == F.size("breakpoints")
     )
-    edges = kept.agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", "breakpoints"))).alias("m")
-    ).scalar()
+    edges = as_value(kept.agg(*[
+        F.max(F.when(F.col("feature") == f, F.col("breakpoints"))).alias(f"e{i}") for i, f in enumerate(shared)
+    ]))
 
-    def bin_of(f: str) -> Column:
-        # Inner edges only: the outer bins are open-ended. Bins are [low, high).
-        inner = F.slice(F.element_at("_edges", F.lit(f)), 2, 9)
-        return F.size(F.filter(inner, lambda e: e <= F.col(f)))
+    def bin_of(i: int, f: str) -> Column:
+        # Bins are [low, high). Only the nine inner edges count: the outer bins are open-ended.
+        at_or_above = [(F.col(f) >= F.col(f"_edges.e{i}")[k]) for k in range(1, 10)]
+        return sum([F.when(c, 1).otherwise(0) for c in at_or_above], F.lit(0))
 
     cells = F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x"), bin_of(f).alias("bin"))
-        for f in shared
+        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x"), bin_of(i, f).alias("bin"))
+        for i, f in enumerate(shared)
     ])
     counted = (
         df.select(*shared).withColumn("_edges", edges).select(F.inline(cells))

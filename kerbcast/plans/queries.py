@@ -981,6 +981,7 @@ def stream_history(t: Tables) -> DataFrame:
 def stream_psi(t: Tables) -> DataFrame:
     out, state = fresh_path(t.spark, "stream-psi"), fresh_path(t.spark, "stream-state")
     features = ["fare_amount", "trip_distance"]
-    baseline = drift.feature_baseline(t.clean, features)
+    # Stored once, as every batch reads it.
+    baseline = written(drift.feature_baseline(t.clean, features, coarse_first=True), "feature-baseline")
     hourly.run_batches(_trip_stream(t), hourly.batch_drift(baseline, features, out), state)
     return t.spark.read.parquet(out).select("feature", "n", "psi")
