@@ -2,4 +2,13 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_exact_copies": """
+        WITH rows AS (
+            SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                            'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+               doc_id = max(doc_id) OVER g AS kept, text_sha256
+        FROM rows WINDOW g AS (PARTITION BY text_sha256)""",
+}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbcast.llm import html_text, packing, personal_data, pieces
+from kerbcast.llm import exact_copies, html_text, packing, personal_data, pieces, quality
 from kerbcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,25 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
                           with_ids=False)
+
+
+def remainder(divisor: int) -> F.Column:
+    """crc32 of ``doc_id`` written as text, modulo ``divisor``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def held_out(divisor: int) -> F.Column:
+    return F.coalesce(remainder(divisor) == 1, F.lit(False))
+
+
+@query
+def op4_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_copies.copy_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.quality_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(3) != 1)
+    return scored.select("doc_id", held_out(3).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
