@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,18 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Itera
             yield batch.slice(at, rows)
 
 
+def sized(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of the column (or one longer text)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy())
+        part = ends // size
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for at, stop in zip(cuts, cuts[1:]):
+            yield batch.slice(at, stop - at)
+
+
 def ascii_words(text: str) -> list[bytes]:
     """Maximal runs without space, tab, line feed, vertical tab, form feed and carriage return; A-Z in lower
     case. Both methods of ``bytes`` know ASCII only, which is the rule wanted here."""
