@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbcast.llm import exact_copies, html_text, packing, personal_data, pieces, quality
+from kerbcast.llm import exact_copies, html_text, language, near_copies, packing, personal_data, pieces, quality
 from kerbcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,14 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(3) != 1)
     return scored.select("doc_id", held_out(3).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.languages(table(spark, sf_dir, "documents"), remainder(3) != 1)
+    return found.select("doc_id", held_out(3).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_groups(table(spark, sf_dir, "documents"), words=3, percent=85)
