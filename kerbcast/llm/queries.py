@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbcast.llm import exact_copies, html_text, language, near_copies, packing, personal_data, pieces, quality
+from kerbcast.llm import exact_copies, fingerprints, html_text, language, near_copies, packing, personal_data, pieces, quality
 from kerbcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def joined(spans: str, kinds: tuple[str, ...] | None = None) -> F.Column:
     return F.concat_ws(",", F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
 
+@query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data.personal_data(table(spark, sf_dir, "documents"))
