@@ -9,6 +9,8 @@ squared fills), which empties bins. A block ends with at most a few underfull bi
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -26,34 +28,68 @@ END_ID = 0
 #: Pieces packed together; a block's loss is at most a few sequences in thousands.
 BLOCK_PIECES = 16_384
 #: Words remembered by one Python worker; emptied when full, which changes no result.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Sweeps of local search over the underfull bins of a block.
 SEARCH_SWEEPS = 8
 
 _TOKENIZERS: dict[str, "WordTokens"] = {}
 
 
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 characters stand
+    for themselves, the other bytes for the characters from 256 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
 class WordTokens(dict):
     """The ids (little-endian 32-bit) of words between ASCII white space, as the tokenizer gives them.
 
     Its normalisation and splitting drop white space and never look across it, so a text's ids are those of
-    its words in order; a test compares both.
+    its words in order. Most words are Latin letters with punctuation behind; those two parts are split, lower
+    case and composed as the tokenizer would have them, so its model takes them directly, and words that differ
+    in case or punctuation share their letters' ids. Any other word takes the tokenizer's whole way. Tests
+    compare both.
     """
 
+    #: Letters that lower-case one to one and have no other composed form; then ASCII punctuation.
+    SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = byte_letters()
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def part(self, s: str) -> bytes:
+        """Ids of one run of letters or of punctuation."""
+        found = self.parts.get(s)
+        if found is None:
+            mapped = s if s.isascii() else "".join([self.letters[b] for b in s.encode("utf-8")])
+            ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
+            found = self.parts[s] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
 
     def learn(self, words: set[bytes]) -> None:
         if len(self) > REMEMBERED:
             self.clear()
-        new = [w for w in words if w not in self]
-        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-        for w, e in zip(new, encoded):
-            self[w] = np.array(e.ids, dtype="<u4").tobytes()
+        if len(self.parts) > REMEMBERED // 2:
+            self.parts = {"": b""}
+        other = []
+        for w in words:
+            if w not in self:
+                simple = self.SIMPLE.fullmatch(w.decode("utf-8"))
+                if simple:
+                    self[w] = self.part(simple[1].lower()) + self.part(simple[2])
+                else:
+                    other.append(w)
+        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in other], add_special_tokens=False)
+        for w, e in zip(other, encoded):
+            self[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
 
 def tokens_at(path: str) -> WordTokens:
