@@ -240,8 +240,13 @@ def second_pass(labels: list[int], sizes: list[int]) -> list[int]:
 
 
 def main_text(page: str) -> str:
+    """Text of the blocks kept by both passes. On a page whose article elements hold enough text, nothing
+    outside them belongs to it."""
     found = blocks_of(page)
-    labels = second_pass([first_pass(b) for b in found], [len(b.text) for b in found])
+    first = [first_pass(b) for b in found]
+    if sum(len(b.text) for b, label in zip(found, first) if b.place == label == GOOD) >= LONG:
+        first = [label if b.place == GOOD else BAD for b, label in zip(found, first)]
+    labels = second_pass(first, [len(b.text) for b in found])
     return " ".join(b.text for b, label in zip(found, labels) if label == GOOD)
 
 
