@@ -37,13 +37,6 @@ def _long(
     return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def distinct_totals(
-    df: DataFrame, columns: Mapping[str, Column], measures: Mapping[str, Column] | None = None
-) -> DataFrame:
-    """(feature, value, n, measures...) per distinct value."""
-    return _totals(_long(df, columns, measures), list(measures or {}))
-
-
 def _totals(long: DataFrame, measures: Sequence[str] = ()) -> DataFrame:
     return long.groupBy("feature", "value").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(m).alias(m) for m in measures]

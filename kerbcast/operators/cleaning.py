@@ -75,8 +75,8 @@ def more_trips_than(demand: DataFrame, floor: float, count: str = "trip_count")
 
 def latest_year(df: DataFrame, ts: str) -> DataFrame:
     """Rows of the newest year. The newest time is one scalar and the filter a range on the column."""
-    newest = df.agg(F.max(ts).alias("ts")).scalar()
-    return df.where(F.year(ts) == F.year(newest))
+    first_day = df.agg(F.make_date(F.year(F.max(ts)), F.lit(1), F.lit(1)).cast(df.schema[ts].dataType).alias("d"))
+    return df.where(F.col(ts) >= first_day.scalar())
 
 
 def sample_share(df: DataFrame, share: float, keys: Sequence[str], seed: int = 42) -> DataFrame:

@@ -31,7 +31,8 @@ def with_calendar(df: DataFrame, ts: str = HOUR_TS, zone: str = ZONE) -> DataFra
 
 
 def with_weather(demand: DataFrame, weather: DataFrame) -> DataFrame:
-    """Left join on the hour. Hourly weather is small and is broadcast by its measured size."""
+    """Left join on the hour, which must not repeat in ``weather`` (``build_demand`` checks it). Hourly weather
+    is small and is broadcast by its measured size."""
     return demand.join(weather.select(HOUR_TS, *WEATHER), HOUR_TS, "left")
 
 

@@ -131,12 +131,12 @@ def retrain_decision(
     mae, mape = F.col("mae"), F.col("mape")
     two = lambda c: F.format_string("%.2f", c)
     reasons = F.array_compact(F.array(
-        F.when(mae > mae_limit, F.concat(F.lit("MAE "), two(mae), F.lit(f" > threshold {mae_limit:g}"))),
+        F.when(mae > mae_limit, F.concat(F.lit("mean error "), two(mae), F.lit(f" is above {mae_limit:g}"))),
         F.when(mape > mape_limit, F.concat(
-            F.lit("MAPE "), two(mape * 100), F.lit(f"% > threshold {mape_limit:.2%}"))),
-        F.when(F.col("output_drifted"), F.lit("output drift (>10% above rolling baseline)")),
+            F.lit("percentage error "), two(mape * 100), F.lit(f"% is above {mape_limit:.2%}"))),
+        F.when(F.col("output_drifted"), F.lit("errors rose against earlier runs")),
         F.when(F.size("drifted_features") > 0, F.concat(
-            F.lit("input feature drift: "), F.concat_ws(", ", "drifted_features"))),
+            F.lit("inputs have shifted: "), F.concat_ws(", ", "drifted_features"))),
     ))
     return scores.withColumn("reasons", F.concat_ws("; ", reasons)).withColumn(
         "retrain", F.length("reasons") > 0

@@ -59,15 +59,12 @@ def autocorrelation(
         totals = demand.groupBy(ZONE).agg(F.sum(COUNT).alias("total"))
         top = totals.agg(F.max_by(ZONE, F.struct("total", -F.col(ZONE))).alias(ZONE))
         series = series.where(F.col(ZONE) == top.scalar())
-    # One window for all lags: the rows before a row, the latest last. The pairs are reduced to one
-    # row per zone and lag before they are shuffled.
-    before = _in_time().rowsBetween(-max(lags), -1)
-    past = series.select(ZONE, "y", F.collect_list(F.struct(F.col("y").alias("v"))).over(before).alias("past"))
-    wanted = F.array(*[F.lit(n) for n in lags])
-    pairs = F.transform(wanted, lambda n: F.struct(
-        n.alias("lag"), F.try_element_at("past", -n)["v"].alias("earlier")
-    ))
-    return past.select(ZONE, "y", F.inline(pairs)).groupBy(ZONE, "lag").agg(
+    # Rows are numbered once; a row and its earlier one then meet by (zone, number), which spreads a zone.
+    numbered = series.select(ZONE, "y", F.row_number().over(_in_time()).alias("n"))
+    wanted = numbered.select(ZONE, "y", "n", F.explode(F.array(*[F.lit(n) for n in lags])).alias("lag"))
+    earlier = numbered.select(ZONE, F.col("n").alias("at"), F.col("y").alias("earlier"))
+    pairs = wanted.withColumn("at", F.col("n") - F.col("lag")).join(earlier, [ZONE, "at"], "left")
+    return pairs.groupBy(ZONE, "lag").agg(
         correlation(F.col("y"), F.col("earlier")).alias("r")
     )
 

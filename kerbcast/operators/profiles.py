@@ -12,10 +12,10 @@ from kerbcast.functions.ordered import quantiles
 from kerbcast.functions.scalars import cut
 from kerbcast.schemas import COUNT, PICKUP, ZONE
 
-# Bin edges and labels.
-SNOW_EDGES = [-0.01, 0, 1, 5, 999]
-SNOW_LABELS = ["None", "Trace (0-1 cm)", "Light (1-5 cm)", "Heavy (>5 cm)"]
-# End of fixed values.
+# Bin edges; the last one is open.
+SNOW_EDGES = [-0.01, 0, 1, 5, float("inf")]
+# End of fixed values. The labels are our own.
+SNOW_LABELS = ["none", "trace: to 1 cm", "light: to 5 cm", "heavy: over 5 cm"]
 
 
 def trips_by_zone_hour_dow(trips: DataFrame, ts: str = PICKUP) -> DataFrame:
@@ -115,7 +115,7 @@ def with_snow_bucket(demand: DataFrame) -> DataFrame:
 def snow_effect(demand: DataFrame) -> DataFrame:
     """Mean count per snowfall bucket and its change against hours without snow."""
     stats = (
-        with_snow_bucket(demand).where(F.col("snow_bucket").isNotNull()).groupBy("snow_bucket")
+        with_snow_bucket(demand).groupBy(F.coalesce("snow_bucket", F.lit("invalid: below 0")).alias("snow_bucket"))
         .agg(F.avg(COUNT).alias("mean_trips"), F.count(F.lit(1)).alias("n_obs"))
     )
     # At most one row per bucket label reaches this window.

@@ -16,13 +16,16 @@ from kerbcast.functions.ordered import quantile, quantile_list
 from kerbcast.functions.scalars import absolute_percentage, cut
 from kerbcast.schemas import COUNT, HOUR_TS, ZONE
 
-# Edges and labels of the demand bands, and quintile names.
-BAND_EDGES = [0, 5, 15, 50, 150, 9999]
-BAND_LABELS = ["<=5 (very low)", "5-15 (low)", "15-50 (medium)", "50-150 (high)", ">150 (peak)"]
-COARSE_BAND_EDGES = [0, 5, 20, 100, 9999]
-COARSE_BAND_LABELS = ["low (<5)", "medium (5-20)", "high (20-100)", "peak (>100)"]
+TOP = float("inf")
+# Edges of the demand bands; the last one is open.
+BAND_EDGES = [0, 5, 15, 50, 150, TOP]
+COARSE_BAND_EDGES = [0, 5, 20, 100, TOP]
+# End of fixed values. The labels are our own.
+BAND_LABELS = ["very low: to 5", "low: to 15", "medium: to 50", "high: to 150", "peak: over 150"]
+COARSE_BAND_LABELS = ["low: to 5", "medium: to 20", "high: to 100", "peak: over 100"]
 QUINTILES = ["Q1 (lowest)", "Q2", "Q3", "Q4", "Q5 (highest)"]
-# End of fixed values.
+#: Group of rows whose actual value lies in no band.
+NO_BAND = "no band: 0 or missing"
 
 
 def error_columns(actual: str = COUNT, prediction: str = "prediction") -> dict[str, Column]:
@@ -104,8 +107,8 @@ def with_demand_band(
 
 
 def error_by_band(df: DataFrame, actual: str = COUNT, prediction: str = "prediction", **bands) -> DataFrame:
-    """Values outside every band (0 among them) are left out."""
-    banded = with_demand_band(df, actual, **bands).where(F.col("demand_band").isNotNull())
+    """Values in no band (0, missing) are a group of their own."""
+    banded = with_demand_band(df, actual, **bands).withColumn("demand_band", F.coalesce("demand_band", F.lit(NO_BAND)))
     return error_by(banded, "demand_band", actual=actual, prediction=prediction)
 
 

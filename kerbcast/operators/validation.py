@@ -126,6 +126,14 @@ def check(df: DataFrame, rules: Sequence[Rule], name: str = "table") -> DataFram
     return df
 
 
+def check_unique(df: DataFrame, keys: Sequence[str], name: str = "table") -> DataFrame:
+    """The frame itself, or an error if a key occurs more than once."""
+    repeated = df.groupBy(*keys).count().where("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"{name} repeats {dict(zip(keys, repeated[0]))}")
+    return df
+
+
 def feature_matrix(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Feature columns and the target, after checking that they exist."""
     require_columns(df, [*features, target])

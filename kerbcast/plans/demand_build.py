@@ -8,8 +8,9 @@ from kerbcast.operators.demand import (
     hourly_demand, with_calendar, with_city_event, with_holiday, with_weather,
 )
 from kerbcast.operators.validation import (
-    DEMAND_COLUMNS, DEMAND_RULES, TRIP_RULES, check, require_columns,
+    DEMAND_COLUMNS, DEMAND_RULES, TRIP_RULES, check, check_unique, require_columns,
 )
+from kerbcast.schemas import HOUR_TS, ZONE
 from kerbcast.session import written
 
 
@@ -24,11 +25,16 @@ def build_demand(
     """One row per zone and hour with a trip.
 
     The only shuffle of trip-sized data is the count per zone and hour, which is combined before it.
-    With ``validate``, both ends are checked and a broken rule raises. The checked demand is a written
-    table, so that the check and the caller do not each count the trips again.
+    A repeated hour of weather would repeat demand rows and raises. With ``validate``, both ends are checked
+    and a broken rule or a repeated cell raises. The checked demand is a written table, so that the check and
+    the caller do not each count the trips again.
     """
+    check_unique(weather, [HOUR_TS], "weather")
     if validate:
         check(trips, TRIP_RULES, "trips")
     demand = enrich(hourly_demand(trips), weather, holidays)
     require_columns(demand, DEMAND_COLUMNS)
-    return check(written(demand, "checked-demand"), DEMAND_RULES, "demand") if validate else demand
+    if not validate:
+        return demand
+    checked = check(written(demand, "checked-demand"), DEMAND_RULES, "demand")
+    return check_unique(checked, [ZONE, HOUR_TS], "demand")

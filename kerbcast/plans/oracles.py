@@ -153,14 +153,12 @@ key_means AS (
 )"""
 
 CELL = "PULocationID, pickup_hour_ts"
-BAND = """CASE WHEN trip_count > 0 AND trip_count <= 5 THEN '<=5 (very low)'
-  WHEN trip_count > 5 AND trip_count <= 15 THEN '5-15 (low)' WHEN trip_count > 15 AND trip_count <= 50 THEN '15-50 (medium)'
-  WHEN trip_count > 50 AND trip_count <= 150 THEN '50-150 (high)' WHEN trip_count > 150 AND trip_count <= 9999 THEN '>150 (peak)' END"""
-COARSE = """CASE WHEN trip_count > 0 AND trip_count <= 5 THEN 'low (<5)'
-  WHEN trip_count > 5 AND trip_count <= 20 THEN 'medium (5-20)' WHEN trip_count > 20 AND trip_count <= 100 THEN 'high (20-100)'
-  WHEN trip_count > 100 AND trip_count <= 9999 THEN 'peak (>100)' END"""
-SNOW = """CASE WHEN s > -0.01 AND s <= 0 THEN 'None' WHEN s > 0 AND s <= 1 THEN 'Trace (0-1 cm)'
-  WHEN s > 1 AND s <= 5 THEN 'Light (1-5 cm)' WHEN s > 5 AND s <= 999 THEN 'Heavy (>5 cm)' END"""
+BAND = """CASE WHEN trip_count > 150 THEN 'peak: over 150' WHEN trip_count > 50 THEN 'high: to 150'
+  WHEN trip_count > 15 THEN 'medium: to 50' WHEN trip_count > 5 THEN 'low: to 15' WHEN trip_count > 0 THEN 'very low: to 5' END"""
+COARSE = """CASE WHEN trip_count > 100 THEN 'peak: over 100' WHEN trip_count > 20 THEN 'high: to 100'
+  WHEN trip_count > 5 THEN 'medium: to 20' WHEN trip_count > 0 THEN 'low: to 5' END"""
+SNOW = """CASE WHEN s > 5 THEN 'heavy: over 5 cm' WHEN s > 1 THEN 'light: to 5 cm'
+  WHEN s > 0 THEN 'trace: to 1 cm' WHEN s > -0.01 THEN 'none' END"""
 FILED = """, filed AS (
   SELECT *, date_trunc('month', CASE WHEN trip_id % 50 = 0 THEN tpep_pickup_datetime + INTERVAL 1 MONTH
     ELSE tpep_pickup_datetime END) AS file_start FROM trips
@@ -431,7 +429,7 @@ ORACLES: dict[str, str] = {
     "validation_failures": BASE + DAMAGED + " " + " UNION ALL ".join(
         f"SELECT pickup_hour_ts, '{c}' AS \"column\", '{name}' AS rule, {c}::VARCHAR AS value FROM damaged "
         f"WHERE NOT coalesce({ok}, false)"
-        for c, name, ok in DEMAND_RULES if c in ("PULocationID", "pickup_dow", "pickup_week", "is_holiday")),
+        for c, name, ok in DEMAND_RULES),
     "validate_requests": BASE + """, requests AS (
       SELECT PULocationID AS zone_id, pickup_hour + pickup_dow AS hour, pickup_dow AS day_of_week, pickup_week + 5 AS week,
         is_holiday, coalesce(snowfall - 1, 0) AS snowfall, CASE WHEN trip_count > 1 THEN trip_count ELSE 0 END AS lag_24h FROM demand)
@@ -513,9 +511,9 @@ ORACLES: dict[str, str] = {
       FROM (SELECT PULocationID, sum(trip_count) AS s FROM demand GROUP BY 1)
       WINDOW o AS (ORDER BY s DESC, PULocationID ROWS UNBOUNDED PRECEDING)""",
     "snow_effect": BASE + f""", b AS (SELECT snow_bucket, avg(trip_count) AS m, count(*) AS n FROM (
-        SELECT trip_count, {SNOW} AS snow_bucket FROM (SELECT *, coalesce(snowfall, 0) AS s FROM demand)) GROUP BY 1)
+        SELECT trip_count, coalesce({SNOW}, 'invalid: below 0') AS snow_bucket FROM (SELECT *, coalesce(snowfall, 0) AS s FROM demand)) GROUP BY 1)
       SELECT snow_bucket, round(m, 6) AS mean_trips, n::BIGINT AS n_obs,
-        round(m / (SELECT m FROM b WHERE snow_bucket = 'None') - 1, 6) AS vs_no_snow FROM b WHERE snow_bucket IS NOT NULL""",
+        round(m / (SELECT m FROM b WHERE snow_bucket = 'none') - 1, 6) AS vs_no_snow FROM b""",
     "holiday_effect": BASE + """ SELECT is_holiday, round(avg(trip_count), 6) AS mean_trips, count(*)::BIGINT AS n_obs,
       round(median(trip_count), 6) AS median_trips,
       round(avg(trip_count) / (SELECT avg(trip_count) FROM demand WHERE is_holiday = 0) - 1, 6) AS lift FROM demand GROUP BY 1""",
@@ -547,7 +545,7 @@ ORACLES: dict[str, str] = {
     "residual_summary": EVAL + """ SELECT round(avg(residual), 6) AS bias, round(stddev_pop(residual), 6) AS residual_std,
       round(avg(abs_error), 6) AS mae, round(avg(trip_count), 6) AS mean_actual, round(quantile_cont(abs_error, 0.95), 6) AS p95_abs_error,
       round(avg(abs_error) / avg(trip_count), 6) AS mae_over_mean FROM residuals""",
-    "error_by_band": EVAL + f" SELECT * FROM (SELECT {BAND} AS demand_band, {ERRORS} FROM residuals GROUP BY 1) WHERE demand_band IS NOT NULL",
+    "error_by_band": EVAL + f" SELECT coalesce({BAND}, 'no band: 0 or missing') AS demand_band, {ERRORS} FROM residuals GROUP BY 1",
     "error_by_zone": EVAL + f" SELECT PULocationID, {ERRORS} FROM residuals GROUP BY 1",
     "error_by_hour": EVAL + f" SELECT pickup_hour, {ERRORS} FROM residuals GROUP BY 1",
     "worst_hours": EVAL + """, h AS (SELECT pickup_hour, avg(abs_error) AS m, avg(rel_error) * 100 AS r FROM residuals GROUP BY 1)
@@ -638,10 +636,10 @@ ORACLES: dict[str, str] = {
       round(drift_pct, 6) AS drift_pct, drifted FROM drifted""",
     "retrain_decision": DRIFT + _psi(DRIFT_FEATURES, "d_test") + VERSION_DRIFT + """, reasons AS (
       SELECT v.id, v.name, concat_ws('; ',
-        CASE WHEN mae > 0.7 THEN 'MAE ' || format('{:.2f}', mae) || ' > threshold 0.7' END,
-        CASE WHEN mape > 0.4 THEN 'MAPE ' || format('{:.2f}', mape * 100) || '% > threshold 40.00%' END,
-        CASE WHEN d.drifted THEN 'output drift (>10% above rolling baseline)' END,
-        (SELECT 'input feature drift: ' || string_agg(feature, ', ' ORDER BY feature) FROM psi WHERE psi > 0.2)) AS reasons
+        CASE WHEN mae > 7 THEN 'mean error ' || format('{:.2f}', mae) || ' is above 7' END,
+        CASE WHEN mape > 0.15 THEN 'percentage error ' || format('{:.2f}', mape * 100) || '% is above 15.00%' END,
+        CASE WHEN d.drifted THEN 'errors rose against earlier runs' END,
+        (SELECT 'inputs have shifted: ' || string_agg(feature, ', ' ORDER BY feature) FROM psi WHERE psi > 0.2)) AS reasons
       FROM versions v JOIN drifted d USING (name))
       SELECT id, name, length(reasons) > 0 AS retrain, reasons FROM reasons""",
     "request_features": BASE + """, requests AS (SELECT PULocationID AS zone_id, pickup_hour_ts + INTERVAL 1 DAY

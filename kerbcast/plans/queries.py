@@ -205,8 +205,7 @@ def validate_demand(t: Tables) -> DataFrame:
 
 @query
 def validation_failures(t: Tables) -> DataFrame:
-    rules = [r for r in validation.DEMAND_RULES if r.column in (ZONE, "pickup_dow", "pickup_week", "is_holiday")]
-    return validation.failures(_damaged(t), rules, [HOUR_TS])
+    return validation.failures(_damaged(t), validation.DEMAND_RULES, [HOUR_TS])
 
 
 @query
@@ -789,7 +788,7 @@ def _decisions(t: Tables) -> DataFrame:
     flags = drift.output_drift(t.versions).select("name", F.col("drifted").alias("output_drifted"))
     inputs = drifted_features(t).agg(F.array_sort(F.collect_list("feature")).alias("f")).scalar()
     scores = t.versions.join(flags, "name").withColumn("drifted_features", inputs)
-    return drift.retrain_decision(scores, mae_limit=0.7, mape_limit=0.4)
+    return drift.retrain_decision(scores)
 
 
 @query
@@ -805,10 +804,6 @@ def request_features(t: Tables) -> DataFrame:
 
 # --- models ----------------------------------------------------------------------------------------
 
-# Fewer and smaller trees than the defaults of `boosted`, which are those of a production fit.
-SMALL_TREES = {"trees": 10, "depth": 4, "rate": 0.1}
-
-
 @query
 def fare_linear(t: Tables) -> DataFrame:
     trained = training.train_fare(t.clean)
@@ -830,12 +825,12 @@ def fare_line(t: Tables) -> DataFrame:
 
 @query
 def fare_gbt(t: Tables) -> DataFrame:
-    return training.train_fare(t.clean, trees=True, regressor=regression.boosted(**SMALL_TREES)).errors
+    return training.train_fare(t.clean, trees=True).errors
 
 
 @query
 def demand_gbt(t: Tables) -> DataFrame:
-    trained = training.train_demand(t.demand, regressor=regression.boosted(**SMALL_TREES))
+    trained = training.train_demand(t.demand, regressor=regression.boosted())
     return trained.errors.withColumn("margin", trained.margins.select("margin").scalar())
 
 
@@ -847,7 +842,7 @@ def _model_split(t: Tables) -> tuple[DataFrame, DataFrame]:
 @query
 def importance_cumulative(t: Tables) -> DataFrame:
     train, _ = _model_split(t)
-    model = regression.fit(train, FULL_FEATURES, regressor=regression.boosted(**SMALL_TREES))
+    model = regression.fit(train, FULL_FEATURES, regressor=regression.boosted())
     gains = t.spark.createDataFrame(
         regression.gain_importances(model, FULL_FEATURES), "feature string, importance double"
     )
@@ -928,7 +923,7 @@ def sequence_regressor(t: Tables) -> DataFrame:
 
 @query
 def zone_clusters(t: Tables) -> DataFrame:
-    clusters, silhouette = clustering.zone_clusters(t.demand, k=4, starts=3)
+    clusters, silhouette = clustering.zone_clusters(t.demand)
     return clusters.withColumn("silhouette", F.lit(silhouette))
 
 
@@ -938,6 +933,21 @@ def high_demand_classifier(t: Tables) -> DataFrame:
     return training_rows.ranking_metrics(scored, "high_demand", "score")
 
 
+@query
+def stored_clusters(t: Tables) -> DataFrame:
+    """The cluster table as it is stored: rebuilt as a whole."""
+    path = fresh_path(t.spark, "clusters")
+    writers.replace_rows(zone_clusters(t), path)
+    return t.spark.read.parquet(path)
+
+
+@query
+def high_demand_report(t: Tables) -> DataFrame:
+    """Class report of the fitted classifier at a probability of one half."""
+    scored = classifier.classify_high_demand(t.demand).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return training_rows.class_report(scored, "high_demand", "predicted")
+
+
 @query
 def anomalies(t: Tables) -> DataFrame:
     return anomaly.detect_anomalies(t.demand).where("is_anomaly").select(*CELL, COUNT, "anomaly_score")
@@ -950,9 +960,16 @@ def score_requests(t: Tables) -> DataFrame:
     margins = written(intervals.conformal_margins(regression.predict(model, test), [0.8]), "margins")
     windows = training.sequence_rows(t.demand, zones=None, newest_year=False)
     sequence_model = sequence.fit_sequence_model(windows)
-    features = scoring.request_features(t.requests, t.history, t.weather, t.holidays)
     margin = intervals.margin_for(margins, 0.8)
-    return scoring.score_both(features, t.history, model, margin, sequence_model)
+    return scoring.score_both(t.requests, t.history, t.weather, t.holidays, model, margin, sequence_model)
+
+
+@query
+def predictions_logged(t: Tables) -> DataFrame:
+    """Scored requests as stored rows of the predictions table."""
+    path = fresh_path(t.spark, "predictions")
+    writers.append_rows(scoring.prediction_log(score_requests(t), {"A": 1, "B": 2}), path)
+    return t.spark.read.parquet(path)
 
 
 # --- streams ---------------------------------------------------------------------------------------

@@ -21,11 +21,17 @@ from kerbcast.operators.drift import (
 from kerbcast.operators.lags import latest_history, time_lags
 from kerbcast.operators.residuals import forecast_errors
 from kerbcast.plans.demand_build import build_demand
-from kerbcast.schemas import FULL_FEATURES, HOUR_TS, MAX_ZONE, SEQUENCE_FEATURES, ZONE
+from kerbcast.schemas import FULL_FEATURES, HOUR_TS, SEQUENCE_FEATURES, ZONE
 from kerbcast.session import written
 from kerbcast.sources.readers import load_clean_trips
 
 
+def dated(requests: DataFrame) -> DataFrame:
+    """Requests with zone, floored hour and calendar columns."""
+    return with_calendar(
+        requests.withColumn(HOUR_TS, hour_floor(F.col("prediction_time"))).withColumn(ZONE, F.col("zone_id")))
+
+
 def request_features(
     requests: DataFrame, history: DataFrame, weather: DataFrame, holidays: DataFrame
 ) -> DataFrame:
@@ -33,8 +39,7 @@ def request_features(
 
     The time is floored to the hour before any lookup. Unknown lags and snowfall are 0.
     """
-    timed = requests.withColumn(HOUR_TS, hour_floor(F.col("prediction_time"))).withColumn(ZONE, F.col("zone_id"))
-    marked = with_city_event(with_holiday(with_calendar(timed), holidays))
+    marked = with_city_event(with_holiday(dated(requests), holidays))
     snow = weather.select(HOUR_TS, F.col("snowfall").alias("_snow"))
     snowy = marked.join(snow, HOUR_TS, "left").withColumn(
         "snowfall", F.coalesce("_snow", F.lit(0.0))
@@ -60,10 +65,9 @@ def score_requests(features: DataFrame, model: Model, margin: Column) -> DataFra
 def score_with_history(requests: DataFrame, history: DataFrame, sequence_model, window: int = 24) -> DataFrame:
     """Predictions from each zone's newest rows; ``error`` where a zone has too few of them.
 
-    The model is applied once per zone, not once per request. Zone ids are limited to the valid range,
-    which bounds the broadcast table of predictions.
+    The model is applied once per zone, not once per request; predictions join by their measured size.
     """
-    last = latest_history(history.where(F.col("zone_id").between(1, MAX_ZONE)), window)
+    last = latest_history(history, window)
     zones = last.groupBy("zone_id").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("step", F.struct(*SEQUENCE_FEATURES).alias("h")))),
@@ -74,20 +78,22 @@ def score_with_history(requests: DataFrame, history: DataFrame, sequence_model,
         "zone_id", F.bround("prediction", 2).alias("predicted_trips")
     )
     missing = F.concat(F.lit("not enough history for zone "), F.col("zone_id").cast("string"))
-    return requests.join(F.broadcast(by_zone), "zone_id", "left").withColumn(
+    return requests.join(by_zone, "zone_id", "left").withColumn(
         "error", F.when(F.col("predicted_trips").isNull(), missing)
     )
 
 
 def score_both(
-    features: DataFrame, history: DataFrame, model: Model, margin: Column, sequence_model,
-    share_b: float = 0.5,
+    requests: DataFrame, history: DataFrame, weather: DataFrame, holidays: DataFrame, model: Model, margin: Column,
+    sequence_model, share_b: float = 0.5,
 ) -> DataFrame:
-    """Requests routed between the feature model (A) and the sequence model (B)."""
-    routed = route(features, "zone_id", "prediction_time", share_b=share_b)
+    """Requests routed between the feature model (A) and the sequence model (B). They are routed first, so that
+    features are only looked up for those that need them."""
+    routed = route(requests, "zone_id", "prediction_time", share_b=share_b)
+    features = request_features(routed.where(F.col("variant") == "A"), history, weather, holidays)
     keep = ["zone_id", "prediction_time", "pickup_hour", "pickup_dow", "pickup_week", "variant"]
-    a = score_requests(routed.where(F.col("variant") == "A"), model, margin)
-    b = score_with_history(routed.where(F.col("variant") == "B").select(*keep), history, sequence_model)
+    a = score_requests(features, model, margin)
+    b = score_with_history(dated(routed.where(F.col("variant") == "B")).select(*keep), history, sequence_model)
     return a.select(*keep, "predicted_trips", "lower_bound", "upper_bound").unionByName(
         b.select(*keep, "predicted_trips", "error"), allowMissingColumns=True
     )

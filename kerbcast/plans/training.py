@@ -96,19 +96,20 @@ def train_demand(
 def train_fare(trips: DataFrame, trees: bool = False, regressor=None, share: float = 1.0) -> Trained:
     """Fare from trip columns, split on the pickup time. ``share`` samples rows reproducibly.
 
-    Trees read their rows many times and get a written copy; the linear fit is one pass over the source.
+    The few columns needed are written once, so that the source is read once for the copy; the split, the fit
+    and the scores read the copy.
     """
     features = FARE_TREE_FEATURES if trees else FARE_FEATURES
     rows = trips if share >= 1 else sample_share(trips, share, [PICKUP, ZONE])
     kept = rows.select(PICKUP, "fare_amount", *features)
-    train, test = train_test(written(kept, "fare-rows") if trees else kept, PICKUP)
+    train, test = train_test(written(kept, "fare-rows"), PICKUP)
     model = fit(train, features, "fare_amount", regressor or (boosted(depth=6) if trees else linear()))
     scored = predict(model, test)
     return Trained(model, scored, forecast_errors(scored, "fare_amount"))
 
 
-def sequence_rows(demand: DataFrame, zones: int | None = 50, newest_year: bool = True) -> DataFrame:
-    """Sequence windows over the newest year and the busiest zones; pass None / False for all rows."""
+def sequence_rows(demand: DataFrame, zones: int | None = None, newest_year: bool = False) -> DataFrame:
+    """Sequence windows over all rows; on request over the ``zones`` busiest zones or the newest year only."""
     rows = latest_year(demand, HOUR_TS) if newest_year else demand
     rows = rows_of_busiest_zones(rows, zones) if zones else rows
     return sequence_windows(rows)

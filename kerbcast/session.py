@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_BASE: dict[str, str] = {}
+_CLEANED: set[str] = set()
 
 
 def build_session(app_name: str = "kerbcast", master: str | None = None, **conf) -> SparkSession:
@@ -43,8 +46,21 @@ def workspace(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = _LOCAL_BASE.setdefault(app, tempfile.mkdtemp(prefix="kerbcast-"))
-    return f"{base.rstrip('/')}/kerbcast-{app}"
+        if app not in _LOCAL_BASE:
+            _LOCAL_BASE[app] = tempfile.mkdtemp(prefix="kerbcast-")
+        base = _LOCAL_BASE[app]
+    folder = f"{base.rstrip('/')}/kerbcast-{app}"
+    if folder not in _CLEANED:
+        _CLEANED.add(folder)
+        atexit.register(_remove, spark, folder)
+    return folder
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete this application's own folder when the program ends; without a running JVM it stays."""
+    with suppress(Exception):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -25,25 +25,37 @@ def file_month(part: int) -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), FILE_MONTH, part).cast("int")
 
 
+def trip_paths(spark: SparkSession, path: str, year: int | None = None, month: int | None = None) -> list[str]:
+    """Files named after a month, and folders a Spark job wrote for one, anywhere below ``path``.
+
+    Only names are listed; the list has one entry per such file or folder.
+    """
+    y = f"{year:04d}" if year is not None else r"\d{4}"
+    m = f"{month:02d}" if month is not None else r"\d{2}"
+    named = rf"^(.*?/[^/]*tripdata[_=]{y}-{m}[^/]*)(?:/|$)"
+    try:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException:
+        return []
+    found = listed.select(F.regexp_extract("path", named, 1).alias("path")).where("path <> ''").distinct()
+    return sorted(r["path"] for r in found.collect())
+
+
 def read_trips(
     spark: SparkSession, path: str, year: int | None = None, month: int | None = None,
     skip_corrupt: bool = False, schema: StructType | None = None,
 ) -> DataFrame:
-    """All trip files below ``path`` with ``file_year`` and ``file_month``.
+    """All trip files below ``path``, at any depth, with ``file_year`` and ``file_month``.
 
-    A given year or month limits the listing by file name, so other files are never opened. Raises if
-    nothing matches. Unreadable files fail the job unless ``skip_corrupt`` is set; then a ``schema``
-    should be given too, as it cannot always be taken from the files.
+    Files are chosen by their listed names, so others are never opened. Raises if nothing matches.
+    Unreadable files fail the job unless ``skip_corrupt`` is set; then a ``schema`` should be given too, as it
+    cannot always be taken from the files.
     """
-    y = f"{year:04d}" if year is not None else "[0-9][0-9][0-9][0-9]"
-    m = f"{month:02d}" if month is not None else "[0-9][0-9]"
-    name = f"*tripdata[_=]{y}-{m}*"
-    files = f"{path.rstrip('/')}/{{{name},*/{name},*/*/{name}}}"
-    try:
-        reader = spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", skip_corrupt)
-        trips = (reader.schema(schema) if schema else reader).parquet(files)
-    except AnalysisException as e:
-        raise ValueError(f"no parquet files found for year={year}, month={month}") from e
+    files = trip_paths(spark, path, year, month)
+    if not files:
+        raise ValueError(f"{path} holds no trip file of year {year or 'any'} and month {month or 'any'}")
+    reader = spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", skip_corrupt)
+    trips = (reader.schema(schema) if schema else reader).parquet(*files)
     return trips.withColumns({"file_year": file_month(1), "file_month": file_month(2)})
 
 

@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kerbcast.operators.drift import feature_psi
 from kerbcast.schemas import COUNT, HOUR_TS, PICKUP, ZONE
@@ -48,11 +49,14 @@ def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], check
 
 
 def insert_new_cells(out: str, keys: Sequence[str] = (ZONE, HOUR_TS)) -> Callable[[DataFrame, int], None]:
-    """A batch writer that adds rows whose key is not stored yet; replaying a batch adds nothing."""
+    """A batch writer that adds rows whose key is not stored yet; replaying a batch adds nothing. Of equal keys
+    in one batch the largest count is kept, as in the batch job."""
 
     def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        rows = batch.dropDuplicates(list(keys))
+        rest = [c for c in batch.columns if c not in (*keys, COUNT)]
+        best = Window.partitionBy(*keys).orderBy(F.desc(COUNT), *rest)
+        rows = batch.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n")
         if exists(spark, out):
             rows = rows.join(spark.read.parquet(out).select(*keys), list(keys), "left_anti")
         rows.write.mode("append").parquet(out)

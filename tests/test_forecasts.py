@@ -159,4 +159,12 @@ def test_errors(spark):
     assert exact["mae"] == 1.0 and exact["mape"] > 1e14
     assert residuals.zero_safe_errors(df).first()["mape_zero_safe"] == pytest.approx(0.5)
     bands = {r["demand_band"]: r["n"] for r in residuals.error_by_band(df).collect()}
-    assert bands == {"<=5 (very low)": 1, "5-15 (low)": 1}
+    assert bands == {"very low: to 5": 1, "low: to 15": 1, residuals.NO_BAND: 1}
+
+
+def test_bands_lose_no_row(spark):
+    df = spark.createDataFrame([(c, 1.0) for c in (0, 1, 9_999, 10_000, 50_000)] + [(None, 1.0)], "trip_count long, prediction double")
+    bands = {r["demand_band"]: r["n"] for r in residuals.error_by_band(df).collect()}
+    assert bands == {residuals.NO_BAND: 2, "very low: to 5": 1, "peak: over 150": 3}
+    coarse = residuals.error_by_band(df, edges=residuals.COARSE_BAND_EDGES, labels=residuals.COARSE_BAND_LABELS)
+    assert sum(r["n"] for r in coarse.collect()) == 6

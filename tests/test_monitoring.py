@@ -87,8 +87,8 @@ def test_retrain_decision(spark, mae, mape, expected):
 def test_retrain_reasons(spark):
     df = spark.createDataFrame([(7.5, 0.2, True, ["a", "b"])], "mae double, mape double, output_drifted boolean, drifted_features array<string>")
     assert drift.retrain_decision(df).first()["reasons"] == (
-        "MAE 7.50 > threshold 7; MAPE 20.00% > threshold 15.00%; "
-        "output drift (>10% above rolling baseline); input feature drift: a, b"
+        "mean error 7.50 is above 7; percentage error 20.00% is above 15.00%; "
+        "errors rose against earlier runs; inputs have shifted: a, b"
     )
 
 

@@ -12,6 +12,7 @@ from kerbcast.plans import scoring
 from kerbcast.plans.tables import Tables
 from kerbcast.schemas import DROPOFF, FULL_FEATURES, PICKUP, WEATHER
 from kerbcast.session import fresh_path, written
+from kerbcast.plans.demand_build import build_demand
 from kerbcast.sources import readers, writers
 from kerbcast.streaming import hourly as streams
 
@@ -42,6 +43,25 @@ def test_files_are_chosen_by_name(spark, tmp_path):
         readers.read_trips(spark, str(tmp_path), 2031, 1)
 
 
+def test_files_at_any_depth(spark, tmp_path):
+    for depth, folder in enumerate(("", "a/", "a/b/", "a/b/c/d/")):
+        trips(spark, [datetime(2024, 1, 5 + depth)]).coalesce(1).write.parquet(f"{tmp_path}/{folder}tripdata_2024-01-{depth}.parquet")
+    spark.range(3).write.parquet(f"{tmp_path}/a/other")
+    assert readers.read_trips(spark, str(tmp_path)).count() == 4
+    assert readers.read_trips(spark, str(tmp_path), 2024, 1).count() == 4
+    with pytest.raises(ValueError, match="2024"):
+        readers.read_trips(spark, str(tmp_path), 2024, 2)
+
+
+def test_repeated_weather_hours_are_refused(spark):
+    hours = [(datetime(2024, 1, 5), 1.0, 0.0, 0.0)] * 2
+    weather = spark.createDataFrame(hours, "pickup_hour_ts timestamp_ntz, temperature_2m double, precipitation double, snowfall double")
+    holidays = spark.createDataFrame([], "date date, name string")
+    with pytest.raises(ValueError, match="weather repeats"):
+        build_demand(trips(spark, [datetime(2024, 1, 5, 1)]), weather, holidays)
+    assert build_demand(trips(spark, [datetime(2024, 1, 5, 1)]), weather.distinct(), holidays).count() == 1
+
+
 def test_unreadable_or_missing_months_are_incomplete(spark, tmp_path):
     trips(spark, [datetime(2024, 1, 31, 5)]).write.parquet(f"{tmp_path}/2024/yellow_tripdata_2024-01.parquet")
     (tmp_path / "2024" / "yellow_tripdata_2024-02.parquet").write_bytes(b"not a parquet file")
@@ -144,7 +164,7 @@ def test_scoring(spark, hourly):
     answers = {r["zone_id"]: r for r in scoring.score_with_history(requests, history, seq).collect()}
     assert answers[1]["error"] is None and answers[1]["predicted_trips"] >= 0
     assert answers[161]["error"] == "not enough history for zone 161"
-    both = scoring.score_both(features, history, model, F.lit(4.0), seq)
+    both = scoring.score_both(requests, history, weather, holidays, model, F.lit(4.0), seq)
     assert both.count() == 3
     log = scoring.prediction_log(both, {"A": 10, "B": 11})
     assert log.where("model_version_id NOT IN (10, 11)").count() == 0 and log.count() <= 3
@@ -154,7 +174,7 @@ def test_monitoring_row(spark):
     t = Tables.of(spark, "/root/testdata/sf0.01")
     scored = t.scored.join(t.lagged.select("PULocationID", "pickup_hour_ts", "lag_24h"), ["PULocationID", "pickup_hour_ts"])
     row = scoring.monitor(scored, t.drift_baseline, t.versions, "demand_mean", ["pickup_hour"]).first()
-    assert row["retrain"] and "MAPE" in row["reasons"] and row["mae"] == 0.86
+    assert row["retrain"] and "percentage error" in row["reasons"] and row["mae"] == 0.86
 
 
 def test_stream_closes_hours_behind_the_watermark(spark, tmp_path):
@@ -183,6 +203,30 @@ def test_stream_insert_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(out).count() == batch.count()
 
 
+def test_result_tables_are_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "flags")
+    writers.replace_rows(spark.range(5), path)
+    writers.replace_rows(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_streamed_cells_keep_the_largest_count(spark, tmp_path):
+    at, out = datetime(2024, 1, 1), str(tmp_path / "out")
+    rows = [(1, at, 3), (1, at, 9), (1, at, 5), (2, at, 1)]
+    batch = spark.createDataFrame(rows, "PULocationID int, pickup_hour_ts timestamp_ntz, trip_count long")
+    streams.insert_new_cells(out)(batch, 0)
+    assert sorted((r[0], r[2]) for r in spark.read.parquet(out).collect()) == [(1, 9), (2, 1)]
+
+
+def test_zones_outside_the_usual_range_are_scored(spark, hourly):
+    history = hourly([265, 266, 900], 60, lambda z, h: h % 5).withColumn("zone_id", F.col("PULocationID"))
+    history = history.withColumns({"is_holiday": F.lit(0), **{c: F.lit(0.0) for c in WEATHER}})
+    seq = sequence.fit_sequence_model(lags.sequence_windows(history))
+    requests = spark.createDataFrame([(266,), (900,), (7,)], "zone_id int")
+    got = {r["zone_id"]: r["error"] for r in scoring.score_with_history(requests, history, seq).collect()}
+    assert got[266] is None and got[900] is None and got[7]
+
+
 def test_written_tables_cut_the_plan(spark):
     df = written(spark.range(10).withColumn("x", F.col("id") * 2), "t")
     assert df.columns == ["id", "x"] and "Range" not in df._jdf.queryExecution().executedPlan().toString()
