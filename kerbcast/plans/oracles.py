@@ -653,9 +653,9 @@ ORACLES: dict[str, str] = {
       LEFT JOIN event_pairs e ON e.event_date = hts::DATE AND e.zone_id = r.zone_id
       LEFT JOIN demand a ON a.PULocationID = r.zone_id AND a.pickup_hour_ts + INTERVAL 24 HOUR = hts
       LEFT JOIN demand b ON b.PULocationID = r.zone_id AND b.pickup_hour_ts + INTERVAL 168 HOUR = hts""",
-    "stream_hourly_demand": BASE + """ SELECT PULocationID, pickup_hour_ts, trip_count FROM cells
-      WHERE pickup_hour_ts + INTERVAL 1 HOUR <= (SELECT to_timestamp(max(epoch_us(tpep_pickup_datetime)) / 1000000.0::DOUBLE)::TIMESTAMP
-        FROM clean) - INTERVAL 2 HOUR""",
+    "stream_hourly_demand": BASE + """ SELECT PULocationID, pickup_hour_ts, trip_count,
+      pickup_hour_ts + INTERVAL 1 HOUR <= (SELECT to_timestamp(max(epoch_us(tpep_pickup_datetime)) / 1000000.0::DOUBLE)::TIMESTAMP
+        FROM clean) - INTERVAL 2 HOUR AS closed FROM cells""",
     "stream_psi": BASE + _baseline(["fare_amount", "trip_distance"], "clean") + _psi(["fare_amount", "trip_distance"], "trips")
     + " SELECT feature, n, round(psi, 6) AS psi FROM psi",
     "stream_history": BASE + " SELECT PULocationID, pickup_hour_ts, trip_count FROM cells",

@@ -101,7 +101,7 @@ def history_insert_if_absent(t: Tables) -> DataFrame:
     writers.append_history(airports.withColumn(COUNT, F.col(COUNT) + 1000), path)
     writers.append_history(t.demand, path)
     writers.append_history(t.demand, path)
-    return t.spark.read.parquet(path)
+    return writers.read_history(t.spark, path)
 
 
 @query
@@ -983,7 +983,9 @@ def stream_hourly_demand(t: Tables) -> DataFrame:
     out, state = fresh_path(t.spark, "stream-demand"), fresh_path(t.spark, "stream-state")
     cleaned = cleaning.plausible_trips(_trip_stream(t))
     hourly.run_to_files(hourly.hourly_demand_stream(cleaned), out, state)
-    return t.spark.read.parquet(out)
+    closed = t.spark.read.parquet(out).withColumn("closed", F.lit(True))
+    still_open = hourly.open_hours(cleaning.plausible_trips(t.spark.read.parquet(t.trip_files)))
+    return closed.unionByName(still_open.withColumn("closed", F.lit(False)))
 
 
 @query
@@ -991,7 +993,7 @@ def stream_history(t: Tables) -> DataFrame:
     out, state = fresh_path(t.spark, "stream-history"), fresh_path(t.spark, "stream-state")
     cells = hourly.parquet_stream(t.spark, t.demand_files, t.demand.schema).select(*CELL, COUNT)
     hourly.run_batches(cells, hourly.insert_new_cells(out), state)
-    return t.spark.read.parquet(out)
+    return t.spark.read.parquet(out).drop("month")
 
 
 @query

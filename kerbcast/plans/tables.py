@@ -123,7 +123,7 @@ class Tables:
     def history(self) -> DataFrame:
         path = fresh_path(self.spark, "history")
         writers.append_history(self.demand, path)
-        return self.spark.read.parquet(path)
+        return writers.read_history(self.spark, path)
 
     @cached_property
     def lagged(self) -> DataFrame:

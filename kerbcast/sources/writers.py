@@ -57,11 +57,27 @@ def new_history(rows: DataFrame, existing: DataFrame | None) -> DataFrame:
 
 
 def append_history(demand: DataFrame, path: str) -> None:
-    """Insert if absent: the first write of a (zone, hour) wins and a rerun adds nothing."""
+    """Insert if absent: the first write of a (zone, hour) wins and a rerun adds nothing.
+
+    History lies in folders by ``month`` of the hour; an append reads the months of its own rows only. One
+    writer at a time: two appends that run together do not see each other's rows.
+    """
     spark = demand.sparkSession
-    stored = spark.read.parquet(path) if exists(spark, path) else None
+    rows = history_rows(demand).withColumn("month", F.date_format(HOUR_TS, "yyyy-MM"))
     # The write is computed completely before it is committed, so reading its own target is safe.
-    new_history(history_rows(demand), stored).write.mode("append").parquet(path)
+    new_history(rows, months_of(rows, path)).write.mode("append").partitionBy("month").parquet(path)
+
+
+def months_of(rows: DataFrame, path: str) -> DataFrame | None:
+    """What is stored of the months that occur in ``rows``; at most one value per month reaches the driver."""
+    if not exists(rows.sparkSession, path):
+        return None
+    months = [r["month"] for r in rows.select("month").distinct().collect()]
+    return rows.sparkSession.read.parquet(path).where(F.col("month").isin(months))
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("month")
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kerbcast.operators.demand import hourly_demand
 from kerbcast.operators.drift import feature_psi
 from kerbcast.schemas import COUNT, HOUR_TS, PICKUP, ZONE
-from kerbcast.sources.writers import exists
+from kerbcast.sources.writers import months_of
 
 
 def parquet_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -31,6 +32,14 @@ def hourly_demand_stream(trips: DataFrame, lateness: str = "2 hours", ts: str =
     return counted.select(ZONE, F.col("window.start").cast("timestamp_ntz").alias(HOUR_TS), COUNT)
 
 
+def open_hours(trips: DataFrame, lateness: str = "2 hours", ts: str = PICKUP) -> DataFrame:
+    """Counts so far of the hours a stream over ``trips`` has not emitted, because trips may still arrive."""
+    newest = trips.agg(F.max(ts).alias("ts")).select((F.col("ts") - F.expr(f"INTERVAL {lateness}")).alias("ts")).scalar()
+    end = F.col(HOUR_TS) + F.expr("INTERVAL 1 HOUR")
+    return hourly_demand(trips.where(F.col(ts) + F.expr("INTERVAL 1 HOUR") > newest), ts).where(end > newest).select(
+        ZONE, HOUR_TS, COUNT)
+
+
 def run_to_files(stream: DataFrame, out: str, checkpoint: str) -> None:
     query = (
         stream.writeStream.outputMode("append").format("parquet")
@@ -53,13 +62,14 @@ def insert_new_cells(out: str, keys: Sequence[str] = (ZONE, HOUR_TS)) -> Callabl
     in one batch the largest count is kept, as in the batch job."""
 
     def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
         rest = [c for c in batch.columns if c not in (*keys, COUNT)]
         best = Window.partitionBy(*keys).orderBy(F.desc(COUNT), *rest)
         rows = batch.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n")
-        if exists(spark, out):
-            rows = rows.join(spark.read.parquet(out).select(*keys), list(keys), "left_anti")
-        rows.write.mode("append").parquet(out)
+        rows = rows.withColumn("month", F.date_format(HOUR_TS, "yyyy-MM"))
+        stored = months_of(rows, out)  # only the months of this batch are read
+        if stored is not None:
+            rows = rows.join(stored.select(*keys), list(keys), "left_anti")
+        rows.write.mode("append").partitionBy("month").parquet(out)
 
     return write
 

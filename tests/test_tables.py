@@ -191,6 +191,8 @@ def test_stream_closes_hours_behind_the_watermark(spark, tmp_path):
     streams.run_to_files(streams.hourly_demand_stream(stream), out, str(tmp_path / "state"))
     got = {r["pickup_hour_ts"].hour: r["trip_count"] for r in spark.read.parquet(out).collect()}
     assert got == {**{h: 3 for h in range(9)}, 9: 5}     # the first late trip is dropped, the second counted
+    still_open = streams.open_hours(spark.read.parquet(path)).collect()
+    assert [(r["pickup_hour_ts"].hour, r["trip_count"]) for r in still_open] == [(20, 1)]
 
 
 def test_stream_insert_is_idempotent(spark, tmp_path):
@@ -199,10 +201,24 @@ def test_stream_insert_is_idempotent(spark, tmp_path):
     write = streams.insert_new_cells(out)
     write(batch, 0)
     write(batch.withColumn("trip_count", F.lit(0).cast("long")), 0)
-    assert spark.read.parquet(out).exceptAll(batch).count() == 0
+    assert spark.read.parquet(out).drop("month").exceptAll(batch).count() == 0
     assert spark.read.parquet(out).count() == batch.count()
 
 
+def test_appends_read_the_months_they_touch(spark, tmp_path):
+    path, demand = str(tmp_path / "h"), Tables.of(spark, SMALL).demand
+    later = demand.withColumn("pickup_hour_ts", F.col("pickup_hour_ts") + F.make_dt_interval(F.lit(366)))
+    writers.append_history(demand.union(later), path)
+    rows = writers.history_rows(demand).withColumn("month", F.date_format("pickup_hour_ts", "yyyy-MM"))
+    months = {r["month"] for r in rows.select("month").distinct().collect()}
+    plan = writers.months_of(rows, path)
+    assert {f.split("month=")[1][:7] for f in spark.read.parquet(path).inputFiles()} > months
+    assert {r["month"] for r in plan.select("month").distinct().collect()} == months
+    assert "PartitionFilters: [month" in plan._jdf.queryExecution().executedPlan().toString()
+    writers.append_history(demand, path)
+    assert writers.read_history(spark, path).count() == 2 * demand.count()
+
+
 def test_result_tables_are_replaced_whole(spark, tmp_path):
     path = str(tmp_path / "flags")
     writers.replace_rows(spark.range(5), path)
