@@ -90,7 +90,7 @@ def recent_inputs(history: DataFrame, n: int = 2000) -> DataFrame:
 
 
 def drift_report(history: DataFrame, baseline: DataFrame, n: int = 2000) -> DataFrame:
-    """One row: rows analysed, features checked and the drifted ones among them."""
+    """One row: rows analysed, features checked, the drifted ones among them, and whether there is a baseline."""
     inputs = recent_inputs(history, n)
     psi = feature_psi(inputs, baseline, inputs.columns)
     drifted = drifted_features(psi).agg(F.array_sort(F.collect_list("feature")).alias("f"))
@@ -98,6 +98,7 @@ def drift_report(history: DataFrame, baseline: DataFrame, n: int = 2000) -> Data
         "rows_analyzed",
         F.array(*[F.lit(c) for c in inputs.columns]).alias("features_checked"),
         drifted.scalar().alias("drifted_features"),
+        baseline.agg((F.count(F.lit(1)) > 0).alias("b")).scalar().alias("baseline_exists"),
     )
 
 

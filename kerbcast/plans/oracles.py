@@ -631,7 +631,7 @@ ORACLES: dict[str, str] = {
     "recent_drift": DRIFT + """, inputs AS (SELECT PULocationID, pickup_hour, pickup_dow, is_holiday, coalesce(snowfall, 0.0) AS snowfall,
         is_airport FROM demand ORDER BY pickup_hour_ts DESC, PULocationID LIMIT 2000)""" + _psi(["pickup_hour", "pickup_dow"], "inputs")
     + """ SELECT (SELECT count(*) FROM inputs)::BIGINT AS rows_analyzed, 6::BIGINT AS n_checked,
-        (SELECT coalesce(string_agg(feature, ',' ORDER BY feature), '') FROM psi WHERE psi > 0.2) AS drifted""",
+        (SELECT coalesce(string_agg(feature, ',' ORDER BY feature), '') FROM psi WHERE psi > 0.2) AS drifted, true AS baseline_exists""",
     "output_drift": EVAL + VERSION_DRIFT + """ SELECT name, runs, round(baseline_mae, 6) AS baseline_mae, current_mae,
       round(drift_pct, 6) AS drift_pct, drifted FROM drifted""",
     "retrain_decision": DRIFT + _psi(DRIFT_FEATURES, "d_test") + VERSION_DRIFT + """, reasons AS (

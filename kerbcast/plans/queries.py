@@ -248,11 +248,17 @@ def _positive(t: Tables) -> DataFrame:
     return t.trips.where((F.col("trip_distance") > 0) & (F.col("fare_amount") > 0))
 
 
+# Caps and floors whose shares are reported, and the fare histogram's range and bins.
+FARE_CAPS, FARE_FLOORS = [50, 100, 150, 200], [0.5 * i for i in range(1, 10)]
+DISTANCE_FLOORS = [0.05, 0.1, 0.15, 0.2, 0.25]
+FARE_RANGE, FARE_BINS = (0.01, 200), 33
+# End of fixed values.
+
+
 @query
 def threshold_shares(t: Tables) -> DataFrame:
     return cleaning.threshold_shares(_positive(t), {
-        "fare_amount": ([50, 100, 150, 200], [0.5 * i for i in range(1, 10)]),
-        "trip_distance": ([], [0.05, 0.1, 0.15, 0.2, 0.25]),
+        "fare_amount": (FARE_CAPS, FARE_FLOORS), "trip_distance": ([], DISTANCE_FLOORS),
     })
 
 
@@ -464,7 +470,7 @@ def histogram_log_trip_count(t: Tables) -> DataFrame:
 
 @query
 def histogram_fares(t: Tables) -> DataFrame:
-    return distribution.histogram(_positive(t).where(F.col("fare_amount").between(0.01, 200)), F.col("fare_amount"), 33)
+    return distribution.histogram(_positive(t).where(F.col("fare_amount").between(*FARE_RANGE)), F.col("fare_amount"), FARE_BINS)
 
 
 @query
@@ -775,7 +781,7 @@ def recent_drift(t: Tables) -> DataFrame:
     report = drift.drift_report(t.history, t.drift_baseline)
     return report.select(
         "rows_analyzed", F.size("features_checked").alias("n_checked"),
-        F.concat_ws(",", "drifted_features").alias("drifted"),
+        F.concat_ws(",", "drifted_features").alias("drifted"), "baseline_exists",
     )
 
 
