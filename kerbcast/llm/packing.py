@@ -243,14 +243,15 @@ def packed(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,
     ``docs``: ``doc_id``, ``text``; other columns are ignored. Result, one row per piece: ``doc_id``, ``piece``
     (from 0), ``start`` (ids of the document before it), ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
     A null or empty text is one piece with the end id alone. Repeated rows are documents of their own, each
-    packed. A null ``doc_id`` stays null. Ties in length go by the order of (doc_id, piece, ids_crc32). An
-    empty table gives an empty result.
+    packed. A null ``doc_id`` stays null. Ties in length go by the order of (doc_id as text, piece, ids_crc32).
+    An empty table gives an empty result.
     """
     pieces = stored(pieces_of(docs, tokenizer_path, max_tokens), "pieces")
     blocks = max(1, -(-pieces.where(F.col("length") < max_tokens).count() // block_pieces))
     numbered = pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(blocks)))
     whole = F.col("length") == max_tokens
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    # Ids travel as text: pandas has no whole numbers with nulls among them.
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable")
@@ -260,7 +261,8 @@ def packed(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,
         group["offset"] = np.array(offset, dtype=np.int64)
         return group.drop(columns="block")
 
-    rest = numbered.where(~whole).groupBy("block").applyInPandas(run, schema)
+    named = numbered.where(~whole).withColumn("doc_id", F.col("doc_id").cast("string"))
+    rest = named.groupBy("block").applyInPandas(run, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
     full = pieces.where(whole).select(
         "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return rest.unionByName(full)

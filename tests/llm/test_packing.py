@@ -79,5 +79,11 @@ def test_local_search_empties_a_bin():
     assert [sum(length[i] for i in b) for b in bins.items] == bins.fill
 
 
+def test_large_ids_beside_null_ids(documents):
+    ids = [2**62 + 1, None, 2**53 + 1, -(2**62) - 1]
+    got = packed(documents([(d, "some words") for d in ids]), PATH).collect()
+    assert {r.doc_id for r in got} == set(ids)
+
+
 def test_empty_table(documents):
     assert packed(documents([(1, "x")]).limit(0), PATH).count() == 0
