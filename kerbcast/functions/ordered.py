@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kerbcast.session import written
+
 # Pieces limit the parallelism of sorting a column with very many distinct values; raise them with it.
 PIECES = 512
 
@@ -69,7 +71,8 @@ def _holds_any(ranks: Sequence[Column], start: Column, size: Column) -> Column:
 def _near_ranks(long: DataFrame, probs: Sequence[float]) -> tuple[DataFrame, DataFrame]:
     """Rows of the coarse intervals holding a wanted rank, and (feature, interval, skipped, total).
 
-    ``skipped`` counts the dropped rows before an interval. At most two intervals per quantile remain.
+    ``skipped`` counts the dropped rows before an interval. At most two intervals per quantile remain. Both
+    results are written, so that the source is read twice in all, whatever is done with them.
     """
     tagged = long.withColumn("interval", _coarse(F.col("value")))
     counts = tagged.groupBy("feature", "interval").agg(F.count(F.lit(1)).alias("m"))
@@ -82,9 +85,10 @@ def _near_ranks(long: DataFrame, probs: Sequence[float]) -> tuple[DataFrame, Dat
     )
     held = placed.where(_holds_any(_ranks(probs, F.col("all_rows")), F.col("start"), F.col("m")))
     kept_before = F.coalesce(F.sum("m").over(before), F.lit(0))
-    held = held.select("feature", "interval", "all_rows", (F.col("start") - kept_before).alias("skipped"))
+    held = written(
+        held.select("feature", "interval", "all_rows", (F.col("start") - kept_before).alias("skipped")), "intervals")
     rows = tagged.join(F.broadcast(held.select("feature", "interval")), ["feature", "interval"], "left_semi")
-    return rows, held
+    return written(rows.select(*long.columns), "near-ranks"), held
 
 
 def _with_piece(totals: DataFrame, long: DataFrame, pieces: int) -> DataFrame:
@@ -139,8 +143,9 @@ def running_totals(
     """Per distinct value: its totals, ``*_upto`` (values up to and including it) and ``*_total``."""
     sums = ["n", *(measures or {})]
     long = _long(df, columns, measures)
-    # Both uses of the pieces read the same shuffled rows.
-    cut = _with_piece(_totals(long, sums[1:]), long, pieces).repartition("feature", "piece")
+    # The distinct values are written: split points come from them, not from another read of the source.
+    totals = written(_totals(long, sums[1:]), "distinct-values")
+    cut = _with_piece(totals, totals, pieces).repartition("feature", "piece")
     bases = _piece_sums(cut, sums)
     inside = (
         Window.partitionBy("feature", "piece").orderBy("value")
