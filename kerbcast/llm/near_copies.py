@@ -154,8 +154,10 @@ def rest_pairs(prefix: DataFrame, percent: int) -> DataFrame:
     prefixes, and neither their sizes nor what follows that shingle's places rules them out."""
     main = prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("shingle").agg(
         F.max(F.struct("m", "component")).alias("best"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    aside = prefix.join(main.select("shingle", F.col("best.component").alias("main")), "shingle").where(
-        F.col("component") != F.col("main")).select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "place")])
+    # Written, so that the join that follows has two plain sides, whose large keys Spark can split.
+    aside = stored(prefix.join(main.select("shingle", F.col("best.component").alias("main")), "shingle").where(
+        F.col("component") != F.col("main")).select(
+            "shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "place")]), "aside")
     most = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n") - F.col("place"))
     return (aside.join(prefix, "shingle")
             .where((F.col("component_a") != F.col("component")) & possible(F.col("n_a"), F.col("n"), percent)
