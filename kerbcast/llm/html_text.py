@@ -1,8 +1,9 @@
 """Main text of web pages by block rules in two passes.
 
-A page is cut into blocks at block-level tags. The first pass decides blocks by their place (menus, headers,
+A page is cut into blocks at block-level tags. The first pass decides blocks by their marks (menus, headers,
 footers, sidebars, notices, adverts, forms, reader comments), link density, length and stop-word density; what
 is short or in between stays open. The second pass gives open blocks the label of the nearest decided ones.
+Article and main elements that hold most of a page's text lower the limits for the blocks inside them.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 INNER = frozenset("article main".split())
 PAGE = frozenset("html body main".split())
 LAYOUT = frozenset("has with no without".split())
+#: Names that mark a whole article element outside any other; compounds of them do not.
+CARDS = frozenset("ad ads advert sponsored promo teaser related comment comments reply replies".split())
 #: Words in class, id or role that mark boilerplate.
 MARKS = frozenset("""ad ads advert advertisement adverts adsense sponsor sponsored promo promotion banner cookie cookies consent
 gdpr notice notices alert popup modal newsletter subscribe signup comment comments reply replies disqus respond sidebar
@@ -54,6 +57,7 @@ HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-h
 NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 WORD = re.compile(r"[^\W\d_]+")
+SENTENCE = re.compile(r"[.!?,;:…](?!\S)|[。！？、，]")
 
 
 @dataclass
@@ -66,15 +70,21 @@ class Block:
 
 def marked(name: str, attributes: str, in_article: bool) -> bool:
     """Whether class, id or role has a word that marks boilerplate, or the element is hidden. Names such as
-    ``has-sidebar`` describe a page's layout, and page, body and article itself are never boilerplate."""
+    ``has-sidebar`` describe a page's layout, page and body are never boilerplate, and an article element that
+    lies in no other is so only if a whole name says that it is a comment, a teaser or an advert."""
     if not attributes or attributes.isspace():
         return False
     if HIDDEN.search(attributes):
         return True
-    if name in PAGE or name == "article" and not in_article:
+    if name in PAGE:
         return False
+    whole = name == "article" and not in_article
     for found in NAMED.finditer(attributes):
         for token in (found[1] or found[2] or found[3] or "").split():
+            if whole:
+                if token.lower() in CARDS:
+                    return True
+                continue
             words = re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
             if words[0] not in LAYOUT and not MARKS.isdisjoint(words):
                 return True
@@ -199,25 +209,31 @@ def stop_density(text: str) -> float:
     return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
-def first_pass(block: Block) -> int:
-    """Place and links first; inside an article everything else is text of it. Elsewhere length and the share
-    of stop words decide, and short or doubtful blocks stay open."""
+def first_pass(block: Block, lowered: bool = False, telling: bool = True) -> int:
+    """Marks and links first, then length and the share of stop words; short or doubtful blocks stay open.
+
+    ``lowered``: a block inside an article needs less evidence to be kept, and more to be left out (no stop word
+    and no sentence). ``telling``: whether stop words say anything about this page; else long blocks are kept.
+    """
     n = len(block.text)
     if block.place == BAD or block.linked > LINKS_MOST * n or block.text.startswith("©"):
         return BAD
-    if block.place == GOOD:
-        return GOOD
-    density = stop_density(block.text)
-    if n < SHORT or block.heading:
+    inside = lowered and block.place == GOOD
+    short, least, high = (SHORT // 2, STOP_LEAST / 2, STOP_LEAST) if inside else (SHORT, STOP_LEAST, STOP_HIGH)
+    if n < short or block.heading:
         return OPEN
-    if density >= STOP_HIGH or n > LONG and density >= STOP_LEAST:
+    if not telling:
+        return GOOD if n > LONG else OPEN
+    density = stop_density(block.text)
+    if density >= high or n > LONG and density >= least:
         return GOOD
-    return BAD if n <= LONG and density == 0 else OPEN
+    return BAD if n <= LONG and density == 0 and not (inside and SENTENCE.search(block.text)) else OPEN
 
 
-def second_pass(labels: list[int], sizes: list[int]) -> list[int]:
+def second_pass(labels: list[int], sizes: list[int], default: int = OPEN) -> list[int]:
     """Open blocks take the label of the nearest decided block, measured in blocks; if both sides are equally
-    near, the one with more text; if none is decided, open blocks longer than short are kept."""
+    near, the one with more text; if none is decided, ``default``, or without one open blocks longer than short
+    are kept."""
     before, after, last = [-1] * len(labels), [-1] * len(labels), -1
     for i, label in enumerate(labels):
         last = i if label else last
@@ -233,20 +249,33 @@ def second_pass(labels: list[int], sizes: list[int]) -> list[int]:
             continue
         sides = [j for j in (before[i], after[i]) if j >= 0]
         if not sides:
-            out.append(GOOD if sizes[i] >= SHORT else BAD)
+            out.append(default or (GOOD if sizes[i] >= SHORT else BAD))
         else:
             out.append(labels[min(sides, key=lambda j: (abs(j - i), -sizes[j]))])
     return out
 
 
 def main_text(page: str) -> str:
-    """Text of the blocks kept by both passes. On a page whose article elements hold enough text, nothing
-    outside them belongs to it."""
+    """Text of the blocks kept by both passes.
+
+    Where article and main elements hold at least as much text as is kept outside them, limits are lower inside,
+    and open blocks look for decided ones on their own side only: with none there, they are kept inside and left
+    out outside. Otherwise these elements are cards beside the text, and all blocks are treated alike.
+    """
     found = blocks_of(page)
-    first = [first_pass(b) for b in found]
-    if sum(len(b.text) for b, label in zip(found, first) if b.place == label == GOOD) >= LONG:
-        first = [label if b.place == GOOD else BAD for b, label in zip(found, first)]
-    labels = second_pass(first, [len(b.text) for b in found])
+    plain = [b for b in found if b.place != BAD and b.linked <= LINKS_MOST * len(b.text)]
+    telling = stop_density(" ".join(b.text for b in plain)) >= STOP_LEAST / 2
+    inside = sum(len(b.text) for b in plain if b.place == GOOD)
+    labels = [first_pass(b, telling=telling) for b in found]
+    outside = sum(len(b.text) for b, label in zip(found, labels) if b.place == OPEN and label == GOOD)
+    if inside and inside >= outside:
+        for side, default in ((GOOD, GOOD), (OPEN, BAD)):
+            at = [i for i, b in enumerate(found) if b.place == side]
+            first = [first_pass(found[i], True, telling) for i in at]
+            for i, label in zip(at, second_pass(first, [len(found[i].text) for i in at], default)):
+                labels[i] = label
+    else:
+        labels = second_pass(labels, [len(b.text) for b in found])
     return " ".join(b.text for b, label in zip(found, labels) if label == GOOD)
 
 

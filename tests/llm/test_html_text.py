@@ -43,6 +43,30 @@ def test_layout_names_are_not_boilerplate():
     assert main_text(page(f"<div class='has-sidebar'><main><p>{BODY}</p></main></div>")) == BODY.strip()
 
 
+PROSE = "The text of this page is not in an article, and it is what one would read if one came to the page for it. " * 5
+
+
+def test_text_outside_a_short_article():
+    card = f"<article><h3>Card</h3><p>{BODY}</p></article>"
+    for html in (page(f"<div><p>{PROSE}</p></div>{card}"), page(f"{card}<div><p>{PROSE}</p></div>")):
+        assert PROSE.strip() in main_text(html)
+    comment = f"<article class='comment'><p>{BODY}</p></article>"
+    assert main_text(page(f"<div><p>{PROSE}</p></div>{comment}")) == PROSE.strip()
+    assert PROSE.strip() in main_text(page(f"<div><p>{PROSE}</p></div><article><p>{BODY * 9}</p></article>"))
+
+
+def test_unmarked_boilerplate_inside_main():
+    menu = "<div>Home News Sport Weather Travel Culture Business Opinion Video Podcasts Shop Jobs Archive</div>"
+    listed = "<p>Apples, pears, plums, cherries, quinces, apricots, peaches, medlars, walnuts, hazelnuts.</p>"
+    html = page(f"<main>{menu}<div>Shop Jobs</div><h1>A title</h1><p>{BODY}</p>{listed}<p>Short.</p></main>")
+    assert main_text(html) == f"A title {BODY.strip()} {listed[3:-4]} Short."
+
+
+def test_pages_without_stop_words_keep_their_article():
+    text = "日本語の文章です。" * 12
+    assert main_text(page(f"<div>メニュー</div><article><p>{text}</p><p>短い。</p></article>")) == f"{text} 短い。"
+
+
 def test_open_blocks_take_the_nearest_label():
     assert second_pass([GOOD, OPEN, OPEN, BAD, OPEN], [9] * 5) == [GOOD, GOOD, BAD, BAD, BAD]
     assert second_pass([GOOD, OPEN, BAD], [9, 1, 5]) == [GOOD, GOOD, BAD]
