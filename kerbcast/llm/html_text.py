@@ -55,6 +55,10 @@ pagination pager widget copyright legal disclaimer search login toolbar skip tea
 contentinfo""".split())
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: The rest of a tag, in one scan: quotes count behind an equals sign.
+TAG_REST = re.compile(r"(?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+>")
+#: Elements that may lie in a page's head; any other one ends it.
+HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head html".split())
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?,;:…](?!\S)|[。！？、，]")
@@ -91,19 +95,12 @@ def marked(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def tag_end(page: str, at: int) -> int:
-    """The place of the ``>`` that ends the tag begun before ``at``; quoted ones do not count."""
-    first = end = page.find(">", at)
-    while end >= 0:
-        inside = page[at:end]
-        quote = '"' if inside.count('"') % 2 else "'" if inside.count("'") % 2 and '"' not in inside else ""
-        if not quote:
-            return end
-        close = page.find(quote, end)
-        if close < 0 or close - at > 4096:
-            return first
-        end = page.find(">", close)
-    return first
+def tag_end(page: str, at: int) -> tuple[int, bool]:
+    """The place of the ``>`` that ends the tag begun before ``at``, and whether it was found by the quotes of
+    attribute values, of whatever length. Quotes that are never closed, and quotes elsewhere, mean nothing; a tag
+    that does not end by these rules ends at the first ``>``."""
+    found = TAG_REST.match(page, at)
+    return (found.end() - 1, True) if found else (page.find(">", at), False)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -112,7 +109,7 @@ def blocks_of(page: str) -> list[Block]:
     stack: list[tuple[str, bool, bool]] = []  # name, whether outside the article, whether silent
     parts: list[tuple[str, bool]] = []
     links = silent = inner = outer = 0
-    heading = False
+    heading, whole_tags = False, True
 
     def flush() -> None:
         if parts:
@@ -131,12 +128,19 @@ def blocks_of(page: str) -> list[Block]:
         inner -= name in INNER
         return name
 
+    def end_head() -> None:
+        """An open head ends with all that hangs in it."""
+        while open_names.get("head"):
+            open_names[pop()] -= 1
+
     open_names: dict[str, int] = {}
     at, n = 0, len(page)
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
             lt = n
+        if lt > at and stack and stack[-1][0] == "head" and not page[at:lt].isspace():
+            end_head()
         if lt > at and not silent:
             parts.append((page[at:lt], links > 0))
         if lt == n:
@@ -156,7 +160,9 @@ def blocks_of(page: str) -> list[Block]:
                 parts.append(("<", links > 0))
             at = lt + 1
             continue
-        name, end = named[0].lower(), tag_end(page, named.end())
+        name = named[0].lower()
+        # Once a tag ran to the end of the page without an end, quotes are not followed again.
+        end, whole_tags = tag_end(page, named.end()) if whole_tags else (page.find(">", named.end()), False)
         if end < 0:
             break
         attributes, at = page[named.end():end], end + 1
@@ -174,6 +180,8 @@ def blocks_of(page: str) -> list[Block]:
             if name in HEADINGS:
                 heading = False
             continue
+        if name == "body" or name not in HEAD and stack and stack[-1][0] == "head":
+            end_head()
         if name in VOID or attributes.endswith("/"):
             continue
         if name in BLOCK and open_names.get("p"):

@@ -43,6 +43,28 @@ def test_layout_names_are_not_boilerplate():
     assert main_text(page(f"<div class='has-sidebar'><main><p>{BODY}</p></main></div>")) == BODY.strip()
 
 
+@pytest.mark.parametrize("start", [
+    "<html><head><meta charset=utf-8><title>T</title><body>", "<head><title>T</title><link rel=x href=y>",
+    "<head><noscript><style>p{}</style></noscript><script>x</script><body class='a'>", "<head><noscript><body>",
+    "<head><title>T</title><img src=x>", "<html><head><title>T</title></head><body>"])
+def test_a_head_left_open_ends_where_the_body_begins(start):
+    assert main_text(f"{start}<div><p>{BODY}</p></div>") == BODY.strip()
+    assert main_text(f"{start}{BODY}") == BODY.strip()
+
+
+def test_attribute_values_of_any_length():
+    for value in ("a > b " * 5_000, "x" * 5_000 + ">" + "y" * 90_000):
+        for quote in "\"'":
+            assert main_text(page(f"<article><p data-x={quote}{value}{quote} id=p>{BODY}</p></article>")) == BODY.strip()
+    assert main_text(page(f"<article><p title=don't>{BODY}</p><p>It's all.</p></article>")) == f"{BODY.strip()} It's all."
+    assert main_text(page(f"<article><p>{BODY}</p><p title=\"never closed>It is all.</p></article>")).endswith("It is all.")
+
+
+def test_tags_take_linear_time():
+    for part in ("<a b=\">\"", "<a b='>' c=\"", "<a b=", "<a =\"", "<head>"):
+        main_text(part * 60_000)
+
+
 PROSE = "The text of this page is not in an article, and it is what one would read if one came to the page for it. " * 5
 
 
