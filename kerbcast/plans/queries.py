@@ -858,7 +858,7 @@ def importance_cumulative(t: Tables) -> DataFrame:
 @query
 def permutation_importance(t: Tables) -> DataFrame:
     train, test = _model_split(t)
-    model = regression.fit(train, FULL_FEATURES)
+    model = regression.fit(train, FULL_FEATURES, regressor=regression.boosted())
     return importance.permutation_importance(model, test, FULL_FEATURES)
 
 
@@ -872,8 +872,8 @@ def linear_contributions(t: Tables) -> DataFrame:
 @query
 def log_target_compare(t: Tables) -> DataFrame:
     train, test = _model_split(t)
-    plain = regression.fit(train, FULL_FEATURES)
-    logged = regression.fit(train, FULL_FEATURES, log_target=True)
+    plain = regression.fit(train, FULL_FEATURES, regressor=regression.boosted())
+    logged = regression.fit(train, FULL_FEATURES, regressor=regression.boosted(), log_target=True)
     both = regression.predict(logged, regression.predict(plain, test, "raw"), "logged", log_target=True)
     banded = residuals.with_demand_band(
         both, edges=residuals.COARSE_BAND_EDGES, labels=residuals.COARSE_BAND_LABELS
@@ -897,7 +897,7 @@ def ablation_delta(t: Tables) -> DataFrame:
 @query
 def ab_test_models(t: Tables) -> DataFrame:
     train, _ = _model_split(t)
-    model = regression.fit(train, FULL_FEATURES)
+    model = regression.fit(train, FULL_FEATURES, regressor=regression.boosted())
     sequence_model = sequence.fit_sequence_model(lags.sequence_windows(t.demand))
     return training.ab_test(t.demand, model, sequence_model)
 
@@ -907,15 +907,15 @@ def monitor_month(t: Tables) -> DataFrame:
     train, _ = _model_split(t)
     return scoring.monitor_month(
         t.spark, t.trip_files, *t.newest_month, t.weather, t.holidays, t.history,
-        regression.fit(train, FULL_FEATURES), t.drift_baseline, t.versions, "demand_mean",
+        regression.fit(train, FULL_FEATURES, regressor=regression.boosted()), t.drift_baseline, t.versions, "demand_mean",
     ).select("mae", "mape", "output_drifted", "retrain", "reasons")
 
 
 @query
 def cv_ttest(t: Tables) -> DataFrame:
     rows = regression.fold_rows(t.model_rows)
-    a = regression.cross_validate(rows, CALENDAR_FEATURES)
-    b = regression.cross_validate(rows, FULL_FEATURES)
+    a = regression.cross_validate(rows, CALENDAR_FEATURES, regressor=regression.boosted())
+    b = regression.cross_validate(rows, FULL_FEATURES, regressor=regression.boosted())
     return abtest.paired_t_test(abtest.paired_fold_errors(a, b), ("calendar", "full"))
 
 
@@ -962,7 +962,7 @@ def anomalies(t: Tables) -> DataFrame:
 @query
 def score_requests(t: Tables) -> DataFrame:
     train, test = _model_split(t)
-    model = regression.fit(train, FULL_FEATURES)
+    model = regression.fit(train, FULL_FEATURES, regressor=regression.boosted())
     margins = written(intervals.conformal_margins(regression.predict(model, test), [0.8]), "margins")
     windows = training.sequence_rows(t.demand, zones=None, newest_year=False)
     sequence_model = sequence.fit_sequence_model(windows)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbcast.functions.timeparts import epoch_hours, epoch_micros
-from kerbcast.models.regression import ablation
+from kerbcast.models.regression import ablation, boosted
 from kerbcast.operators import baselines
 from kerbcast.operators.cleaning import clean_trips
 from kerbcast.operators.demand import with_filled_weather
@@ -149,7 +149,7 @@ class Tables:
 
     @cached_property
     def ablation(self) -> DataFrame:
-        return written(ablation(self.model_rows), "ablation")
+        return written(ablation(self.model_rows, regressor=boosted()), "ablation")
 
     @property
     def filled(self) -> DataFrame:
