@@ -119,6 +119,23 @@ def with_step_delta(steps: DataFrame, value: str = "cv_mae") -> DataFrame:
     return steps.withColumn("delta", F.col(value) - F.lag(value).over(Window.orderBy("step")))
 
 
+def log_target_folds(
+    demand: DataFrame, features: Sequence[str], target: str = COUNT, regressor=None, n_splits: int = 5
+) -> DataFrame:
+    """(fold, mae_raw, mae_log) and the mean and population deviation of both over the folds, which are shared."""
+    parts = demand if "segment" in demand.columns else fold_rows(demand, n_splits)
+    raw, logged = (
+        cross_validate(parts, features, target, regressor, n_splits, log_target=log).withColumnRenamed("mae", name)
+        for log, name in ((False, "mae_raw"), (True, "mae_log"))
+    )
+    folds = written(raw.join(logged, "fold"), "log-folds")
+    over = [(name, how) for name in ("mae_raw", "mae_log") for how in (F.avg, F.stddev_pop)]
+    names = ["cv_mae_raw", "cv_std_raw", "cv_mae_log", "cv_std_log"]
+    return folds.select(
+        "*", *[folds.agg(how(name)).scalar().alias(label) for (name, how), label in zip(over, names)]
+    )
+
+
 def coefficients(model: Model, features: Sequence[str]) -> dict[str, float]:
     """Coefficients by feature name, and the intercept under the empty name."""
     fitted = model.stages[-1]

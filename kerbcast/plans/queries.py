@@ -884,6 +884,14 @@ def log_target_compare(t: Tables) -> DataFrame:
     )
 
 
+@query
+def log_target_cv(t: Tables) -> DataFrame:
+    """Raw and log target over expanding-window folds, with the same trees on both."""
+    return regression.log_target_folds(
+        regression.fold_rows(t.model_rows), CALENDAR_FEATURES, regressor=regression.boosted()
+    )
+
+
 @query
 def ablation(t: Tables) -> DataFrame:
     return t.ablation

@@ -38,7 +38,20 @@ def small(spark):
 
 @pytest.mark.parametrize("name, models", [
     ("permutation_importance", 1), ("log_target_compare", 2), ("ab_test_models", 1), ("monitor_month", 1),
-    ("score_requests", 1), ("cv_ttest", 10), ("ablation", 25)])
+    ("score_requests", 1), ("cv_ttest", 10), ("log_target_cv", 10), ("ablation", 25)])
 def test_trees_are_fitted(fits, small, name, models):
     assert getattr(queries, name)(small).count() > 0
     assert 0 < len(fits) <= models and all(isinstance(r, GBTRegressor) for r, _ in fits)
+
+
+def test_log_target_folds(spark, hourly):
+    demand = hourly([1, 2, 3], 120, lambda z, h: 2 ** (h % 5 + z))
+    features = ["PULocationID", "pickup_hour"]
+    rows = regression.log_target_folds(demand, features, n_splits=3).orderBy("fold").collect()
+    for name, log in (("raw", False), ("log", True)):
+        folds = regression.cross_validate(demand, features, n_splits=3, log_target=log).orderBy("fold").collect()
+        mae = [r["mae"] for r in folds]
+        assert [r[f"mae_{name}"] for r in rows] == pytest.approx(mae) and len(mae) == 3
+        mean = sum(mae) / 3
+        assert {round(r[f"cv_mae_{name}"], 9) for r in rows} == {round(mean, 9)}
+        assert rows[0][f"cv_std_{name}"] == pytest.approx((sum((m - mean) ** 2 for m in mae) / 3) ** 0.5)
