@@ -1,8 +1,8 @@
 """Personal data: regular expressions propose spans, checksums confirm them, words nearby move the score.
 
 Four base kinds follow fixed rules and are always reported: email, ip, card, phone. The method adds spans of
-further kinds whose score reaches the threshold: bank account numbers (mod-97), social security numbers and
-local telephone numbers. Every pattern works on the whole text in time proportional to its length.
+further kinds whose score reaches the threshold: bank account numbers (only those that meet mod-97), social
+security numbers and local telephone numbers. Every pattern works on the whole text in time proportional to its length.
 """
 
 from __future__ import annotations
@@ -45,6 +45,8 @@ CONTEXT = {
 #: Score of a proposed span before checksum and context.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.5, "phone": 0.7, "iban": 0.5, "ssn": 0.5, "local_phone": 0.4}
 CHECKSUM_GAIN, CONTEXT_GAIN = 0.3, 0.4
+#: Kinds whose spans have all met a checksum.
+CHECKED = ("card", "iban")
 
 
 def luhn(digits: str) -> bool:
@@ -100,24 +102,42 @@ def near(text: str, start: int, end: int, kind: str) -> bool:
     return not set(re.findall(r"[^\W\d_]+(?:-[^\W\d_]+)*", around)).isdisjoint(CONTEXT[kind])
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost strings built like an IBAN that meet mod-97, at most 34 characters without spaces. Words in
+    capitals behind a number look like more of it, so a match is cut at its spaces from the right until it meets
+    the checksum; if none does, the search goes on behind its first character."""
+    found = IBAN.search(text)
+    while found:
+        start, end = found.span()
+        while end > start:
+            cut = text[start:end]
+            if IBAN.fullmatch(cut) and len(cut.replace(" ", "")) <= 34 and mod97(cut):
+                break
+            end = text.rfind(" ", start, end)
+        if end > start:
+            yield start, end
+        found = IBAN.search(text, max(end, start + 1))
+
+
 def score(text: str, kind: str, start: int, end: int) -> float:
-    checked = kind == "card" or kind == "iban" and mod97(text[start:end])
+    checked = kind in CHECKED
     return min(1.0, PRIOR[kind] + CHECKSUM_GAIN * checked + CONTEXT_GAIN * near(text, start, end, kind))
 
 
 def all_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, int, float]]:
-    """Base spans, then the added ones that reach the threshold and do not overlap a base span."""
+    """Base spans, then the added ones that reach the threshold; those that no checksum confirms must not overlap
+    a base span."""
     if not any(c in text for c in "@0123456789"):
         return []
     base = base_spans(text)
     taken = sorted((s, e) for _, s, e in base)
     out = [(k, s, e, score(text, k, s, e)) for k, s, e in base]
-    for kind, pattern in (("iban", IBAN), ("ssn", SSN), ("local_phone", LOCAL_PHONE)):
-        for m in pattern.finditer(text):
-            s, e = m.span()
-            value = score(text, kind, s, e)
-            if value >= threshold and not any(a < e and s < b for a, b in taken):
-                out.append((kind, s, e, value))
+    added = [("iban", s, e) for s, e in ibans(text)]
+    added += [(kind, *m.span()) for kind, pattern in (("ssn", SSN), ("local_phone", LOCAL_PHONE)) for m in pattern.finditer(text)]
+    for kind, s, e in added:
+        value = score(text, kind, s, e)
+        if value >= threshold and (kind in CHECKED or not any(a < e and s < b for a, b in taken)):
+            out.append((kind, s, e, value))
     return out
 
 

@@ -46,6 +46,31 @@ def test_checksums_and_context():
     assert kinds("call (030) 123 4567 now") == ["local_phone"] and kinds("sum (030) 123 4567 now") == []
 
 
+def made_iban(country, rest):
+    return next(f"{country}{n:02d}{rest}" for n in range(2, 99) if mod97(f"{country}{n:02d}{rest}"))
+
+
+def test_ibans_that_look_like_cards_are_reported():
+    both = 0
+    for n in range(200):
+        iban = made_iban("AT", f"{10 ** 15 + 7919 * n:016d}")
+        text = f"pay to {iban} now"
+        spans = all_spans(text)
+        both += any(k == "card" for k, *_ in spans)
+        assert [text[s:e] for k, s, e, _ in spans if k == "iban"] == [iban]
+        assert masked_text(text, spans) == "pay to [IBAN] now"
+    assert both
+
+
+def test_only_the_checksum_confirms_an_iban():
+    for text in ("bank account IBAN GB82 WEST 1234 5698 7654 33", "konto GB82WEST12345698765433"):
+        assert [k for k, *_ in all_spans(text)] == []
+    found = lambda t: [t[s:e] for k, s, e, _ in all_spans(t) if k == "iban"]
+    assert found("BE68 5390 0754 7034 CALL ME") == ["BE68 5390 0754 7034"]
+    assert found("AB12 CDEF GHIJ GB82 WEST 1234 5698 7654 32") == ["GB82 WEST 1234 5698 7654 32"]
+    all_spans("AB12 " * 40_000)
+
+
 def test_masking():
     text = "mail a@b.co or +49 30 1234567!"
     assert masked_text(text, all_spans(text)) == "mail [EMAIL] or [PHONE]!"
