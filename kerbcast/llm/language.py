@@ -6,18 +6,20 @@ forward-backward gives each word its label probabilities, also where a text swit
 the language with the largest sum over its words.
 
 Training needs sequences in which languages change: runs of words of labelled documents are spliced together.
-The model is fitted on a bounded sample of labelled rows (``sample_rows``); all texts are scored whole.
+The model is fitted on a bounded sample of labelled rows (``sample_rows``, and some of every language); all texts
+are scored whole.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbcast.llm.common import mixed, sized, texts_of
@@ -25,6 +27,8 @@ from kerbcast.llm.common import mixed, sized, texts_of
 UNDECIDED = "und"
 #: Labelled documents the model is fitted on; drawn by a hash of their id, whole texts.
 SAMPLE_ROWS = 1500
+#: Rows of each language that are learned from at least, or all if there are fewer.
+LEAST_ROWS = 50
 #: Hashed feature slots, words per spliced sequence, shortest and longest run, sequences per step, passes.
 SLOTS, SEQUENCE, RUN, STEP_SEQUENCES, PASSES = 1 << 17, 96, (6, 64), 256, 3
 RATE, DECAY = 0.25, 1e-6
@@ -266,15 +270,30 @@ class Field:
 def fitted(docs: DataFrame, training: Column, sample_rows: int = SAMPLE_ROWS) -> Field:
     """A field learned from a sample of the rows that meet ``training`` and have a language and a letter.
 
-    The sample are the rows with the smallest hash of their id; it is bounded by ``sample_rows``, and only
-    the sampled rows come to the driver.
+    The sample are the ``sample_rows`` rows with the smallest hash of their id and, so that every language is
+    learned, the ``LEAST_ROWS`` of each language with the smallest hash. Only the sampled rows come to the driver.
     """
+    lang = F.col("lang").cast("string")
     rows = texts_of(docs, "lang").where(training & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    ids = [r[0] for r in rows.select("doc_id", F.xxhash64("doc_id", F.lit(SEED)).alias("h")).orderBy("h", "doc_id")
-           .limit(sample_rows).collect()]
-    chosen = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long")), "doc_id", "left_semi")
-    found = sorted(chosen.select("doc_id", "text", F.col("lang").cast("string")).collect(), key=lambda r: (r[0], r[1], r[2]))[:sample_rows]
-    return Field(sorted({r[2] for r in found})).fit([(r[1], r[2]) for r in found])
+    rows = rows.select("doc_id", "text", lang.alias("lang"))
+    hashed = rows.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(SEED)).alias("h"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    of_each = hashed.withColumn("place", place).where(F.col("place") <= LEAST_ROWS)
+    chosen_rows = [(r[0], r[1]) for r in hashed.orderBy("h", "doc_id").limit(sample_rows).collect()]
+    of_each_rows = [(r[0], r[1]) for r in of_each.select("doc_id", "lang").collect()]
+    keys = docs.sparkSession.createDataFrame(sorted({*chosen_rows, *of_each_rows}, key=lambda k: (k[0] is None, k)),
+                                             "id long, name string")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("name"))
+    chosen = rows.join(F.broadcast(keys), same, "left_semi").collect()
+    found = sorted(chosen, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+    # Repeated ids bring more rows than were chosen: the first of every language stay, others as far as there is room.
+    seen, early, late = Counter(), [], []
+    for r in found:
+        seen[r[2]] += 1
+        (early if seen[r[2]] <= LEAST_ROWS else late).append(r)
+    room = max(0, max(sample_rows, len({*chosen_rows, *of_each_rows})) - len(early))
+    kept = sorted([*early, *late[:room]], key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+    return Field(sorted(seen)).fit([(r[1], r[2]) for r in kept])
 
 
 def languages(docs: DataFrame, training: Column, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from kerbcast.llm.language import Field, in_language, label_marginals, languages
+from kerbcast.llm.language import Field, fitted, in_language, label_marginals, languages
 
 SYLLABLES = {"aa": ["tion", "the", "er", "ing"], "bb": ["eau", "oui", "que", "ç"], "cc": ["ung", "sch", "ß", "ver"]}
 
@@ -66,6 +66,16 @@ def test_held_out_accuracy_and_awkward_rows(documents, odd):
     assert kept.count() == len(odd) - 4 + len(rows) + 1
 
 
+def test_rare_languages_are_learned(documents):
+    rows = [(i, text("aa", i), "aa") for i in range(400)] + [(None, text("bb", 0), "bb")]
+    rows += [(1000 + i, text("cc", i), "cc") for i in range(4)] + [(2000, text("cc", 5), None)]
+    docs = documents(rows)
+    # The four rows of "cc" are not among the three smallest hashes, nor is the row without an id.
+    assert fitted(docs, F.lit(True), sample_rows=3).labels == ["aa", "bb", "cc"]
+    got = {r.doc_id: r.lang_pred for r in languages(docs, F.lit(True), sample_rows=3).collect()}
+    assert got[2000] == "cc" and got[7] == "aa"
+
+
 def test_nothing_to_learn_from(documents):
     docs = documents([(1, "some words", None), (2, "more words", None)])
     assert {r.lang_pred for r in languages(docs, F.lit(True)).collect()} == {"und"}
