@@ -141,8 +141,12 @@ def running_totals(
     measures: Mapping[str, Column] | None = None, pieces: int = PIECES,
 ) -> DataFrame:
     """Per distinct value: its totals, ``*_upto`` (values up to and including it) and ``*_total``."""
-    sums = ["n", *(measures or {})]
-    long = _long(df, columns, measures)
+    return running_totals_of(_long(df, columns, measures), list(measures or {}), pieces)
+
+
+def running_totals_of(long: DataFrame, measures: Sequence[str] = (), pieces: int = PIECES) -> DataFrame:
+    """The same of rows that already are (feature, value, measures...), free of null and NaN."""
+    sums = ["n", *measures]
     # The distinct values are written: split points come from them, not from another read of the source.
     totals = written(_totals(long, sums[1:]), "distinct-values")
     cut = _with_piece(totals, totals, pieces).repartition("feature", "piece")

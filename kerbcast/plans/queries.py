@@ -872,8 +872,8 @@ def linear_contributions(t: Tables) -> DataFrame:
 @query
 def log_target_compare(t: Tables) -> DataFrame:
     train, test = _model_split(t)
-    plain = regression.fit(train, FULL_FEATURES, regressor=regression.boosted())
-    logged = regression.fit(train, FULL_FEATURES, regressor=regression.boosted(), log_target=True)
+    plain, logged = regression.fit_many(
+        [regression.Fit(train, tuple(FULL_FEATURES), log_target=log) for log in (False, True)], regression.boosted())
     both = regression.predict(logged, regression.predict(plain, test, "raw"), "logged", log_target=True)
     banded = residuals.with_demand_band(
         both, edges=residuals.COARSE_BAND_EDGES, labels=residuals.COARSE_BAND_LABELS
@@ -921,10 +921,9 @@ def monitor_month(t: Tables) -> DataFrame:
 
 @query
 def cv_ttest(t: Tables) -> DataFrame:
-    rows = regression.fold_rows(t.model_rows)
-    a = regression.cross_validate(rows, CALENDAR_FEATURES, regressor=regression.boosted())
-    b = regression.cross_validate(rows, FULL_FEATURES, regressor=regression.boosted())
-    return abtest.paired_t_test(abtest.paired_fold_errors(a, b), ("calendar", "full"))
+    folds = regression.compare_folds(
+        t.model_rows, {"calendar": CALENDAR_FEATURES, "full": FULL_FEATURES}, regressor=regression.boosted())
+    return abtest.paired_t_test(abtest.paired_fold_errors(folds["calendar"], folds["full"]), tuple(folds))
 
 
 @query

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbcast.models.importance import permutation_importance
-from kerbcast.models.regression import boosted, fit, linear, predict
+from kerbcast.models.boosting import BoostedModel, Fit
+from kerbcast.models.regression import boosted, fit, fit_many, linear, predict
 from kerbcast.models.sequence import score_sequences
 from kerbcast.operators.abtest import paired_errors, paired_t_test
 from kerbcast.operators.cleaning import latest_year, more_trips_than, sample_share
@@ -31,7 +32,7 @@ from kerbcast.sources.writers import run_rows, version_row
 class Trained:
     """A fitted model and the tables that describe it."""
 
-    model: Model
+    model: Model | BoostedModel
     predictions: DataFrame
     errors: DataFrame
     baseline: DataFrame | None = None
@@ -77,11 +78,10 @@ def train_demand(
     test = rows.where(F.col("split") == "test")
     regressor = regressor or boosted()
     weighted = written(with_sample_weight(train), "weighted-rows")
-    model = fit(weighted, features, regressor=regressor, weight="sample_weight")
-    scored = predict(model, test)
-
     fitting = written(with_sample_weight(rows.where(F.col("split") == "train")), "weighted-rows")
-    calibration_model = fit(fitting, features, regressor=regressor, weight="sample_weight")
+    model, calibration_model = fit_many(
+        [Fit(part, tuple(features), weight="sample_weight") for part in (weighted, fitting)], regressor)
+    scored = predict(model, test)
     calibration = predict(calibration_model, rows.where(F.col("split") == "calibration"))
     return Trained(
         model=model,

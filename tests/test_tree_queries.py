@@ -1,34 +1,26 @@
-"""Queries that stand for boosted models fit boosted trees; small ones here, so that it shows quickly."""
+"""Queries that stand for boosted models fit boosted trees, all at once and of full size."""
 
 import pytest
-from pyspark.ml.regression import GBTRegressor
 
 from kerbcast.models import regression
-from kerbcast.plans import queries, tables
+from kerbcast.models.boosting import Boosted
+from kerbcast.plans import queries
 from kerbcast.plans.tables import Tables
 
 SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture
-def fits(monkeypatch):
-    """The regressor of every fit, each made as small as can be."""
-    seen, boosted, fit = [], regression.boosted, regression.fit
-    asked = []
+def series(monkeypatch):
+    """Number of fits and regressor of every series of fits."""
+    seen, fit_all = [], regression.fit_all
 
-    def small(**params):
-        asked.append(params)
-        return boosted(trees=1, depth=1)
+    def noted(fits, spec=None):
+        seen.append((len(fits), spec))
+        return fit_all(fits, spec)
 
-    def noted(train, features, target="trip_count", regressor=None, *args, **kwargs):
-        seen.append((regressor, kwargs.get("log_target", False)))
-        return fit(train, features, target, regressor, *args, **kwargs)
-
-    monkeypatch.setattr(regression, "boosted", small)
-    monkeypatch.setattr(tables, "boosted", small, raising=False)
-    monkeypatch.setattr(regression, "fit", noted)
-    yield seen
-    assert asked and not any(asked)  # full size: no parameter is passed
+    monkeypatch.setattr(regression, "fit_all", noted)
+    return seen
 
 
 @pytest.fixture(scope="module")
@@ -39,9 +31,10 @@ def small(spark):
 @pytest.mark.parametrize("name, models", [
     ("permutation_importance", 1), ("log_target_compare", 2), ("ab_test_models", 1), ("monitor_month", 1),
     ("score_requests", 1), ("cv_ttest", 10), ("log_target_cv", 10), ("ablation", 25)])
-def test_trees_are_fitted(fits, small, name, models):
+def test_trees_are_fitted(series, small, name, models):
     assert getattr(queries, name)(small).count() > 0
-    assert 0 < len(fits) <= models and all(isinstance(r, GBTRegressor) for r, _ in fits)
+    (fits, spec), = series
+    assert 0 < fits <= models and spec == Boosted(trees=300, depth=9, rate=0.05)
 
 
 def test_log_target_folds(spark, hourly):
