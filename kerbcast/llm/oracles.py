@@ -11,4 +11,32 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM rows WINDOW g AS (PARTITION BY text_sha256)""",
+    # The visits of a source take its line from the front, over again when it is used up, until the target.
+    "op12_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+            FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS cap,
+                   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                       WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+            FROM sized GROUP BY source),
+        levels AS (
+            SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (
+                           ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+                      / (sum(weight) OVER (
+                           ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+            FROM sources),
+        targets AS (SELECT *, least(cap::DOUBLE, max(level) OVER () * weight) AS target FROM levels),
+        line AS (
+            SELECT *, coalesce(sum(size) OVER (
+                       PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id NULLS FIRST, size
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+            FROM sized)
+        SELECT doc_id, size, source_size, target,
+               CASE WHEN size = 0 THEN 0 ELSE
+                   floor(target + 0.5)::BIGINT // source_size * size
+                   + greatest(least(start + size, floor(target + 0.5)::BIGINT % source_size) - start, 0)
+               END::BIGINT AS taken
+        FROM line JOIN targets ON line.source IS NOT DISTINCT FROM targets.source""",
 }

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbcast.llm import exact_copies, fingerprints, html_text, language, near_copies, packing, personal_data, pieces, pitman_yor, quality
+from kerbcast.llm import (
+    exact_copies, fingerprints, html_text, language, mixing, near_copies, packing, personal_data, pieces, pitman_yor,
+    quality,
+)
 from kerbcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +101,8 @@ def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = pitman_yor.scored(table(spark, sf_dir, "documents"), remainder(5) != 1)
     return scores.select("doc_id", held_out(5).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")
+
+
+@query
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
