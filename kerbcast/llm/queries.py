@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbcast.llm import (
-    exact_copies, fingerprints, html_text, language, mixing, near_copies, packing, personal_data, pieces, pitman_yor,
-    quality,
+    divergence, exact_copies, fingerprints, html_text, language, mixing, near_copies, packing, personal_data, pieces,
+    pitman_yor, quality,
 )
 from kerbcast.llm.common import table
 
@@ -103,6 +103,11 @@ def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_score", "score")
 
 
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
