@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.01"
 TYPES = {
-    "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP", "date": "DATE",
 }
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
