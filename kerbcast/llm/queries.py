@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbcast.llm import (
-    divergence, exact_copies, fingerprints, html_text, language, mixing, near_copies, packing, personal_data, pieces,
-    pitman_yor, quality,
+    conversations, divergence, exact_copies, fingerprints, html_text, language, mixing, near_copies, packing,
+    personal_data, pieces, pitman_yor, quality,
 )
 from kerbcast.llm.common import table
 
@@ -111,3 +111,8 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(table(spark, sf_dir, "conversations")), F.col("present"))
