@@ -21,7 +21,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Words per block. Smaller blocks spread long documents further; the words taken do not depend on it.
 BLOCK = 1024
 #: Rows a bucket of a source's line has on average, and the largest number of buckets as a power of two.
-BUCKET_ROWS, MOST_BUCKET_BITS = 4096, 16
+BUCKET_ROWS, MOST_BUCKET_BITS = 512, 16
 #: The interval of all slots is joined with the sources in at most 2 ** GRAIN_BITS equal parts.
 GRAIN_BITS = 12
 
@@ -66,27 +66,27 @@ def targets(rows: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3,
         (F.sum("slots").over(by_name.rowsBetween(Window.unboundedPreceding, 0)) - F.col("slots")).alias("first"))
 
 
-def reversed_bits(x: Column, bits: int) -> Column:
-    """The ``bits`` lowest binary digits in reverse order."""
+def with_reversed_bits(df: DataFrame, column: str, name: str, bits: int) -> DataFrame:
+    """``df`` with the ``bits`` lowest binary digits of a column in reverse order."""
+    df = df.withColumn(name, F.col(column))
     for width, mask in ((1, 0x5555555555555555), (2, 0x3333333333333333), (4, 0x0F0F0F0F0F0F0F0F),
                         (8, 0x00FF00FF00FF00FF), (16, 0x0000FFFF0000FFFF), (32, 0x00000000FFFFFFFF)):
-        m = F.lit(mask)
-        x = F.shiftleft(x.bitwiseAND(m), width).bitwiseOR(F.shiftrightunsigned(x, width).bitwiseAND(m))
-    return F.shiftrightunsigned(x, 64 - bits)
+        m, x = F.lit(mask), F.col(name)
+        # A projection per step: in one expression each step would double the work of all before it.
+        df = df.withColumn(name, F.shiftleft(x.bitwiseAND(m), width).bitwiseOR(
+            F.shiftrightunsigned(x, width).bitwiseAND(m)))
+    return df.withColumn(name, F.shiftrightunsigned(name, 64 - bits))
 
 
-def points_below(slot: Column, end: Column, bits: int) -> Column:
-    """How many of the points of the slots before ``slot`` lie below ``end``.
+def points_below(slot: Column, end: Column, digits: Column, bits: int) -> Column:
+    """How many of the points of the slots before ``slot`` lie below ``end``; ``digits`` are its reversed bits.
 
     The points below fall into one interval per binary digit 1 of ``end``; those of an interval with l leading digits
     fixed recur every 2 ** l slots. So the rank of a slot needs no sort and no window.
     """
-    digits = reversed_bits(end, bits)
-
     def one(count: Column, n: Column) -> Column:
-        step = F.call_function("shiftleft", F.lit(1).cast("long"), n)
         half = F.call_function("shiftleft", F.lit(1).cast("long"), n - 1)
-        hits = F.call_function("shiftright", slot + step - 1 - digits.bitwiseAND(half - 1), n)
+        hits = F.call_function("shiftright", slot + 2 * half - 1 - digits.bitwiseAND(half - 1), n)
         return count + F.when(digits.bitwiseAND(half) != 0, hits).otherwise(F.lit(0).cast("long"))
 
     counted = F.aggregate(F.sequence(F.lit(1), F.lit(bits)), F.lit(0).cast("long"), one)
@@ -103,15 +103,17 @@ def schedule(sources: DataFrame, block: int = BLOCK) -> DataFrame:
     bits = max(1, (total - 1).bit_length()) if total else 1
     shift = max(0, bits - GRAIN_BITS)
     parts = max(spark.sparkContext.defaultParallelism, (1 << bits) >> 22)
-    point = reversed_bits(F.col("slot"), bits)
     slots = spark.range(0, 1 << bits if total else 0, 1, parts).select(F.col("id").alias("slot"))
-    slots = slots.withColumn("point", point).where(F.col("point") < total).withColumn(
+    slots = with_reversed_bits(slots, "slot", "point", bits).where(F.col("point") < total).withColumn(
         "grain", F.shiftright("point", shift))
-    end = F.col("first") + F.col("slots")
-    spread = sources.where("slots > 0").withColumn(
-        "grain", F.explode(F.sequence(F.shiftright("first", shift), F.shiftright(end - 1, shift))))
-    met = slots.join(spread, "grain").where((F.col("point") >= F.col("first")) & (F.col("point") < end))
-    rank = points_below(F.col("slot"), end, bits) - points_below(F.col("slot"), F.col("first"), bits)
+    lasting = sources.where("slots > 0").withColumn("end", F.col("first") + F.col("slots"))
+    for end in ("first", "end"):
+        lasting = with_reversed_bits(lasting, end, f"{end}_digits", bits)
+    spread = lasting.withColumn(
+        "grain", F.explode(F.sequence(F.shiftright("first", shift), F.shiftright(F.col("end") - 1, shift))))
+    met = slots.join(spread, "grain").where("point >= first AND point < end")
+    below = [points_below(F.col("slot"), F.col(e), F.col(f"{e}_digits"), bits) for e in ("end", "first")]
+    rank = below[0] - below[1]
     ranked = met.withColumn("rank", rank).withColumn("block", F.col("rank") % F.col("blocks"))
     done = F.expr("rank div blocks") * F.col("source_size") + F.col("block") * block
     words = F.least(F.lit(block), F.col("source_size") - F.col("block") * block, F.col("goal") - done)

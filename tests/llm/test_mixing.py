@@ -81,10 +81,13 @@ def test_schedule_interleaves(spark):
 
 def test_reversed_bits_and_points(spark):
     bits = 6
-    rows = spark.range(1 << bits).select(
-        "id", mixing.reversed_bits(F.col("id"), bits).alias("v"),
-        mixing.points_below(F.col("id"), F.lit(37).cast("long"), bits).alias("n"),
-        mixing.points_below(F.col("id"), F.lit(64).cast("long"), bits).alias("all")).orderBy("id").collect()
+    rows = mixing.with_reversed_bits(spark.range(1 << bits), "id", "v", bits).withColumns(
+        {"a": F.lit(37).cast("long"), "b": F.lit(64).cast("long")})
+    for end in "ab":
+        rows = mixing.with_reversed_bits(rows, end, f"{end}_digits", bits)
+    rows = rows.select(
+        "id", "v", mixing.points_below(F.col("id"), F.col("a"), F.col("a_digits"), bits).alias("n"),
+        mixing.points_below(F.col("id"), F.col("b"), F.col("b_digits"), bits).alias("all")).orderBy("id").collect()
     points = [int(f"{i:06b}"[::-1], 2) for i in range(64)]
     assert [r.v for r in rows] == points
     assert [r.n for r in rows] == [sum(p < 37 for p in points[:i]) for i in range(64)]
