@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,15 +25,15 @@ from kerbcast.llm.common import mixed, sized, stored
 
 #: ASCII letters and everything beyond ASCII, in UTF-8; the only letters to lower are A-Z.
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
-#: Terms of a language that are counted by broadcast hashes, the bytes of the longest of them, and all their shards.
-BROADCAST_TERMS, BROADCAST_BYTES = 400_000, 64
-#: Terms a shard has on average; a language's shards rise with its kept terms.
+#: Terms of all languages that are counted by broadcast hashes, and the bytes of the longest of them: 64 MB at most.
+BROADCAST_TERMS, BROADCAST_BYTES = 1_000_000, 64
+#: Terms a shard has on average; a language's shards rise with its terms.
 SHARD_TERMS = 4096
-#: Counts a task holds before it hands them on.
-HELD_TERMS, HELD_SLOTS = 200_000, 4_000_000
+#: Terms a task remembers, and counts (of 4 bytes) it holds before it hands them on.
+HELD_TERMS, HELD_SLOTS = 400_000, 16_000_000
 SCALE = 1_000_000_000
 #: Numbers in one dense block of sources and terms.
-BLOCK_CELLS = 1 << 20
+BLOCK_CELLS = 1 << 17
 
 
 # --- perfect hashes ----------------------------------------------------------------------------------------------
@@ -43,49 +44,80 @@ def hashes(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                  for key in ("0123456789123456", "divergence_audit"))
 
 
-class PerfectHash:
-    """Numbers 0 to n - 1 for n different terms, and the stored terms that verify them."""
+def places(level: int, size: np.ndarray | int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        spread = mixed(first + np.uint64(level) * (second | np.uint64(1)))
+    return (spread % np.asarray(size, dtype=np.uint64)).astype(np.int64)
 
-    def __init__(self, terms: np.ndarray):
-        """``terms``: an object array without repeats."""
-        self.levels: list[np.ndarray] = []
-        self.ranks: list[np.ndarray] = []
-        number = np.empty(len(terms), dtype=np.int64)
-        first, second = hashes(terms)
-        open_, taken = np.arange(len(terms)), 0
-        # Terms whose both numbers are equal never part; they stay behind the last level, found one by one.
-        while len(open_) and len(self.levels) < 64:
-            place = self.places(len(self.levels), 2 * len(open_), first[open_], second[open_])
-            bits = np.bincount(place, minlength=2 * len(open_)) == 1
-            rank = taken + np.cumsum(bits) - bits
-            alone = bits[place]
-            number[open_[alone]] = rank[place[alone]]
-            self.levels.append(bits)
-            self.ranks.append(rank)
-            taken, open_ = taken + int(bits.sum()), open_[~alone]
-        number[open_] = taken + np.arange(len(open_))
-        self.left = {terms[i]: int(number[i]) for i in open_}
-        self.terms = np.empty(len(terms), dtype=object)
-        self.terms[number] = terms
-
-    @staticmethod
-    def places(level: int, size: int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return (mixed(first + np.uint64(level) * (second | np.uint64(1))) % np.uint64(size)).astype(np.int64)
-
-    def numbers(self, terms: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """The number of each term, -1 for a term that is not stored."""
+
+def shard_of(first: np.ndarray, shards: int) -> np.ndarray:
+    return ((first >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+
+
+def built(terms: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The bits of each level, and the terms (an object array without repeats) in the order of their numbers.
+
+    Terms whose two hashes are both equal never part; they stand behind the others and are found by comparison.
+    """
+    first, second = hashes(terms)
+    open_, levels, order = np.arange(len(terms)), [], []
+    while len(open_) and len(levels) < 64:
+        size = 2 * len(open_)
+        place = places(len(levels), size, first[open_], second[open_])
+        bits = np.bincount(place, minlength=size) == 1
+        alone = bits[place]
+        levels.append(bits)
+        order.append(open_[alone][np.argsort(place[alone])])
+        open_ = open_[~alone]
+    return levels, terms[np.concatenate([*order, open_])] if len(terms) else terms
+
+
+class PerfectHash:
+    """The perfect hashes of all shards of a language side by side: 0.6 bytes a term, and the stored terms."""
+
+    def __init__(self, shards: list[tuple[list[np.ndarray], np.ndarray]]):
+        self.shards = len(shards)
+        #: First number of each shard; a term's number is that of its shard plus its place among its terms.
+        self.starts = np.cumsum([0, *(len(terms) for _, terms in shards)])
+        taken = self.starts[:-1].copy()
+        self.sizes, self.offsets, self.words, self.ranks = [], [], [], []
+        for level in range(max((len(levels) for levels, _ in shards), default=0)):
+            bits = [levels[level] if level < len(levels) else np.zeros(0, dtype=bool) for levels, _ in shards]
+            padded = [np.pad(b, (0, -len(b) % 64)) for b in bits]
+            words = [np.packbits(b, bitorder="little").view(np.uint64) for b in padded]
+            counts = [np.bitwise_count(w).astype(np.int64) for w in words]
+            self.sizes.append(np.array([max(1, len(b)) for b in bits]))
+            self.offsets.append(np.cumsum([0, *map(len, words)]))
+            self.words.append(np.concatenate([*words, np.zeros(1, dtype=np.uint64)]))
+            self.ranks.append(np.concatenate(
+                [*(t + np.cumsum(c) - c for t, c in zip(taken, counts)), [0]]).astype(np.int32))
+            taken += [int(c.sum()) for c in counts]
+        self.terms = pa.array([t for _, terms in shards for t in terms], pa.large_string())
+        self.left = {self.terms[n].as_py(): n for at, stop in zip(taken, self.starts[1:]) for n in range(at, stop)}
+
+    def numbers(self, terms: np.ndarray) -> np.ndarray:
+        """The number of each term (an object array of strings), -1 for a term that is not stored."""
         out = np.full(len(terms), -1, dtype=np.int64)
-        open_ = np.arange(len(terms))
-        for level, (bits, rank) in enumerate(zip(self.levels, self.ranks)):
-            place = self.places(level, len(bits), first[open_], second[open_])
-            here = bits[place]
-            out[open_[here]] = rank[place[here]]
+        if not self.shards:
+            return out
+        first, second = hashes(terms)
+        shard, open_ = shard_of(first, self.shards), np.arange(len(terms))
+        for level, (sizes, offsets, words, ranks) in enumerate(
+                zip(self.sizes, self.offsets, self.words, self.ranks)):
+            mine = shard[open_]
+            place = places(level, sizes[mine], first[open_], second[open_])
+            at, bit = offsets[mine] + (place >> 6), (place & 63).astype(np.uint64)
+            at[offsets[mine] == offsets[mine + 1]] = len(words) - 1
+            word = words[at]
+            here = (word >> bit) & np.uint64(1) == 1
+            below = np.bitwise_count(word & ((np.uint64(1) << bit) - np.uint64(1)))
+            out[open_[here]] = ranks[at[here]] + below[here]
             open_ = open_[~here]
         if self.left:
             out[open_] = [self.left.get(terms[i], -1) for i in open_]
-        found = out >= 0
-        out[found] = np.where(self.terms[out[found]] == terms[found], out[found], -1)
+        found = np.flatnonzero(out >= 0)
+        same = pc.equal(self.terms.take(pa.array(out[found])), pa.array(terms[found], pa.large_string()))
+        out[found[~same.to_numpy(zero_copy_only=False)]] = -1
         return out
 
 
@@ -119,77 +151,85 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     yield from out()
 
 
-class Slots:
-    """Dense counts per group and shard, as many as may be held at once."""
-
-    def __init__(self):
-        self.held: dict[tuple[str, str, int], np.ndarray] = {}
-        self.size = 0
-
-    def add(self, lang: str, source: str, shard: int, width: int, numbers: np.ndarray, counts: np.ndarray) -> None:
-        key = (lang, source, shard)
-        if key not in self.held:
-            self.held[key] = np.zeros(width, dtype=np.int64)
-            self.size += width
-        self.held[key][numbers] += counts
-
-    def out(self) -> Iterator[pa.RecordBatch]:
-        for (lang, source, shard), counts in self.held.items():
-            number = np.flatnonzero(counts)
-            yield _cells(lang, source, np.full(len(number), shard), number, counts[number], [None] * len(number))
-        self.held.clear()
-        self.size = 0
-
-
-def _cells(lang, source, shard, number, counts, terms) -> pa.RecordBatch:
+def _cells(lang: str, source: str, numbers, counts, terms) -> pa.RecordBatch:
     n = len(counts)
     return pa.RecordBatch.from_arrays(
         [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()),
-         pa.array(shard, pa.int32()), pa.array(number, pa.int32()), pa.array(terms, pa.string()),
-         pa.array(counts, pa.int64())], ["lang", "source", "shard", "number", "term", "n"])
+         pa.nulls(n, pa.int64()) if numbers is None else pa.array(numbers, pa.int64()),
+         pa.nulls(n, pa.string()) if terms is None else pa.array(terms, pa.string()),
+         pa.array(counts, pa.int64())], ["lang", "source", "number", "term", "n"])
 
 
-def _shard_of(first: np.ndarray, shards: int) -> np.ndarray:
-    return ((first >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+class Recount:
+    """The second pass over the texts of one task.
 
+    Counts lie in dense slots per group, one per broadcast term and one more for all other terms; of languages whose
+    kept terms are not all broadcast, those others are counted by themselves.
+    """
 
-def _recounted(shared: dict[str, tuple[int, dict[int, PerfectHash]]]):
-    """The second pass: cells of slots for terms with a broadcast number, cells of terms for the others."""
+    def __init__(self, shared: dict[str, PerfectHash], complete: set[str]):
+        self.shared, self.complete = shared, complete
+        self.known: dict[str, dict[bytes, int]] = {}
+        self.slots: dict[tuple[str, str], np.ndarray] = {}
+        self.others: dict[tuple[str, str], Counter] = {}
+
+    def numbers(self, lang: str, terms: list[bytes]) -> np.ndarray:
+        """The slot of each term; a term new to the task is looked up by its perfect hash once."""
+        table = self.shared[lang]
+        known = self.known.setdefault(lang, {})
+        fresh = list(set(terms).difference(known))
+        if fresh:
+            found = table.numbers(np.array([t.decode() for t in fresh], dtype=object))
+            known.update(zip(fresh, np.where(found < 0, len(table.terms), found).tolist()))
+        return np.fromiter(map(known.__getitem__, terms), dtype=np.int64, count=len(terms))
+
+    def add(self, lang: str, source: str, terms: list[bytes]) -> None:
+        if lang in self.shared:
+            width = len(self.shared[lang].terms) + 1
+            numbers = self.numbers(lang, terms)
+            if (lang, source) not in self.slots:
+                self.slots[lang, source] = np.zeros(width, dtype=np.int32)
+            counts = np.bincount(numbers, minlength=width)
+            self.slots[lang, source] += counts.astype(np.int32)
+            if lang in self.complete or not counts[-1]:
+                return
+            terms = [terms[i] for i in np.flatnonzero(numbers == width - 1)]
+        elif lang in self.complete:
+            return
+        self.others.setdefault((lang, source), Counter()).update(terms)
+
+    @property
+    def full(self) -> bool:
+        return (sum(map(len, self.slots.values())) > HELD_SLOTS or sum(map(len, self.others.values())) > HELD_TERMS)
+
+    def forget(self) -> None:
+        if sum(map(len, self.known.values())) > HELD_TERMS:
+            self.known.clear()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, held = Slots(), {}
-
-        def number_all() -> Iterator[pa.RecordBatch]:
-            for (lang, source), counts in held.items():
-                terms = np.array([t.decode() for t in counts], dtype=object)
-                n = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
-                first, second = hashes(terms)
-                shards, tables = shared.get(lang, (1, {}))
-                shard, rest = _shard_of(first, shards), np.ones(len(terms), dtype=bool)
-                order = np.argsort(shard, kind="stable")
-                ends = np.searchsorted(shard[order], np.arange(shards + 1))
-                for i, table in tables.items():
-                    mine = order[ends[i]:ends[i + 1]]
-                    found = table.numbers(terms[mine], first[mine], second[mine])
-                    mine, found = mine[found >= 0], found[found >= 0]
-                    slots.add(lang, source, i, len(table.terms), found, n[mine])
-                    rest[mine] = False
-                if rest.any():
-                    nothing = [None] * int(rest.sum())
-                    yield _cells(lang, source, nothing, nothing, n[rest], terms[rest].tolist())
-            held.clear()
-
-        for batch in sized(batches):
-            for lang, source, text in _columns(batch):
-                held.setdefault((lang, source), Counter()).update(terms_of(text))
-            if sum(map(len, held.values())) > HELD_TERMS:
-                yield from number_all()
-            if slots.size > HELD_SLOTS:
-                yield from slots.out()
-        yield from number_all()
-        yield from slots.out()
-
-    return count
+    def out(self) -> Iterator[pa.RecordBatch]:
+        for (lang, source), counts in self.slots.items():
+            numbers = np.flatnonzero(counts[:-1])
+            yield _cells(lang, source, numbers, counts[numbers], None)
+        for (lang, source), counts in self.others.items():
+            yield _cells(lang, source, None, list(counts.values()), [t.decode() for t in counts])
+        self.slots.clear()
+        self.others.clear()
+
+
+def _recounted(
+    shared: dict[str, PerfectHash], complete: set[str], batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    task = Recount(shared, complete)
+    for batch in sized(batches, size=8_000_000):
+        found: dict[tuple[str, str], list[bytes]] = {}
+        for lang, source, text in _columns(batch):
+            found.setdefault((lang, source), []).extend(terms_of(text))
+        for (lang, source), terms in found.items():
+            task.add(lang, source, terms)
+        task.forget()
+        if task.full:
+            yield from task.out()
+    yield from task.out()
 
 
 # --- exact shares ------------------------------------------------------------------------------------------------
@@ -217,49 +257,46 @@ def kept_terms(rows: DataFrame, least: int) -> DataFrame:
     return parts.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least)
 
 
-def _numbered(kept: DataFrame, sizes: dict[str, int]) -> DataFrame:
-    """(lang, shard, number, term, shared): the perfect hash of every shard, as the terms in their order.
-
-    Shared are the short terms in at least so many documents that no more than the limit are.
-    """
+def _marked(kept: DataFrame) -> DataFrame:
+    """(lang, term, shared): shared are the short terms in at least so many documents that no more than the limit are."""
     short = F.octet_length("term") <= BROADCAST_BYTES
-    upto = Window.partitionBy("lang").orderBy(F.desc("docs"))
-    limits = (
-        kept.where(short).groupBy("lang", "docs").agg(F.count(F.lit(1)).alias("n"))
-        .select("lang", "docs", F.sum("n").over(upto).alias("terms"))
-        .where(F.col("terms") <= BROADCAST_TERMS // max(1, len(sizes)))
-        .groupBy("lang").agg(F.min("docs").alias("docs")).collect())
-    least = F.create_map(*[F.lit(x) for r in limits for x in (r["lang"], r["docs"])])[F.col("lang")] if limits else None
-    shared = F.coalesce(short & (F.col("docs") >= least), F.lit(False)) if limits else F.lit(False)
-    marked = kept.select("lang", "term", shared.alias("shared"))
+    found = (
+        kept.where(short).groupBy("docs").agg(F.count(F.lit(1)).alias("n"))
+        .select("docs", F.sum("n").over(Window.orderBy(F.desc("docs"))).alias("terms"))
+        .where(F.col("terms") <= BROADCAST_TERMS).agg(F.min("docs").alias("docs")).first()["docs"])
+    shared = F.lit(False) if found is None else short & (F.col("docs") >= found)
+    return kept.select("lang", "term", shared.alias("shared"))
+
+
+def _hashed_shards(marked: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """(lang, shard, levels, terms) of the shared terms, each shard built in a task of its own."""
+    shards = {lang: max(1, -(-n // SHARD_TERMS)) for lang, n in sizes.items()}
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             first, _ = hashes(batch["term"].to_numpy(dtype=object))
-            widths = batch["lang"].map({k: _shards(n) for k, n in sizes.items()}).to_numpy()
-            yield batch.assign(shard=((first >> np.uint64(32)) % widths.astype(np.uint64)).astype(np.int32))
+            width = batch["lang"].map(shards).to_numpy().astype(np.uint64)
+            yield batch.assign(shard=((first >> np.uint64(32)) % width).astype(np.int32))
 
     def build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        terms = PerfectHash(group["term"].to_numpy(dtype=object)).terms
-        return pd.DataFrame({"lang": key[0], "shard": key[1], "shared": key[2],
-                             "number": np.arange(len(terms), dtype=np.int32), "term": terms})
-
-    placed = marked.mapInPandas(place, "lang string, term string, shared boolean, shard int")
-    return placed.groupBy("lang", "shard", "shared").applyInPandas(
-        build, "lang string, shard int, shared boolean, number int, term string")
-
+        levels, terms = built(group["term"].to_numpy(dtype=object))
+        row = (key[0], key[1], [np.packbits(b).tobytes() for b in levels], [len(b) for b in levels], list(terms))
+        return pd.DataFrame([row], columns=["lang", "shard", "levels", "sizes", "terms"])
 
-def _shards(terms: int) -> int:
-    return max(1, -(-terms // SHARD_TERMS))
+    placed = marked.where("shared").select("lang", "term").mapInPandas(place, "lang string, term string, shard int")
+    return placed.groupBy("lang", "shard").applyInPandas(
+        build, "lang string, shard int, levels array<binary>, sizes array<int>, terms array<string>")
 
 
-def _tables(numbered: DataFrame, sizes: dict[str, int]) -> dict[str, tuple[int, dict[int, PerfectHash]]]:
-    """The hashes to broadcast: at most ``BROADCAST_TERMS`` terms of ``BROADCAST_BYTES`` each."""
-    out = {lang: (_shards(n), {}) for lang, n in sizes.items()}
-    shared = numbered.where("shared").select("lang", "shard", "term").toPandas()
-    for (lang, shard), group in shared.groupby(["lang", "shard"]):
-        out[lang][1][int(shard)] = PerfectHash(np.sort(group["term"].to_numpy(dtype=object)))
-    return out
+def _tables(hashed: DataFrame, sizes: dict[str, int]) -> dict[str, PerfectHash]:
+    """The hashes to broadcast, at most ``BROADCAST_TERMS`` terms of ``BROADCAST_BYTES`` each."""
+    nothing = ([], np.empty(0, dtype=object))
+    parts = {lang: [nothing] * max(1, -(-n // SHARD_TERMS)) for lang, n in sizes.items() if n}
+    for row in hashed.toLocalIterator():
+        levels = [np.unpackbits(np.frombuffer(bytes(b), dtype=np.uint8), count=n).astype(bool)
+                  for b, n in zip(row["levels"], row["sizes"])]
+        parts[row["lang"]][row["shard"]] = (levels, np.array(row["terms"], dtype=object))
+    return {lang: PerfectHash(shards) for lang, shards in parts.items()}
 
 
 def audit(docs: DataFrame, least: int = 3, top: int = 200) -> DataFrame:
@@ -281,9 +318,12 @@ def audit(docs: DataFrame, least: int = 3, top: int = 200) -> DataFrame:
     groups = sorted((r["lang"], r["source"]) for r in rows.select("lang", "source").distinct().collect())
     kept = stored(kept_terms(rows, least), "kept_terms")
     sizes = {r["lang"]: r["n"] for r in kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    numbered = stored(_numbered(kept, sizes), "numbered_terms")
-    tables = _tables(numbered, sizes)
-    cells = stored(_all_counts(rows, numbered, tables), "term_counts")
+    marked = stored(_marked(kept), "marked_terms")
+    shared = {r["lang"]: r["n"] for r in marked.where("shared").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    hashed = stored(_hashed_shards(marked, shared), "perfect_hashes")
+    tables = _tables(hashed, shared)
+    complete = {lang for lang, _ in groups if shared.get(lang, 0) == sizes.get(lang, 0)}
+    cells = stored(_all_counts(rows, marked, hashed, tables, complete), "term_counts")
     totals = {(r["lang"], r["source"]): r["n"]
               for r in cells.groupBy("lang", "source").agg(F.sum("n").alias("n")).collect()}
     found = _measured(cells, groups, totals, sizes, top)
@@ -297,22 +337,37 @@ def audit(docs: DataFrame, least: int = 3, top: int = 200) -> DataFrame:
         "lang", "source", "part", "item", "value", "rank")
 
 
-def _all_counts(rows: DataFrame, numbered: DataFrame, tables: dict) -> DataFrame:
+def _all_counts(
+    rows: DataFrame, marked: DataFrame, hashed: DataFrame, tables: dict[str, PerfectHash], complete: set[str]
+) -> DataFrame:
     """(lang, source, term, n) of all kept terms: slots by their number, the others by the term itself."""
     shared = rows.sparkSession.sparkContext.broadcast(tables)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _recounted(shared.value)(batches)
-
-    # Written, so that the texts are read once for both kinds of cells.
-    cells = stored(rows.select("lang", "source", "text").mapInArrow(
-        count, "lang string, source string, shard int, number int, term string, n long"), "cells")
-    slots = cells.where("number IS NOT NULL").groupBy("lang", "source", "shard", "number").agg(F.sum("n").alias("n"))
+        yield from _recounted(shared.value, complete, batches)
+
+    cells = rows.select("lang", "source", "text").mapInArrow(
+        count, "lang string, source string, number long, term string, n long")
+    whole = complete.issuperset(r["lang"] for r in marked.select("lang").distinct().collect())
+    if not whole:
+        # Written, so that the texts are read once for both kinds of cells.
+        cells = stored(cells, "cells")
+    slots = cells.where("number IS NOT NULL").groupBy("lang", "source", "number").agg(F.sum("n").alias("n"))
+    found = slots.join(_numbered(hashed), ["lang", "number"]).select("lang", "source", "term", "n")
+    if whole:
+        return found
     others = cells.where("number IS NULL").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    terms = numbered.where("shared").select("lang", "shard", "number", "term")
-    rare = numbered.where("NOT shared").select("lang", "term")
-    return (slots.join(terms, ["lang", "shard", "number"]).select("lang", "source", "term", "n")
-            .unionByName(others.join(rare, ["lang", "term"]).select("lang", "source", "term", "n")))
+    rare = marked.where("NOT shared").select("lang", "term")
+    return found.unionByName(others.join(rare, ["lang", "term"]).select("lang", "source", "term", "n"))
+
+
+def _numbered(hashed: DataFrame) -> DataFrame:
+    """(lang, number, term) of the broadcast terms; the window runs over one row per shard."""
+    before = Window.partitionBy("lang").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.size("terms")).over(before), F.lit(0))
+    return hashed.withColumn("start", start).select(
+        "lang", "start", F.posexplode("terms").alias("place", "term")).select(
+        "lang", (F.col("start") + F.col("place")).alias("number"), "term")
 
 
 def _measured(

@@ -55,7 +55,7 @@ def result(df):
     return sorted((r.lang, r.source, r.part, r["item"], r.value, r["rank"]) for r in df.collect())
 
 
-@pytest.mark.parametrize("terms, cells", [(400_000, 1 << 20), (0, 1 << 20), (60, 50)])
+@pytest.mark.parametrize("terms, cells", [(1_000_000, 1 << 17), (0, 1 << 17), (60, 50)])
 def test_equals_brute_force(docs, rows, monkeypatch, terms, cells):
     monkeypatch.setattr(divergence, "BROADCAST_TERMS", terms)  # all, none and some terms by broadcast hashes
     monkeypatch.setattr(divergence, "BLOCK_CELLS", cells)
@@ -70,18 +70,25 @@ def test_limits(docs, rows):
         ("zz", "x", "pair", "y", 0, 1), ("zz", "y", "pair", "x", 0, 1)]
 
 
-def test_perfect_hash(monkeypatch):
+def table_of(terms, shards):
+    shard = divergence.shard_of(divergence.hashes(terms)[0], shards)
+    return divergence.PerfectHash([divergence.built(terms[shard == i]) for i in range(shards)])
+
+
+@pytest.mark.parametrize("shards", [1, 7, 3000])
+def test_perfect_hash(shards):
     terms = np.array([f"w{i}" for i in range(5000)] + ["é", "日本"], dtype=object)
-    table = divergence.PerfectHash(terms)
-    numbers = table.numbers(terms, *divergence.hashes(terms))
-    assert sorted(numbers) == list(range(len(terms))) and (table.terms[numbers] == terms).all()
+    table = table_of(terms, shards)
+    numbers = table.numbers(terms)
+    assert sorted(numbers) == list(range(len(terms))) and table.terms.take(numbers).to_pylist() == terms.tolist()
     others = np.array([f"x{i}" for i in range(5000)], dtype=object)
-    assert (table.numbers(others, *divergence.hashes(others)) == -1).all()
-    few = np.array(["a", "b", "c"], dtype=object)
+    assert (table.numbers(others) == -1).all() and (table_of(terms[:0], shards).numbers(others) == -1).all()
+
+
+def test_terms_with_equal_hashes(monkeypatch):
     monkeypatch.setattr(divergence, "hashes", lambda t: (np.zeros(len(t), np.uint64), np.ones(len(t), np.uint64)))
-    same = divergence.PerfectHash(few)
-    asked = np.array(["c", "q", "a", "b"], dtype=object)
-    assert sorted(same.numbers(asked, *divergence.hashes(asked))) == [-1, 0, 1, 2]
+    same = table_of(np.array(["a", "b", "c"], dtype=object), 2)
+    assert sorted(same.numbers(np.array(["c", "q", "a", "b"], dtype=object))) == [-1, 0, 1, 2]
 
 
 def test_shares_are_exact():
