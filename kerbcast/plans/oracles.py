@@ -387,6 +387,16 @@ ORACLES: dict[str, str] = {
         - epoch_us(tpep_pickup_datetime)) / 60000000.0::DOUBLE), 6) AS minutes, round(sum(coalesce(surcharge, 0.0)), 6) AS extras
       FROM filed WHERE trip_distance > 0.15 AND trip_distance <= 40 AND fare_amount > 3.5 AND fare_amount <= 150
         AND date_trunc('month', tpep_pickup_datetime) = file_start GROUP BY ALL""",
+    "scan_mixed_schemas": BASE + """, read AS (
+      SELECT *, month(tpep_pickup_datetime) % 2 = 0 AS even,
+        CASE WHEN month(tpep_pickup_datetime) % 2 = 0 THEN trip_distance::FLOAT::DOUBLE ELSE trip_distance END AS d
+      FROM trips)
+      SELECT year(tpep_pickup_datetime)::BIGINT AS file_year, month(tpep_pickup_datetime)::BIGINT AS file_month,
+        count(*)::BIGINT AS n, round(sum(fare_amount), 6) AS fares, round(sum(coalesce(surcharge, 0.0)), 6) AS fees,
+        round(sum(CASE WHEN even THEN coalesce(surcharge, 0.0) ELSE 0.0 END), 6) AS extras,
+        count(CASE WHEN even THEN DOLocationID END)::BIGINT AS known_ends, sum(PULocationID)::BIGINT AS zones,
+        min(tpep_pickup_datetime) AS first_pickup
+      FROM read WHERE d > 0.15 AND d <= 40 AND fare_amount > 3.5 AND fare_amount <= 150 GROUP BY ALL""",
     "scan_one_month": BASE + """ SELECT trip_id, tpep_pickup_datetime, round(trip_duration, 6) AS trip_duration,
       extra AS Airport_fee FROM clean WHERE trip_id % 50 <> 0
       AND tpep_pickup_datetime >= (SELECT date_trunc('month', max(tpep_pickup_datetime)) FROM trips)""",

@@ -66,6 +66,17 @@ def scan_trips(t: Tables) -> DataFrame:
     )
 
 
+@query
+def scan_mixed_schemas(t: Tables) -> DataFrame:
+    """Months of different types, spelling and columns, read as one table."""
+    loaded = readers.load_clean_trips(t.spark, t.mixed_trip_files)
+    return loaded.groupBy("file_year", "file_month").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("fare_amount").alias("fares"), F.sum("Airport_fee").alias("fees"),
+        F.sum("extra").alias("extras"), F.count("DOLocationID").alias("known_ends"), F.sum(ZONE).alias("zones"),
+        F.min(PICKUP).alias("first_pickup"),
+    )
+
+
 @query
 def scan_one_month(t: Tables) -> DataFrame:
     loaded = readers.load_clean_trips(t.spark, t.trip_files, *t.newest_month)

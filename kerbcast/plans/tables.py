@@ -63,6 +63,21 @@ class Tables:
         writers.write_trip_months(self.trips.withColumn("label", label), path, "label")
         return path
 
+    @cached_property
+    def mixed_trip_files(self) -> str:
+        """Trips by month whose files differ: even months have 32-bit zones and distances, a lower-case fee and times with a
+        zone, odd ones lack the drop-off zone and the surcharge."""
+        path = fresh_path(self.spark, "mixed-trips")
+        labelled = self.trips.withColumn("label", F.date_format(PICKUP, "yyyy-MM"))
+        even = F.month(PICKUP) % 2 == 0
+        narrow = labelled.where(even).withColumns(
+            {"PULocationID": F.col("PULocationID").cast("int"), "trip_distance": F.col("trip_distance").cast("float"),
+             "tpep_pickup_datetime": F.col(PICKUP).cast("timestamp")}).withColumnRenamed("Airport_fee", "airport_fee")
+        writers.write_trip_months(narrow, f"{path}/even", "label")
+        wide = labelled.where(~even).withColumn("PULocationID", F.col("PULocationID").cast("long"))
+        writers.write_trip_months(wide.drop("DOLocationID", "extra"), f"{path}/odd", "label")
+        return path
+
     @cached_property
     def newest_month(self) -> tuple[int, int]:
         """Year and month of the newest pickup."""

@@ -32,6 +32,8 @@ CLASSIFIER_FEATURES = [
 ]
 FARE_FEATURES = ["trip_distance", "Airport_fee", "extra", "trip_duration"]
 FARE_TREE_FEATURES = FARE_FEATURES + ["PULocationID", "DOLocationID"]
+TRIP_COLUMNS = [PICKUP, DROPOFF, ZONE, "trip_distance", "fare_amount"]
+TRIP_EXTRAS = ["DOLocationID", "Airport_fee", "extra"]
 MAE_LIMIT, MAPE_LIMIT = 7.0, 0.15
 PSI_LIMIT = 0.2
 OUTPUT_DRIFT_LIMIT = 0.10

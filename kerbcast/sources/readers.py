@@ -10,7 +10,8 @@ from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from kerbcast.operators.cleaning import clean_trips, within_month
-from kerbcast.schemas import HOUR_TS, PICKUP, WEATHER
+from kerbcast.schemas import HOUR_TS, PICKUP, TRIP_COLUMNS, TRIP_EXTRAS, WEATHER
+from kerbcast.sources.file_schemas import read_united
 
 # The year and month in the name of a trip file, or of the folder a Spark job wrote for that month.
 FILE_MONTH = r"tripdata[_=](\d{4})-(\d{2})"
@@ -47,16 +48,18 @@ def read_trips(
 ) -> DataFrame:
     """All trip files below ``path``, at any depth, with ``file_year`` and ``file_month``.
 
-    Files are chosen by their listed names, so others are never opened. Raises if nothing matches.
-    Unreadable files fail the job unless ``skip_corrupt`` is set; then a ``schema`` should be given too, as it
-    cannot always be taken from the files.
+    Files are chosen by their listed names, so others are never opened. Raises if nothing matches. Files may differ
+    in types, spelling and columns; see ``file_schemas.read_united``. A file without a required column raises and is
+    named. Unreadable files fail the job unless ``skip_corrupt`` is set. With a ``schema``, all files are read by it.
     """
     files = trip_paths(spark, path, year, month)
     if not files:
         raise ValueError(f"{path} holds no trip file of year {year or 'any'} and month {month or 'any'}")
+    months = {"file_year": file_month(1), "file_month": file_month(2)}
+    if schema is None:
+        return read_united(spark, files, TRIP_COLUMNS, TRIP_EXTRAS, skip_corrupt, months)
     reader = spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", skip_corrupt)
-    trips = (reader.schema(schema) if schema else reader).parquet(*files)
-    return trips.withColumns({"file_year": file_month(1), "file_month": file_month(2)})
+    return reader.schema(schema).parquet(*files).withColumns(months)
 
 
 def load_clean_trips(
