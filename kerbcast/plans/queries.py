@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbcast.functions.city_events import event_calendar
-from kerbcast.models import anomaly, classifier, clustering, importance, regression, sequence
+from kerbcast.models import anomaly, classifier, clustering, contributions, importance, regression, sequence
 from kerbcast.operators import (
     abtest, baselines, cleaning, demand, distribution, drift, intervals, lags, profiles, residuals,
     splits, training_rows, validation,
@@ -880,6 +880,14 @@ def linear_contributions(t: Tables) -> DataFrame:
     return importance.linear_contributions(model, test, FULL_FEATURES, train, CELL)
 
 
+@query
+def tree_contributions(t: Tables) -> DataFrame:
+    """Mean absolute contribution of each feature of the fitted trees over the test rows."""
+    train, test = _model_split(t)
+    model = regression.fit(train, FULL_FEATURES, regressor=regression.boosted())
+    return importance.mean_contributions(contributions.tree_contributions(model, test), FULL_FEATURES)
+
+
 @query
 def log_target_compare(t: Tables) -> DataFrame:
     train, test = _model_split(t)
