@@ -68,7 +68,8 @@ def half_keys(shingles: np.ndarray, sizes: np.ndarray, side: int, half_key: int)
 
 
 def signed(docs: DataFrame, words: int, side: int, half_key: int) -> DataFrame:
-    """``doc_id``, ``n_shingles``, two numbers that name the set, and the half keys of every text."""
+    """``doc_id``, ``n_shingles``, two numbers that name the set, the half keys of every text, and ``anonym``, the
+    digest that stands for a row without ``doc_id``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized(batches):
@@ -85,10 +86,16 @@ def signed(docs: DataFrame, words: int, side: int, half_key: int) -> DataFrame:
                     keys[i] = k
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes.astype(np.int64)), *[pa.array(n.view(np.int64)) for n in names],
-                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "name1", "name2", "half_keys"])
+                 pa.array(keys, pa.list_(pa.int64())), batch.column("anonym")],
+                ["doc_id", "n_shingles", "name1", "name2", "half_keys", "anonym"])
 
-    return texts_of(docs).mapInArrow(
-        run, "doc_id long, n_shingles long, name1 long, name2 long, half_keys array<long>")
+    return texts_of(docs).withColumn("anonym", anonym(F.col("doc_id"), F.col("text"))).mapInArrow(
+        run, "doc_id long, n_shingles long, name1 long, name2 long, half_keys array<long>, anonym string")
+
+
+def anonym(doc_id: F.Column, text: F.Column) -> F.Column:
+    """What stands for a row without id: the digest of its text; null for all others."""
+    return F.when(doc_id.isNull(), F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -177,6 +184,13 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hal
     the group of rows with the same set, and is a group of its own (null) if no such row has an id. An empty
     table gives an empty result.
     """
+    return _grouped(docs, words, percent, half_key, missed).select(
+        "doc_id", "n_shingles", F.col("group").alias("component_id"),
+        F.col("doc_id").eqNullSafe(F.col("group")).alias("kept"))
+
+
+def _grouped(docs: DataFrame, words: int, percent: int, half_key: int = HALF_KEY, missed: float = MISSED) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``name1``, ``name2``, ``anonym`` and ``group`` of every row."""
     side = sides(percent, half_key, missed)
     rows = stored(signed(docs, words, side, half_key), "signatures")
     name = ["name1", "name2"]
@@ -213,18 +227,33 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hal
         found = components(links.union(more))
 
     grouped = classes.join(found, "node", "left").select(*name, F.coalesce("component", "node").alias("group"))
-    plain = rows.select("doc_id", "n_shingles", *name)
-    full = plain.where("n_shingles > 0").join(grouped, name).unionByName(
+    plain = rows.select("doc_id", "n_shingles", *name, "anonym")
+    return plain.where("n_shingles > 0").join(grouped, name).unionByName(
         plain.where("n_shingles = 0").withColumn("group", F.col("doc_id")))
-    return full.select("doc_id", "n_shingles", F.col("group").alias("component_id"),
-                       F.col("doc_id").eqNullSafe(F.col("group")).alias("kept"))
 
 
 def without_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with all its columns and one document of each group, the one with the smallest ``doc_id``. Rows
-    without a ``doc_id`` stay if no row with the same set has one."""
-    groups = near_groups(docs, words, percent)
-    dropped = groups.where(~F.col("kept")).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("mark")).distinct()
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("mark"),
-                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("entry"))
-    return rows.join(dropped, "mark", "left_anti").select("entry.*")
+    """``docs`` with all its columns and one document of each group, the one with the smallest ``doc_id``.
+
+    A row without ``doc_id`` goes if a row with the same set has one; of rows without ``doc_id`` whose sets are equal
+    one stays, and those without a shingle all stay.
+    """
+    groups = _grouped(docs, words, percent)
+    dropped = groups.where("doc_id IS NOT NULL AND doc_id <> group").select("doc_id").distinct()
+    named = docs.where(F.col("doc_id").isNotNull())
+    rows = named.select(F.col("doc_id").cast("long").alias("doc_id"), _entry(docs))
+    kept = rows.join(dropped, "doc_id", "left_anti").select("entry.*")
+    nameless = groups.where("anonym IS NOT NULL")
+    if not nameless.limit(1).count():
+        return kept
+    alone = nameless.where("n_shingles > 0 AND group IS NULL").groupBy("name1", "name2").agg(F.min("anonym").alias("mark"))
+    mark = anonym(F.col("doc_id"), F.col("text"))
+    others = docs.where(F.col("doc_id").isNull()).select(mark.alias("mark"), _entry(docs))
+    once = others.join(alone.select("mark"), "mark", "left_semi").dropDuplicates(["mark"])
+    empty = nameless.where("n_shingles = 0").select(F.col("anonym").alias("mark")).distinct()
+    return kept.unionByName(once.select("entry.*")).unionByName(
+        others.join(empty, "mark", "left_semi").select("entry.*"))
+
+
+def _entry(docs: DataFrame) -> F.Column:
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("entry")

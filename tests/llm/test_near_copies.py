@@ -99,3 +99,11 @@ def test_half_keys_meet_the_limit():
     for percent in (80, 85, 95):
         s, share = sides(percent), (percent / 100) ** 3
         assert (1 - share) ** s <= 5e-4 < (1 - share) ** (s - 1)
+
+
+def test_rows_without_ids(documents):
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "uno dos tres cuatro cinco seis")
+    rows = [(4, a), (None, a), (None, b), (5, c), (None, b), (None, b.upper()), (None, None), (None, ""), (6, c)]
+    out = without_near_copies(documents(rows))
+    got = sorted((r.doc_id or 0, (r.text or "").lower()) for r in out.collect())
+    assert got == sorted([(4, a), (0, b), (5, c), (0, ""), (0, "")])
