@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from kerbcast.llm.common import slices
 
 GOOD, BAD, OPEN = 1, -1, 0
+LIKELY, SURE = 1, 2
+#: A likely mark on an element that holds more than this share of a page's text means nothing.
+WRAPPER = 0.5
 #: Code points; a block below the first is short, one above the second needs less evidence.
 SHORT, LONG = 70, 200
 LINKS_MOST = 0.33
@@ -36,7 +39,8 @@ el los las y del se con para una su lo como más o pero sus le ya al este sí po
 #: Elements whose content is never text of the article.
 SILENT = frozenset("script style noscript template svg math iframe object canvas audio video select textarea title head option".split())
 RAW = frozenset("script style textarea title".split())
-OUTER = frozenset("nav footer aside form menu dialog button fieldset label".split())
+OUTER = frozenset("nav footer aside menu dialog button label".split())
+FORMS = frozenset("form fieldset".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr
@@ -53,7 +57,8 @@ gdpr notice notices alert popup modal newsletter subscribe signup comment commen
 navigation nav navbar menu breadcrumb breadcrumbs footer masthead topbar share sharing social related recommended
 pagination pager widget copyright legal disclaimer search login toolbar skip teaser outbrain taboola complementary
 contentinfo""".split())
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+INVISIBLE = re.compile(r"display\s*:\s*none", re.I)
 NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: The rest of a tag, in one scan: quotes count behind an equals sign.
 TAG_REST = re.compile(r"(?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+>")
@@ -72,27 +77,41 @@ class Block:
     heading: bool
 
 
-def marked(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether class, id or role has a word that marks boilerplate, or the element is hidden. Names such as
-    ``has-sidebar`` describe a page's layout, page and body are never boilerplate, and an article element that
-    lies in no other is so only if a whole name says that it is a comment, a teaser or an advert."""
+def hidden(attributes: str) -> bool:
+    """Whether an element is not shown, by its own attributes; the word in a class or another value means nothing."""
+    for name, *values in ATTRIBUTE.findall(attributes):
+        value, name = "".join(values).strip().lower(), name.lower()
+        if (name == "hidden" and not value.startswith("until") or name == "aria-hidden" and value == "true"
+                or name == "style" and INVISIBLE.search(value)):
+            return True
+    return False
+
+
+def marked(name: str, attributes: str, in_article: bool) -> int:
+    """How surely class, id or role mark boilerplate: SURE if a whole name does or the element is hidden, LIKELY if the
+    first or last part of a name does, else 0. Names such as ``has-sidebar`` describe a page's layout, page and body
+    are never boilerplate, and an article element that lies in no other is so only if a whole name says that it is a
+    comment, a teaser or an advert."""
     if not attributes or attributes.isspace():
-        return False
-    if HIDDEN.search(attributes):
-        return True
+        return 0
+    lower = attributes.lower()
+    if ("hidden" in lower or "none" in lower) and hidden(attributes):
+        return SURE
     if name in PAGE:
-        return False
-    whole = name == "article" and not in_article
-    for found in NAMED.finditer(attributes):
-        for token in (found[1] or found[2] or found[3] or "").split():
+        return 0
+    whole, found = name == "article" and not in_article, 0
+    for names in NAMED.finditer(attributes):
+        for token in (names[1] or names[2] or names[3] or "").split():
             if whole:
                 if token.lower() in CARDS:
-                    return True
+                    return SURE
                 continue
+            if token.lower() in MARKS:
+                return SURE
             words = re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
-            if words[0] not in LAYOUT and not MARKS.isdisjoint(words):
-                return True
-    return False
+            if words[0] not in LAYOUT and (words[0] in MARKS or words[-1] in MARKS):
+                found = LIKELY
+    return found
 
 
 def tag_end(page: str, at: int) -> tuple[int, bool]:
@@ -104,12 +123,19 @@ def tag_end(page: str, at: int) -> tuple[int, bool]:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """Blocks with text in page order. Unclosed, crossing and unknown tags are tolerated."""
+    """Blocks with text in page order. Unclosed, crossing and unknown tags are tolerated.
+
+    Elements that are boilerplate only by a likely mark, forms among them, are wrappers if they hold most of the text
+    outside sure marks; the others make what is in them boilerplate.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, whether outside the article, whether silent
+    stack: list[tuple[str, bool, bool, int]] = []  # name, whether surely outside the article, silent, likely mark
     parts: list[tuple[str, bool]] = []
     links = silent = inner = outer = 0
     heading, whole_tags = False, True
+    likely: list[int] = []  # open elements with a likely mark
+    held: list[int] = []  # text of every such element
+    within: list[tuple[int, ...]] = []  # those around each block
 
     def flush() -> None:
         if parts:
@@ -117,11 +143,16 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 linked = len(" ".join(html.unescape(" ".join(p for p, link in parts if link)).split()))
                 out.append(Block(text, linked, BAD if outer else GOOD if inner else OPEN, heading))
+                within.append(() if outer else tuple(likely))
+                for mark in within[-1]:
+                    held[mark] += len(text)
             parts.clear()
 
     def pop() -> str:
         nonlocal links, silent, inner, outer
-        name, out_, quiet = stack.pop()
+        name, out_, quiet, mark = stack.pop()
+        if mark >= 0:
+            likely.remove(mark)
         links -= name == "a"
         silent -= quiet
         outer -= out_
@@ -193,9 +224,13 @@ def blocks_of(page: str) -> list[Block]:
                 while len(stack) > deep:
                     open_names[pop()] -= 1
         in_article = inner > 0
-        away = name in OUTER or (name == "header" and not in_article) or marked(name, attributes, in_article)
-        quiet = name in SILENT
-        stack.append((name, away, quiet))
+        sure = SURE if name in OUTER or (name == "header" and not in_article) else marked(name, attributes, in_article)
+        away, quiet, mark = sure == SURE, name in SILENT, -1
+        if not away and (sure or name in FORMS):
+            mark = len(held)
+            held.append(0)
+            likely.append(mark)
+        stack.append((name, away, quiet, mark))
         open_names[name] = open_names.get(name, 0) + 1
         links += name == "a"
         silent += quiet
@@ -209,6 +244,10 @@ def blocks_of(page: str) -> list[Block]:
             close = re.compile(f"</{name}", re.I).search(page, at)
             at = close.start() if close else n
     flush()
+    whole = sum(len(b.text) for b in out if b.place != BAD)
+    for block, marks in zip(out, within):
+        if any(held[m] <= WRAPPER * whole for m in marks):
+            block.place = BAD
     return out
 
 

@@ -105,3 +105,34 @@ def test_tables(spark):
     assert {r.page_id: r.text for r in got}[None] == BODY.strip()
     assert {r.page_id: r.n_chars for r in got}[5] == 59_999
     assert main_texts(pages.limit(0)).count() == 0
+
+
+PROSE = ("The harbour was quiet when the boats came in, and the men who had been out all night said that they had seen "
+         "nothing of the storm. It had passed to the north, as it often does in that part of the year, and by noon the "
+         "market was open again. Nobody there would have known that it had been so near, but for the wind.")
+
+
+@pytest.mark.parametrize("before, after", [
+    ('<body class="overflow-hidden">', "</body>"), ('<div class="overflow-hidden">', "</div>"),
+    ('<article data-state="not hidden">', "</article>"), ('<form id="aspnetForm">', "</form>"),
+    ('<div class="search-result">', "</div>"), ('<div class="legal-news">', "</div>"),
+    ('<div class="page-menu">', "</div>"), ('<div hidden="until-found">', "</div>")])
+def test_wrappers_keep_their_text(before, after):
+    page = f"<html><nav><a href=x>Home</a></nav>{before}<p>{PROSE}</p>{after}<footer>Imprint</footer></html>"
+    assert main_text(page) == PROSE
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<div hidden>", "</div>"), ('<div style="color:red; display : none">', "</div>"), ('<div aria-hidden=true>', "</div>"),
+    ('<div class="cookie-box">', "</div>"), ('<div id="page-sidebar">', "</div>"), ('<div class="comments">', "</div>"),
+    ("<form>", "</form>"), ('<div class="newsletter-signup">', "</div>")])
+def test_marked_elements_beside_the_text_go(before, after):
+    note = "You can read more of this if you leave us your address, and we will write to you when there is news."
+    page = f"<html><body><p>{PROSE}</p>{before}<p>{note}</p>{after}</body></html>"
+    assert main_text(page) == PROSE
+
+
+def test_long_comments_are_no_wrapper():
+    note = "I was there as well, and what the paper says of it is not what the men told us on the quay that day. "
+    page = f"<html><body><p>{PROSE}</p><div class='comments'><p>{note * 20}</p></div></body></html>"
+    assert main_text(page) == PROSE
