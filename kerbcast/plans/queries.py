@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from kerbcast.functions.city_events import event_calendar
 from kerbcast.models import anomaly, classifier, clustering, contributions, importance, regression, sequence
 from kerbcast.operators import (
-    abtest, baselines, cleaning, demand, distribution, drift, intervals, lags, profiles, residuals,
+    abtest, baselines, cleaning, demand, distribution, drift, information, intervals, lags, profiles, residuals,
     splits, training_rows, validation,
 )
 from kerbcast.plans import scoring, training
@@ -768,6 +768,11 @@ def mutual_information(t: Tables) -> DataFrame:
     return distribution.mutual_information(t.demand, [*CALENDAR_FEATURES, *WEATHER], COUNT)
 
 
+@query
+def neighbour_information(t: Tables) -> DataFrame:
+    return information.neighbour_information(t.demand, [*CALENDAR_FEATURES, *WEATHER], COUNT, CELL)
+
+
 # --- drift -----------------------------------------------------------------------------------------
 
 @query
