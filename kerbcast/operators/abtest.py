@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbcast.functions.scalars import unit_hash
-from kerbcast.functions.student import critical_95, p_value
+from kerbcast.functions.student import critical_95, needed_rows, p_value
 from kerbcast.schemas import COUNT
 
 
@@ -72,6 +72,18 @@ def power_analysis(
     ).withColumn("powered", F.col("n_actual") >= F.col("n_needed"))
 
 
+def exact_power_analysis(
+    errors: DataFrame, error: str = "abs_error", difference: float = 1.0, alpha: float = 0.05, power: float = 0.8
+) -> DataFrame:
+    """The same by the noncentral t distribution: ``n_exact`` as a fraction, ``n_needed`` rounded up, and
+    whether the rows at hand suffice. Python sees the one row of results only."""
+    base = errors.agg(F.stddev_pop(error).alias("pooled_std"), F.count(error).alias("n_actual")).withColumn(
+        "effect_size", F.try_divide(F.lit(float(difference)), F.col("pooled_std")))
+    found = base.withColumn("n_exact", needed_rows("effect_size", F.lit(alpha), F.lit(power)))
+    return found.withColumn("n_needed", F.ceil(F.col("n_exact") - 1e-9).cast("long")).withColumn(
+        "powered", F.col("n_actual") >= F.col("n_needed"))
+
+
 def newest(df: DataFrame, n: int, ts: str, *ties: str) -> DataFrame:
     """The ``n`` newest rows; equal times are ordered by the tie columns."""
     return df.orderBy(F.desc(ts), *ties).limit(n)

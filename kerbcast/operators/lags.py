@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kerbcast.functions.scalars import correlation
 from kerbcast.functions.timeparts import plus_hours
 from kerbcast.schemas import COUNT, HOUR_TS, SEQUENCE_FEATURES, ZONE
 
@@ -51,22 +52,52 @@ def time_lags(
 
 
 def autocorrelation(
-    demand: DataFrame, lags: Sequence[int] = (1, 2, 6, 12, 24, 48, 72, 168), every_zone: bool = False
+    demand: DataFrame, lags: Sequence[int] = (1, 2, 6, 12, 24, 48, 72, 168), every_zone: bool = False, chunk: int = 8192
 ) -> DataFrame:
-    """Pearson r of a zone's counts and its counts some rows earlier; by default for the busiest zone."""
+    """Pearson r of a zone's counts and its counts some rows earlier; by default for the busiest zone.
+
+    Null where either side does not vary. Sums are exact for whole counts.
+    """
     series = demand.select(ZONE, HOUR_TS, F.col(COUNT).cast("double").alias("y"))
     if not every_zone:
         totals = demand.groupBy(ZONE).agg(F.sum(COUNT).alias("total"))
         top = totals.agg(F.max_by(ZONE, F.struct("total", -F.col(ZONE))).alias(ZONE))
         series = series.where(F.col(ZONE) == top.scalar())
-    # Rows are numbered once; a row and its earlier one then meet by (zone, number), which spreads a zone.
-    numbered = series.select(ZONE, "y", F.row_number().over(_in_time()).alias("n"))
-    wanted = numbered.select(ZONE, "y", "n", F.explode(F.array(*[F.lit(n) for n in lags])).alias("lag"))
-    earlier = numbered.select(ZONE, F.col("n").alias("at"), F.col("y").alias("earlier"))
-    pairs = wanted.withColumn("at", F.col("n") - F.col("lag")).join(earlier, [ZONE, "at"], "left")
-    return pairs.groupBy(ZONE, "lag").agg(
-        correlation(F.col("y"), F.col("earlier")).alias("r")
-    )
+    # Rows are numbered once and cut into chunks; a chunk also gets the rows its first ones look back to, so that all
+    # lags are summed where a chunk lies and no row is copied per lag. Values are taken from the zone's first one.
+    reach = max(lags, default=0)
+    size = max(chunk, reach, 1)
+    in_time = _in_time()
+    numbered = series.select(
+        ZONE, (F.col("y") - F.first("y", ignorenulls=True).over(in_time.rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing))).alias("y"),
+        (F.row_number().over(in_time) - 1).cast("long").alias("n"))
+    own, last = F.col("n") / size, F.max("n").over(Window.partitionBy(ZONE))
+    following = F.when(F.col("n") % size >= size - reach, F.floor(own) + 1)
+    dealt = numbered.withColumn("last", F.floor(last / size)).withColumn(
+        "chunk", F.explode(F.array_compact(F.array(F.floor(own), following)))).where("chunk <= last")
+
+    def summed(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        zone, part = key
+        start = int(part) * size
+        first = int(group["n"].min())
+        y = np.full(int(group["n"].max()) - first + 1, np.nan)
+        y[group["n"].to_numpy() - first] = group["y"].to_numpy(dtype=float, na_value=np.nan)
+        rows = []
+        for lag in lags:
+            here = np.arange(max(start, first + lag), first + len(y)) - first
+            x, z = y[here], y[here - lag]
+            both = ~(np.isnan(x) | np.isnan(z))
+            x, z = x[both], z[both]
+            rows.append((zone, lag, len(x), x.sum(), z.sum(), x @ x, z @ z, x @ z))
+        return pd.DataFrame(rows, columns=[ZONE, "lag", "m", "sx", "sz", "sxx", "szz", "sxz"])
+
+    kind = demand.schema[ZONE].dataType.simpleString()
+    sums = dealt.groupBy(ZONE, "chunk").applyInPandas(
+        summed, f"{ZONE} {kind}, lag int, m long, sx double, sz double, sxx double, szz double, sxz double")
+    m, sx, sz, sxx, szz, sxz = (F.sum(c) for c in ("m", "sx", "sz", "sxx", "szz", "sxz"))
+    spread = F.sqrt(m * sxx - sx * sx) * F.sqrt(m * szz - sz * sz)
+    return sums.groupBy(ZONE, "lag").agg(F.try_divide(m * sxz - sx * sz, spread).alias("r"))
 
 
 def sequence_windows(

@@ -616,6 +616,11 @@ def ab_power(t: Tables) -> DataFrame:
     return abtest.power_analysis(errors)
 
 
+@query
+def ab_power_exact(t: Tables) -> DataFrame:
+    return abtest.exact_power_analysis(t.scored.withColumns(residuals.error_columns()))
+
+
 @query
 def label_rates(t: Tables) -> DataFrame:
     return training_rows.label_rates(classifier.prepare(t.demand))

@@ -1,5 +1,6 @@
 """Baselines, lags, splits, folds, weights, intervals and dispatch."""
 
+import random
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -168,3 +169,18 @@ def test_bands_lose_no_row(spark):
     assert bands == {residuals.NO_BAND: 2, "very low: to 5": 1, "peak: over 150": 3}
     coarse = residuals.error_by_band(df, edges=residuals.COARSE_BAND_EDGES, labels=residuals.COARSE_BAND_LABELS)
     assert sum(r["n"] for r in coarse.collect()) == 6
+
+
+@pytest.mark.parametrize("chunk", [8192, 30])
+def test_autocorrelation_in_chunks(spark, hourly, chunk):
+    rng = random.Random(7)
+    demand = hourly([1, 2, 3], 200, lambda z, h: 5 if z == 3 else rng.randrange(50) + h % 24)
+    demand = demand.unionByName(hourly([4], 2, lambda z, h: h))
+    wanted = [1, 5, 24, 150]
+    got = {(r.PULocationID, r.lag): r.r for r in lags.autocorrelation(demand, wanted, True, chunk).collect()}
+    for zone, rows in demand.toPandas().groupby("PULocationID"):
+        y = rows.sort_values("pickup_hour_ts").trip_count.astype(float)
+        for lag in wanted:
+            expected = y.corr(y.shift(lag)) if y.nunique() > 1 and len(y) > lag + 1 else None
+            assert got.pop((zone, lag)) == (None if expected is None else pytest.approx(expected))
+    assert not got
