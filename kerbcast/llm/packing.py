@@ -3,7 +3,7 @@
 Documents are tokenised once and cut only where longer than a sequence. Pieces are dealt into blocks of
 bounded size by a hash of their identity; every block is packed on its own: best fit by decreasing length,
 then local search between underfull bins (moves, one-for-one and two-for-one exchanges that raise the sum of
-squared fills), which empties bins. A block ends with at most a few underfull bins among thousands.
+squared fills), which empties bins, until the bound of the block is met or nothing helps any more.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ END_ID = 0
 BLOCK_PIECES = 16_384
 #: Words remembered by one Python worker; emptied when full, which changes no result.
 REMEMBERED = 600_000
-#: Sweeps of local search over the underfull bins of a block.
-SEARCH_SWEEPS = 8
 
 _TOKENIZERS: dict[str, "WordTokens"] = {}
 
@@ -157,67 +155,102 @@ class Bins:
             insort(self.free, (self.capacity - fill, b))
 
 
-def pair_with_sum(lengths: list[tuple[int, int]], low: int, high: int) -> tuple[int, int] | None:
-    """Places of two different entries whose lengths sum to the most within ``low..high``."""
-    i, j, best, found = 0, len(lengths) - 1, low - 1, None
-    while i < j:
-        total = lengths[i][0] + lengths[j][0]
-        if total > high:
-            j -= 1
-        else:
-            if total > best:
-                best, found = total, (i, j)
-            i += 1
+def fewest_bins(length: list[int], capacity: int) -> int:
+    """A lower bound of bins: the sum of lengths, pieces above one half with what fits beside none of them, and
+    pieces weighed in steps of 1/k (of pieces above one third, for example, no bin holds three)."""
+    if not length:
+        return 0
+    x = np.sort(np.array(length, dtype=np.int64))
+    upto = np.r_[0, np.cumsum(x)]
+    large = len(x) - np.searchsorted(x, capacity // 2, side="right")
+    best = max(1, -(-int(upto[-1]) // capacity), large)
+    for least in np.unique(x[x <= capacity // 2]).tolist():
+        # Pieces from ``least`` on, beside which those longer than the rest of a bin take no place for them.
+        low, high = np.searchsorted(x, least), np.searchsorted(x, capacity - least, side="right")
+        best = max(best, len(x) - int(high) + -(-int(upto[high] - upto[low]) // capacity))
+    for k in range(2, 33):
+        # Weights of 1/k, whole numbers here: (k + 1) x / capacity rounded down, exact where it divides.
+        steps, rest = np.divmod((k + 1) * x, capacity)
+        best = max(best, -(-int(np.where(rest == 0, steps * k, steps * (k + 1)).sum()) // (k * (k + 1))))
+    return best
+
+
+def sums_of(items: list[int], length: list[int], capacity: int) -> dict[int, tuple[int, ...]]:
+    """Every sum of one or two different items up to the capacity, and items that give it, one if one does."""
+    by_length: dict[int, list[int]] = {}
+    for i in sorted(items):
+        by_length.setdefault(length[i], []).append(i)
+    found: dict[int, tuple[int, ...]] = {n: (i[0],) for n, i in by_length.items()}
+    kinds = sorted(by_length)
+    for at, small in enumerate(kinds):
+        for other in kinds[at:]:
+            if small + other > capacity:
+                break
+            if small != other:
+                found.setdefault(small + other, (by_length[small][0], by_length[other][0]))
+            elif len(by_length[small]) > 1:
+                found.setdefault(small + other, tuple(by_length[small][:2]))
     return found
 
 
-def improve(bins: Bins, length: list[int], sweeps: int = SEARCH_SWEEPS) -> None:
-    """Local search: the emptiest bin gives to the others what fits, else exchanges with them, as long as the
-    sum of squared fills grows. It stops at the lower bound of bins or when a sweep changes nothing."""
-    least = -(-sum(bins.fill) // bins.capacity)
-    for _ in range(sweeps):
+def improve(bins: Bins, length: list[int]) -> None:
+    """Local search: the emptiest bin gives to the others what fits, then exchanges one or two of its items for
+    a smaller one of a bin at least as full, each time where the sum of squared fills grows most. It ends at
+    ``fewest_bins`` or when no bin finds a move or an exchange. The sum is a whole number and grows with every
+    step, so the search ends without a limit on sweeps."""
+    capacity, fewest = bins.capacity, fewest_bins(length, bins.capacity)
+    used = sum(1 for f in bins.fill if f)
+    size, home = np.array(length, dtype=np.int64), np.zeros(len(length), dtype=np.int64)
+    reach = size.copy()  # an item's length and its bin's room: what may take its place
+
+    def refill(b: int, items: list[int], fill: int) -> None:
+        bins.refill(b, items, fill)
+        reach[items], home[items] = size[items] + (capacity - fill), b
+
+    for b, items in enumerate(bins.items):
+        reach[items], home[items] = size[items] + (capacity - bins.fill[b]), b
+    changed = True
+    while changed:
         changed = False
         for _, source in sorted(bins.free, key=lambda x: (-x[0], x[1])):
-            if sum(1 for f in bins.fill if f) <= least:
+            if used <= fewest:
                 return
-            if not bins.fill[source] or bins.fill[source] == bins.capacity:
+            if not bins.fill[source] or bins.fill[source] == capacity:
                 continue
             for item in sorted(bins.items[source], key=lambda i: -length[i]):
-                # Move: to the fullest bin with room for it, if that one is at least as full as the source.
+                # Move: to the fullest bin with room for it, if that one is then fuller than the source was.
                 at = bisect_left(bins.free, (length[item], -1))
                 while at < len(bins.free) and bins.free[at][1] == source:
                     at += 1
                 if at < len(bins.free) and bins.fill[bins.free[at][1]] + length[item] > bins.fill[source]:
                     target = bins.free[at][1]
-                    bins.refill(target, [*bins.items[target], item], bins.fill[target] + length[item])
-                    bins.refill(source, [i for i in bins.items[source] if i != item],
-                                bins.fill[source] - length[item])
+                    refill(target, [*bins.items[target], item], bins.fill[target] + length[item])
+                    refill(source, [i for i in bins.items[source] if i != item], bins.fill[source] - length[item])
                     changed = True
-            # Exchanges with fuller bins: one larger item of the source, or two, for a smaller one there.
-            for room, target in list(bins.free):
-                if target == source or not bins.fill[source] or bins.fill[target] < bins.fill[source]:
-                    continue
-                if bins.capacity - bins.fill[target] != room or bins.fill[target] == bins.capacity:
-                    continue
-                ours = sorted((length[i], i) for i in bins.items[source])
-                for theirs in sorted(bins.items[target], key=lambda i: length[i]):
-                    low, high = length[theirs] + 1, length[theirs] + room
-                    at = bisect_left(ours, (high + 1, -1)) - 1
-                    single = [at] if at >= 0 and ours[at][0] >= low else None
-                    double = pair_with_sum(ours, low, high)
-                    given = max((x for x in (single, double and list(double)) if x),
-                                key=lambda x: sum(ours[k][0] for k in x), default=None)
-                    if given:
-                        moved = [ours[k][1] for k in given]
-                        gain = sum(length[i] for i in moved) - length[theirs]
-                        bins.refill(target, [i for i in bins.items[target] if i != theirs] + moved,
-                                    bins.fill[target] + gain)
-                        bins.refill(source, [i for i in bins.items[source] if i not in moved] + [theirs],
-                                    bins.fill[source] - gain)
-                        changed = True
-                        break
-        if not changed:
-            return
+            if not bins.fill[source]:
+                used -= 1
+                continue
+            while True:
+                mine = bins.items[source]
+                sums = sums_of(mine, length, capacity)
+                # For every length the largest sum up to it; pieces of full bins and of the source gain nothing.
+                largest = np.zeros(capacity + 1, dtype=np.int64)
+                largest[list(sums)] = list(sums)
+                largest = np.maximum.accumulate(largest)
+                gain = largest.take(reach) - size
+                gain[mine] = 0
+                some = np.flatnonzero(gain > 0)
+                gain = gain[some]
+                ahead = capacity - (reach[some] - size[some]) - bins.fill[source]
+                growth = np.where(ahead >= 0, gain * (ahead + gain), 0)
+                best = int(np.argmax(growth)) if len(some) else 0
+                if not len(some) or growth[best] <= 0:
+                    break
+                theirs, more = int(some[best]), int(gain[best])
+                target, moved = int(home[theirs]), sums[length[theirs] + more]
+                refill(target, [i for i in bins.items[target] if i != theirs] + list(moved), bins.fill[target] + more)
+                refill(source, [i for i in mine if i not in moved] + [theirs], bins.fill[source] - more)
+                changed = True
 
 
 def packed_block(length: list[int], capacity: int) -> tuple[list[int], list[int]]:

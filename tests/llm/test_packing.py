@@ -1,5 +1,7 @@
+import itertools
 import random
 import struct
+import time
 import zlib
 from collections import defaultdict
 
@@ -7,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from kerbcast.llm.packing import Bins, WordTokens, improve, packed, packed_block
+from kerbcast.llm.packing import Bins, WordTokens, fewest_bins, improve, packed, packed_block
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -79,6 +81,60 @@ def test_local_search_empties_a_bin():
     assert [sum(length[i] for i in b) for b in bins.items] == bins.fill
 
 
+def fewest_by_trial(length, capacity):
+    """The fewest bins of a few pieces: each piece in turn goes to every bin that has room."""
+    best = len(length)
+
+    def place(at, fill):
+        nonlocal best
+        if len(fill) >= best:
+            return
+        if at == len(length):
+            best = len(fill)
+            return
+        for b in range(len(fill)):
+            if fill[b] + length[at] <= capacity:
+                place(at + 1, [*fill[:b], fill[b] + length[at], *fill[b + 1:]])
+        place(at + 1, [*fill, length[at]])
+
+    place(0, [])
+    return best
+
+
+def test_bound_of_bins():
+    rng = random.Random(2)
+    for _ in range(300):
+        length = [rng.randrange(rng.choice([1, 6, 10]), 21) for _ in range(rng.randrange(1, 9))]
+        assert fewest_bins(length, 20) <= fewest_by_trial(length, 20) <= max(packed_block(length, 20)[0]) + 1
+    assert fewest_bins([], 20) == 0 and fewest_bins([11] * 5, 20) == 5 and fewest_bins([7] * 6, 20) == 3
+
+
+def test_search_leaves_no_exchange():
+    rng = random.Random(4)
+    for _ in range(60):
+        length = [rng.randrange(5, 16) for _ in range(40)]
+        number, _ = packed_block(length, 40)
+        bins = [[i for i, n in enumerate(number) if n == b] for b in range(max(number) + 1)]
+        fill = [sum(length[i] for i in b) for b in bins]
+        if len(bins) == fewest_bins(length, 40):
+            continue
+        for s, t in itertools.permutations(range(len(bins)), 2):
+            if fill[s] > fill[t] or fill[s] == 40 or fill[t] == 40:
+                continue
+            given = [sum(x) for k in (1, 2) for x in itertools.combinations([length[i] for i in bins[s]], k)]
+            assert not any(0 < g - length[i] <= 40 - fill[t] for g in given for i in bins[t])
+
+
+def test_a_full_block_in_seconds():
+    rng = random.Random(6)
+    for low, high in ((700, 1100), (1, 2047), (400, 550)):
+        length = [rng.randrange(low, high) for _ in range(16_384)]
+        start = time.process_time()
+        number, _ = packed_block(length, 2048)
+        assert time.process_time() - start < 20
+        assert max(number) + 1 <= 1.06 * fewest_bins(length, 2048)
+
+
 def test_large_ids_beside_null_ids(documents):
     ids = [2**62 + 1, None, 2**53 + 1, -(2**62) - 1]
     got = packed(documents([(d, "some words") for d in ids]), PATH).collect()
