@@ -9,10 +9,10 @@ fitted on scores of the other fold's model.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +41,8 @@ def statistics(text: str) -> list[float]:
     words = data.split()
     low = [w.lower() for w in words]
     lines = [x for x in data.split(b"\n") if x]
-    kinds = len(set(low))
-    total = max(1, len(words))
-    top = pd.Series(low).value_counts() if low else pd.Series([0])
+    often = Counter(low)
+    kinds, total = len(often), max(1, len(words))
     lengths = np.array([len(w) for w in words] or [0])
     upper, lower = counts[65:91].sum(), counts[97:123].sum()
     shouted = sum(w.isupper() for w in words)
@@ -53,10 +52,10 @@ def statistics(text: str) -> list[float]:
         np.log1p(n), np.log1p(len(words)), np.log1p(len(lines)), lengths.mean(), lengths.std(),
         counts[48:58].sum() / n, upper / n, upper / max(1, upper + lower), counts[128:].sum() / n,
         counts[SYMBOLS].sum() / n, counts[124] / total, counts[33] / total, ends / total, counts[44] / total,
-        sum(w.strip(b".,;:!?$%&*#") in STOPS for w in low) / total, kinds / total, float(top.iloc[0]) / total,
+        sum(w.strip(b".,;:!?$%&*#") in STOPS for w in low) / total, kinds / total, max(often.values(), default=0) / total,
         1 - len(set(lines)) / max(1, len(lines)), max(map(len, lines), default=0) / n, shouted / total,
         np.isin(tail, SYMBOLS).mean(), (lengths <= 2).mean(), (lengths >= 12).mean(),
-        float((top > 1).sum()) / max(1, kinds),
+        sum(n > 1 for n in often.values()) / max(1, kinds),
     ]
 
 
@@ -175,7 +174,7 @@ def fitted(described_docs: DataFrame, labels: DataFrame, training: Column):
     position, value = isotonic((table["cell"].to_numpy() + 0.5) / CELLS * 2 - 0.5, table["n"].to_numpy(), table["y"].to_numpy())
 
     def score(x: np.ndarray) -> np.ndarray:
-        # Half the calibrated value, half the clipped raw one within a step: keeps order inside a step.
+        # The calibrated value and a fiftieth of the clipped raw one, which keeps order inside a step.
         raw = expand(x) @ weights
         return np.clip(0.98 * np.interp(raw, position, value) + 0.02 * np.clip(raw, 0, 1), 0, 1)
 
