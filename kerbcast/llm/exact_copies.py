@@ -61,9 +61,16 @@ def copy_groups(docs: DataFrame, heavy_share: float = HEAVY_SHARE) -> DataFrame:
 def without_copies(docs: DataFrame, heavy_share: float = HEAVY_SHARE) -> DataFrame:
     """``docs`` with all its columns and only the rows that ``copy_groups`` keeps. Of rows that repeat both
     ``doc_id`` and text one stays, whichever it is in their other columns."""
-    kept = copy_groups(docs, heavy_share).where("kept")
-    mark = F.concat_ws(":", F.col("text_sha256"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    here = F.concat_ws(":", digest(F.col("text")), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    rows = docs.select(here.alias("mark"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("entry"))
-    return (rows.join(kept.select(mark.alias("mark")), "mark", "left_semi")
-            .dropDuplicates(["mark"]).select("entry.*"))
+    def named(sha: Column) -> Column:
+        return F.concat_ws(":", sha, F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("null"))).alias("mark")
+
+    # Only rows of groups with copies can go or repeat; the texts of all others are not moved for them.
+    marks = copy_groups(docs, heavy_share).where("group_size > 1").select(named(F.col("text_sha256")), "kept")
+    copies = stored(marks.groupBy("mark").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows"))
+                    .where("NOT stays OR rows > 1").select("mark", "stays"), "copies")
+    rows = docs.select(named(digest(F.col("text"))), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("entry"))
+    found = rows.join(copies, "mark", "left")
+    alone = found.where("stays IS NULL").select("entry.*")
+    if copies.where("stays").isEmpty():
+        return alone
+    return alone.unionByName(found.where("stays").dropDuplicates(["mark"]).select("entry.*"))

@@ -37,6 +37,13 @@ def test_rows_that_stay(documents, odd):
     assert len(got) == len({low(t) for _, t in rows}) == len({low(t) for _, t in got})
 
 
+def test_repeated_rows_stay_once(documents):
+    rows = [(7, "same"), (7, "SAME"), (None, "alone"), (None, "alone"), (8, "other"), (3, "same"), (9, None), (9, "")]
+    for share in (1 / 4096, 0.5):
+        got = [(r.doc_id, low(r.text)) for r in without_copies(documents(rows), share).collect()]
+        assert sorted(got, key=str) == sorted([(7, "same"), (None, "alone"), (8, "other"), (9, "")], key=str)
+
+
 def test_empty_table(documents):
     empty = documents([(1, "x")]).limit(0)
     assert copy_groups(empty).count() == 0 and without_copies(empty).count() == 0
