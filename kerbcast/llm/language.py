@@ -92,6 +92,29 @@ def summed(weights: np.ndarray, slot: np.ndarray, count: np.ndarray) -> np.ndarr
     return out
 
 
+def chain_expectations(emission: np.ndarray, start: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward over chains of one length, ``emission`` [chains, words, labels]: the probabilities of the
+    labels of every word, and the expected number of each change of labels over all chains, from the messages."""
+    e = np.exp(emission - emission.max(axis=2, keepdims=True))
+    pi, a = np.exp(start - start.max()), np.exp(step - step.max())
+    length = e.shape[1]
+    alpha, beta = np.empty_like(e), np.ones_like(e)
+    alpha[:, 0] = pi * e[:, 0]
+    for t in range(length):
+        if t:
+            alpha[:, t] = (alpha[:, t - 1] @ a) * e[:, t]
+        alpha[:, t] /= alpha[:, t].sum(axis=1, keepdims=True)
+    for t in range(length - 2, -1, -1):
+        beta[:, t] = (e[:, t + 1] * beta[:, t + 1]) @ a.T
+        beta[:, t] /= beta[:, t].max(axis=1, keepdims=True)
+    marginal = alpha * beta
+    marginal /= marginal.sum(axis=2, keepdims=True)
+    # A pair's probability: what leads to its first label, the change, its second word, what follows.
+    right = (e * beta)[:, 1:]
+    total = ((alpha[:, :-1] @ a) * right).sum(axis=2, keepdims=True)
+    return marginal, np.einsum("cti,ctj->ij", alpha[:, :-1] / total, right) * a
+
+
 def label_marginals(emission: np.ndarray, first: np.ndarray, start: np.ndarray, step: np.ndarray) -> np.ndarray:
     """Forward-backward over a stream of chains: ``emission`` [words, labels] are scores, ``first`` marks the
     first word of each chain, ``start`` and ``step`` are scores of the first label and of label changes.
@@ -218,22 +241,15 @@ class Field:
                 pick = np.repeat(begin[kinds] - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(width.sum())
                 slots = slot[pick]
                 emission = summed(self.weights, slots, width)[local]
-                first = np.zeros(len(at), dtype=bool)
-                first[::size] = True
-                marginal = label_marginals(emission, first, self.start, self.step)
+                marginal, expected = chain_expectations(emission.reshape(len(some), size, k), self.start, self.step)
+                first = marginal[:, 0]
+                marginal = marginal.reshape(len(at), k)
                 error = -marginal
                 error[np.arange(len(at)), truth[at]] += 1
-                # Pairs: the expected ones from the messages' product, the observed ones from the labels.
-                left, right = marginal.reshape(len(some), size, k)[:, :-1], np.exp(emission - emission.max(axis=1, keepdims=True)).reshape(len(some), size, k)[:, 1:]
-                toward = np.maximum(marginal.reshape(len(some), size, k)[:, 1:], 1e-12)
-                joint = left[..., None] * np.exp(self.step - self.step.max()) * right[:, :, None, :]
-                for _ in range(3):  # fitted to both words' probabilities, which fixes the pair's
-                    joint *= (toward / np.maximum(joint.sum(axis=2), 1e-300))[:, :, None, :]
-                    joint *= (np.maximum(left, 1e-12) / np.maximum(joint.sum(axis=3), 1e-300))[..., None]
                 t = truth[at].reshape(len(some), size)
                 observed = np.bincount((t[:, :-1] * k + t[:, 1:]).ravel(), minlength=k * k).reshape(k, k)
-                step_gradient = (observed - joint.sum(axis=(0, 1))) / max(1, len(at))
-                start_gradient = (np.bincount(t[:, 0], minlength=k) - marginal.reshape(len(some), size, k)[:, 0].sum(axis=0)) / len(some)
+                step_gradient = (observed - expected) / max(1, len(at))
+                start_gradient = (np.bincount(t[:, 0], minlength=k) - first.sum(axis=0)) / len(some)
                 per_kind = np.stack([np.bincount(local, weights=error[:, j], minlength=len(kinds)) for j in range(k)], axis=1)
                 spread = np.repeat(per_kind / np.sqrt(np.maximum(width, 1))[:, None], width, axis=0)
                 gradient = np.stack([np.bincount(slots, weights=spread[:, j], minlength=SLOTS) for j in range(k)], axis=1) / len(some)

@@ -4,7 +4,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from kerbcast.llm.language import Field, fitted, in_language, label_marginals, languages
+from kerbcast.llm.language import Field, chain_expectations, fitted, in_language, label_marginals, languages
 
 SYLLABLES = {"aa": ["tion", "the", "er", "ing"], "bb": ["eau", "oui", "que", "ç"], "cc": ["ung", "sch", "ß", "ver"]}
 
@@ -32,6 +32,27 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(label_marginals(emission, first, start, step), np.concatenate(want))
 
 
+def test_expected_changes_equal_enumeration():
+    rng = np.random.default_rng(8)
+    emission, start, step = 2 * rng.standard_normal((5, 6, 3)), rng.standard_normal(3), 2 * rng.standard_normal((3, 3))
+    changes = np.zeros((3, 3))
+    for chain in emission:
+        total, found = 0.0, np.zeros((3, 3))
+        for labels in itertools.product(range(3), repeat=6):
+            pairs = list(zip(labels, labels[1:]))
+            p = np.exp(start[labels[0]] + sum(chain[i, y] for i, y in enumerate(labels)) + sum(step[a, b] for a, b in pairs))
+            total += p
+            for a, b in pairs:
+                found[a, b] += p
+        changes += found / total
+    marginal, expected = chain_expectations(emission, start, step)
+    assert np.allclose(expected, changes)
+    first = np.tile(np.arange(6) == 0, 5)
+    assert np.allclose(marginal.reshape(30, 3), label_marginals(emission.reshape(30, 3), first, start, step))
+    alone, none = chain_expectations(emission[:, :1], start, step)
+    assert np.allclose(alone.sum(axis=2), 1) and not none.any()
+
+
 def test_long_chains_cross_columns():
     rng = np.random.default_rng(4)
     emission, start, step = rng.standard_normal((1000, 2)), np.zeros(2), np.array([[2.0, 0], [0, 2]])
