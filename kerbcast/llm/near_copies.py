@@ -26,6 +26,8 @@ from kerbcast.llm.links import components
 WORDS, PERCENT = 5, 80
 #: MinHashes of a half key, and the share of pairs at the limit that one side of half keys may miss.
 HALF_KEY, MISSED = 3, 5e-4
+#: Bands of set sizes within the ratio that two similar sets can have.
+SIZE_BANDS = 4
 SEED = 23
 
 
@@ -158,18 +160,40 @@ def prefixes(members: DataFrame, texts: DataFrame, words: int, percent: int) ->
 
 def rest_pairs(prefix: DataFrame, percent: int) -> DataFrame:
     """Pairs of members in different components that can still be similar enough: they share a shingle of both
-    prefixes, and neither their sizes nor what follows that shingle's places rules them out."""
+    prefixes, and neither their sizes nor what follows that shingle's places rules them out.
+
+    The smaller set of such a pair has the shingle so early that what follows could be all the pair needs of two
+    sets of that size; other rows can only be the larger one. That, and bands of sizes in the join's key, keep a
+    crowd that shares a late shingle from being paired at all.
+    """
     main = prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("shingle").agg(
         F.max(F.struct("m", "component")).alias("best"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    # Written, so that the join that follows has two plain sides, whose large keys Spark can split.
-    aside = stored(prefix.join(main.select("shingle", F.col("best.component").alias("main")), "shingle").where(
-        F.col("component") != F.col("main")).select(
-            "shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "place")]), "aside")
-    most = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n") - F.col("place"))
-    return (aside.join(prefix, "shingle")
-            .where((F.col("component_a") != F.col("component")) & possible(F.col("n_a"), F.col("n"), percent)
-                   & (most * (100 + percent) >= percent * (F.col("n_a") + F.col("n"))))
-            .select(F.least("node", "node_a").alias("a"), F.greatest("node", "node_a").alias("b")).distinct())
+    width = max(log(100 / percent), 0.01) / SIZE_BANDS
+
+    def band(n: F.Column) -> F.Column:
+        return F.floor(F.ln(n.cast("double")) / F.lit(width))
+
+    follow = F.col("n") - F.col("place") + 1
+    # Written, so that the joins that follow have plain sides, whose large keys Spark can split.
+    rows = stored(prefix.join(main.select("shingle", F.col("best.component").alias("main")), "shingle").select(
+        "shingle", "node", "component", "n", "place", (F.col("component") != F.col("main")).alias("aside"),
+        band(F.col("n")).alias("band"), (follow * (100 + percent) >= 2 * percent * F.col("n")).alias("early")), "shared_shingles")
+    most = F.least(F.col("n") * 100, follow * (100 + percent) - percent * F.col("n"))
+    smaller = rows.where("early").select(
+        "shingle", "aside", F.explode(F.sequence(F.col("band"), band(F.floor(most / percent) + 1))).alias("band"),
+        *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "place")])
+    larger = rows.drop("aside", "early")
+    shared = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n") - F.col("place"))
+
+    def met(some: DataFrame, others: DataFrame) -> DataFrame:
+        return (some.drop("aside").join(others, ["shingle", "band"])
+                .where((F.struct("n_a", "node_a") < F.struct("n", "node")) & (F.col("component_a") != F.col("component"))
+                       & possible(F.col("n_a"), F.col("n"), percent)
+                       & (shared * (100 + percent) >= percent * (F.col("n_a") + F.col("n"))))
+                .select(F.least("node", "node_a").alias("a"), F.greatest("node", "node_a").alias("b")))
+
+    aside = rows.where("aside").drop("aside", "early")
+    return met(smaller.where("aside"), larger).unionByName(met(smaller.where("NOT aside"), aside)).distinct()
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, half_key: int = HALF_KEY,

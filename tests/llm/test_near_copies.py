@@ -5,7 +5,7 @@ from itertools import combinations
 import pytest
 
 from kerbcast.llm.links import components
-from kerbcast.llm.near_copies import near_groups, sides, without_near_copies
+from kerbcast.llm.near_copies import near_groups, rest_pairs, sides, without_near_copies
 
 
 def shingles(text, n):
@@ -107,3 +107,29 @@ def test_rows_without_ids(documents):
     out = without_near_copies(documents(rows))
     got = sorted((r.doc_id or 0, (r.text or "").lower()) for r in out.collect())
     assert got == sorted([(4, a), (0, b), (5, c), (0, ""), (0, "")])
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_rest_pairs_lose_none(spark, percent):
+    rng = random.Random(percent)
+    rows = []
+    for node in range(250):
+        n, component = rng.randrange(5, 60), rng.randrange(250) if rng.random() < 0.6 else 7
+        for shingle in rng.sample(range(6), 2):
+            rows.append((shingle, node, component, n, rng.randrange(1, max(2, n * (100 - percent) // 100 + 2))))
+    prefix = spark.createDataFrame(rows, "shingle long, node long, component long, n long, place long")
+    got = [(r.a, r.b) for r in rest_pairs(prefix, percent).collect()]
+    want = set()
+    for s, x, c, n, p in rows:
+        for t, y, d, m, q in rows:
+            if s == t and x < y and c != d and 100 * min(n, m) >= percent * max(n, m):
+                if (1 + min(n - p, m - q)) * (100 + percent) >= percent * (n + m):
+                    want.add((x, y))
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_a_crowd_with_one_late_shingle_is_not_paired(spark):
+    # One template: the shingle stands behind 14 others of 100 in each of the sets.
+    rows = [(1, node, node, 95 + node % 11, 15) for node in range(2000)]
+    prefix = spark.createDataFrame(rows, "shingle long, node long, component long, n long, place long")
+    assert rest_pairs(prefix, 85).count() == 0
