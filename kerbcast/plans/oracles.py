@@ -542,6 +542,15 @@ ORACLES: dict[str, str] = {
         f"SELECT '{a}' AS x, '{b}' AS y, {_corr(a, b)} AS r FROM demand" for i, a in enumerate(NUMERIC) for b in NUMERIC[:i]),
     "target_correlations": BASE + " SELECT feature, r, abs(r) AS abs_r FROM (" + " UNION ALL ".join(
         f"SELECT '{c}' AS feature, {_corr(c, 'trip_count')} AS r FROM demand" for c in NUMERIC[1:]) + ")",
+    "profile_merged": BASE + """, own AS (SELECT * FROM clean WHERE trip_id % 50 <> 0),
+      wide AS (""" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {x}::DOUBLE AS x, {known} IS NULL AS missing FROM own" for c, x, known in (
+            ("trip_distance", "trip_distance", "trip_distance"), ("fare_amount", "fare_amount", "fare_amount"),
+            ("trip_duration", "trip_duration", "trip_duration"), ("extra", "extra", "extra"),
+            *((c, "NULL", c) for c in ("PULocationID", "DOLocationID", "trip_id")))) + """)
+      SELECT feature, count(*) FILTER (WHERE NOT missing)::BIGINT AS n, count(*) FILTER (WHERE missing)::BIGINT AS n_null,
+      round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, round(min(x), 6) AS lowest, round(max(x), 6) AS highest
+      FROM wide GROUP BY feature""",
     "profile_trips": BASE + """ SELECT count(*)::BIGINT AS n_rows, min(tpep_pickup_datetime) AS first_ts, max(tpep_pickup_datetime) AS last_ts,
       count(*) FILTER (WHERE surcharge IS NULL)::BIGINT AS null_Airport_fee, count(*) FILTER (WHERE surcharge IS NULL)::BIGINT AS null_extra,
       count(*) FILTER (WHERE fare_amount IS NULL)::BIGINT AS null_fare_amount,
@@ -668,5 +677,6 @@ ORACLES: dict[str, str] = {
         FROM clean) - INTERVAL 2 HOUR AS closed FROM cells""",
     "stream_psi": BASE + _baseline(["fare_amount", "trip_distance"], "clean") + _psi(["fare_amount", "trip_distance"], "trips")
     + " SELECT feature, n, round(psi, 6) AS psi FROM psi",
+    "stream_history_state": BASE + " SELECT PULocationID, pickup_hour_ts, trip_count FROM cells",
     "stream_history": BASE + " SELECT PULocationID, pickup_hour_ts, trip_count FROM cells",
 }

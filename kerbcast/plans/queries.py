@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 from kerbcast.functions.city_events import event_calendar
 from kerbcast.models import anomaly, classifier, clustering, contributions, importance, regression, sequence
 from kerbcast.operators import (
-    abtest, baselines, cleaning, demand, distribution, drift, information, intervals, lags, profiles, residuals,
-    splits, training_rows, validation,
+    abtest, baselines, cleaning, demand, distribution, drift, information, intervals, lags, profile_states, profiles,
+    residuals, splits, training_rows, validation,
 )
 from kerbcast.plans import scoring, training
 from kerbcast.plans.demand_build import build_demand
@@ -512,6 +512,27 @@ def profile_trips(t: Tables) -> DataFrame:
     return distribution.profile(t.trips, PICKUP, [ZONE, "DOLocationID"], ["Airport_fee", "extra", "fare_amount"])
 
 
+@query
+def profile_merged(t: Tables) -> DataFrame:
+    """Moments of all months from the stored states; no trip is read again."""
+    return profile_states.moments(profile_states.read_states(t.spark, t.profile_store))
+
+
+@query
+def profile_sketched(t: Tables) -> DataFrame:
+    """Quartiles and distinct counts of all months from the stored sketches, with their stated error."""
+    return profile_states.sketched(profile_states.read_states(t.spark, t.profile_store))
+
+
+@query
+def profile_drift(t: Tables) -> DataFrame:
+    """PSI of every stored month against the first one, from states alone."""
+    states = profile_states.read_states(t.spark, t.profile_store)
+    month = F.make_date("file_year", "file_month", F.lit(1))
+    first = states.agg(F.min(month)).scalar()
+    return profile_states.state_psi(states.where(month == first), states, *profile_states.MONTH)
+
+
 @query
 def null_counts(t: Tables) -> DataFrame:
     return distribution.null_counts(t.demand)
@@ -1038,6 +1059,16 @@ def stream_history(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out).drop("month")
 
 
+@query
+def stream_history_state(t: Tables) -> DataFrame:
+    """Insert if absent by keyed state; the target is read only for what the state has forgotten."""
+    out, state = fresh_path(t.spark, "stream-cells"), fresh_path(t.spark, "stream-state")
+    cells = hourly.parquet_stream(t.spark, t.demand_files, t.demand.schema).select(*CELL, COUNT)
+    hourly.run_by_month(hourly.first_cells(cells), out, state)
+    hourly.insert_forgotten(t.demand.select(*CELL, COUNT), out)
+    return hourly.stored_cells(t.spark, out)
+
+
 @query
 def stream_psi(t: Tables) -> DataFrame:
     out, state = fresh_path(t.spark, "stream-psi"), fresh_path(t.spark, "stream-state")

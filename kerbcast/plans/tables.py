@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kerbcast.functions.timeparts import epoch_hours, epoch_micros
 from kerbcast.models.regression import ablation, boosted
-from kerbcast.operators import baselines
+from kerbcast.operators import baselines, profile_states
 from kerbcast.operators.cleaning import clean_trips
 from kerbcast.operators.demand import with_filled_weather
 from kerbcast.operators.drift import feature_baseline
@@ -28,6 +28,9 @@ from kerbcast.sources import readers, star_tables, writers
 
 DRIFT_FEATURES = ["pickup_hour", "pickup_dow", "temperature_2m", "precipitation", "trip_count", "lag_24h"]
 
+PROFILED = ["trip_distance", "fare_amount", "trip_duration", "extra"]
+IDENTITIES = ["PULocationID", "DOLocationID", "trip_id"]
+
 _OPEN: dict[tuple[str, str], "Tables"] = {}
 
 
@@ -78,6 +81,16 @@ class Tables:
         writers.write_trip_months(wide.drop("DOLocationID", "extra"), f"{path}/odd", "label")
         return path
 
+    @cached_property
+    def profile_store(self) -> str:
+        """Profile states by month: those of the months before the newest one in one pass, then its own from its own files."""
+        path, (year, month) = fresh_path(self.spark, "profile-states"), self.newest_month
+        earlier = F.make_date("file_year", "file_month", F.lit(1)) < F.make_date(F.lit(year), F.lit(month), F.lit(1))
+        for trips in (readers.load_clean_trips(self.spark, self.trip_files).where(earlier),
+                      readers.load_clean_trips(self.spark, self.trip_files, year, month)):
+            profile_states.store_states(profile_states.month_states(trips, PROFILED, IDENTITIES), path)
+        return path
+
     @cached_property
     def newest_month(self) -> tuple[int, int]:
         """Year and month of the newest pickup."""
