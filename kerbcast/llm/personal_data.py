@@ -2,7 +2,7 @@
 
 Four base kinds follow fixed rules and are always reported: email, ip, card, phone. The method adds spans of
 further kinds whose score reaches the threshold: bank account numbers (only those that meet mod-97), social
-security numbers and local telephone numbers. Every pattern works on the whole text in time proportional to its length.
+security numbers (only those that can have been given out), local telephone numbers and keys of fixed form. Every pattern works on the whole text in time proportional to its length.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from kerbcast.llm.common import slices, texts_of
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("iban", "ssn", "local_phone")
+ADDED_KINDS = ("iban", "ssn", "local_phone", "secret")
 KINDS = BASE_KINDS + ADDED_KINDS
 THRESHOLD = 0.75
 #: Code points before and after a span that are searched for context words.
@@ -29,8 +29,13 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-LOCAL_PHONE = re.compile(r"(?<![0-9+.-])(?:\([0-9]{2,5}\) ?|0[0-9]{1,4}[ /-])[0-9]{3,4}[ -]?[0-9]{3,5}(?![0-9.-])")
+# No area 000, 666 or 900 and above, no group 00, no serial 0000.
+SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+LOCAL_PHONE = re.compile(r"(?<![0-9+.-])(?:(?:\([0-9]{2,5}\) ?|0[0-9]{1,4}[ /-])[0-9]{3,4}[ -]?[0-9]{3,5}"
+                         r"|[2-9][0-9]{2}([ .-])[0-9]{3}\1[0-9]{4})(?![0-9.-])")
+# Forms of access keys, tokens and private keys.
+SECRET = re.compile(r"(?<![A-Za-z0-9_])(?:AKIA[A-Z0-9]{16}|gh[opusr]_[A-Za-z0-9]{36})(?![A-Za-z0-9_])"
+                    r"|-----BEGIN (?:[A-Z]{2,9} ){0,2}PRIVATE KEY-----")
 
 #: Context words by kind (English, French, German, Spanish), lower case.
 CONTEXT = {
@@ -41,9 +46,10 @@ CONTEXT = {
     "iban": ("iban", "account", "bank", "compte", "konto", "cuenta", "bic"),
     "ssn": ("ssn", "social", "security", "sécurité", "seguro"),
     "local_phone": ("phone", "tel", "call", "mobile", "fax", "téléphone", "telefon", "teléfono"),
+    "secret": ("key", "token", "secret", "password", "clé", "schlüssel", "clave"),
 }
 #: Score of a proposed span before checksum and context.
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.5, "phone": 0.7, "iban": 0.5, "ssn": 0.5, "local_phone": 0.4}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.5, "phone": 0.7, "iban": 0.5, "ssn": 0.5, "local_phone": 0.4, "secret": 0.9}
 CHECKSUM_GAIN, CONTEXT_GAIN = 0.3, 0.4
 #: Kinds whose spans have all met a checksum.
 CHECKED = ("card", "iban")
@@ -127,13 +133,14 @@ def score(text: str, kind: str, start: int, end: int) -> float:
 def all_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, int, float]]:
     """Base spans, then the added ones that reach the threshold; those that no checksum confirms must not overlap
     a base span."""
-    if not any(c in text for c in "@0123456789"):
+    if not any(c in text for c in "@0123456789") and "-----BEGIN" not in text and "gh" not in text and "AKIA" not in text:
         return []
     base = base_spans(text)
     taken = sorted((s, e) for _, s, e in base)
     out = [(k, s, e, score(text, k, s, e)) for k, s, e in base]
     added = [("iban", s, e) for s, e in ibans(text)]
-    added += [(kind, *m.span()) for kind, pattern in (("ssn", SSN), ("local_phone", LOCAL_PHONE)) for m in pattern.finditer(text)]
+    patterns = (("ssn", SSN), ("local_phone", LOCAL_PHONE), ("secret", SECRET))
+    added += [(kind, *m.span()) for kind, pattern in patterns for m in pattern.finditer(text)]
     for kind, s, e in added:
         value = score(text, kind, s, e)
         if value >= threshold and (kind in CHECKED or not any(a < e and s < b for a, b in taken)):

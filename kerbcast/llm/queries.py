@@ -44,7 +44,8 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
               for k in personal_data.BASE_KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(joined("spans", personal_data.BASE_KINDS), 256).alias("base_sha256"),
-        joined("spans").alias("spans"))
+        joined("spans").alias("spans"),
+        F.array_join(F.transform("spans", lambda s: F.format_number(s["score"], 2)), ",").alias("scores"))
 
 
 @query

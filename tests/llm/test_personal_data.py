@@ -47,6 +47,20 @@ def test_checksums_and_context():
     assert kinds("call (030) 123 4567 now") == ["local_phone"] and kinds("sum (030) 123 4567 now") == []
 
 
+def test_numbers_that_cannot_be_given_out_and_keys():
+    kinds = lambda t: [k for k, *_ in all_spans(t)]
+    for wrong in ("000-12-3456", "666-12-3456", "900-12-3456", "123-00-4567", "123-45-0000", "000-00-0000"):
+        assert kinds(f"my ssn: {wrong}") == []
+    assert kinds("call 555-123-4567 now") == kinds("fax 555.123.4567,") == ["local_phone"]
+    assert kinds("part 555-123-4567") == kinds("call 555-123.4567") == kinds("call 555-123-45678") == []
+    key, token = "AKIA" + "ABCDEFGHIJKLMNOP", "ghp_" + "aB3" * 12
+    for secret in (key, token, "-----BEGIN PRIVATE KEY-----", "-----BEGIN OPENSSH PRIVATE KEY-----"):
+        (found,) = all_spans(f"x {secret} y")
+        assert found[:3] == ("secret", 2, 2 + len(secret)) and 0.75 <= found[3] <= 1
+        assert masked_text(f"x {secret} y", [found]) == "x [SECRET] y"
+    assert kinds(f"x{key}") == kinds(key + "Q") == kinds(token + "x") == kinds("-----BEGIN PUBLIC KEY-----") == []
+
+
 def made_iban(country, rest):
     return next(f"{country}{n:02d}{rest}" for n in range(2, 99) if mod97(f"{country}{n:02d}{rest}"))
 
