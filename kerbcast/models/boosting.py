@@ -17,15 +17,21 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbcast.functions.ordered import running_totals_of
 from kerbcast.schemas import COUNT
-from kerbcast.session import written
+from kerbcast.session import fresh_path, written
 
 #: Rows whose sums stay exact in doubles; also the largest ``task_rows`` and the largest batch.
 EXACT_ROWS = 1 << 20
+#: Rows of a block, which a task handles at once; fewer than half of those whose sums stay exact.
+BLOCK_ROWS = 1 << 16
+#: Bytes of a level's sums that come to the driver from all tasks at once; larger ones are added up by a shuffle.
+DIRECT_BYTES = 16_000_000
 #: A gain must exceed this.
 LEAST_GAIN = 1e-6
 #: Trees after which the predictions of a fit spread over many tasks are written again.
@@ -174,12 +180,15 @@ def node_records(setting: Setting, spec: Boosted, ids, sum_g, sum_h, split=None)
     return nodes
 
 
-def goes_left(layout: Layout, bins: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    """Whether each row goes left at its own node, an inner one."""
-    feature = nodes["feature"].astype(np.int64)
-    value = bins[np.arange(len(bins)), feature]
-    missing = value == np.array(layout.sizes)[feature]
-    return np.where(missing, nodes["missing_left"], value <= nodes["bin"])
+def goes_left(layout: Layout, bins: np.ndarray, nodes: np.ndarray, place: np.ndarray | None = None) -> np.ndarray:
+    """Whether each row goes left at its node, the one at ``place`` (None: its own one); of no meaning at leaves."""
+    here = np.arange(len(bins))
+    place = here if place is None else place
+    feature = np.maximum(nodes["feature"].astype(np.int64), 0)
+    # The slot of missing values lies above all bins.
+    lost = np.where(nodes["missing_left"], np.array(layout.sizes)[feature], -1)
+    value = bins[here, feature[place]]
+    return (value <= np.ascontiguousarray(nodes["bin"])[place]) | (value == lost[place])
 
 
 def grow(
@@ -199,7 +208,7 @@ def grow(
         stays = ~inner[place]
         value[rows[stays]] = nodes["value"][place[stays]]
         rows, bins, g, h, place = (x[~stays] for x in (rows, bins, g, h, place))
-        right = ~goes_left(setting.layout, bins, nodes[place])
+        right = ~goes_left(setting.layout, bins, nodes, place)
         place = 2 * (np.cumsum(inner) - 1)[place] + right
         ids = (2 * ids[inner][:, None] + np.array([0, 1])).ravel()
         level += 1
@@ -226,13 +235,9 @@ class Tree:
 
     def leaves(self, layout: Layout, bins: np.ndarray) -> np.ndarray:
         """Place of the leaf each row ends in."""
-        at = np.zeros(len(bins), dtype=np.int64)
-        moving = np.arange(len(bins)) if self.nodes["feature"][0] >= 0 else np.empty(0, dtype=np.int64)
-        while len(moving):
-            here = at[moving]
-            left = goes_left(layout, bins[moving], self.nodes[here])
-            at[moving] = np.where(left, self.left[here], self.right[here])
-            moving = moving[self.nodes["feature"][at[moving]] >= 0]
+        at, ids = np.zeros(len(bins), dtype=np.int64), self.nodes["id"]
+        for _ in range(int(ids[-1]).bit_length() - int(ids[0]).bit_length()):
+            at = np.where(goes_left(layout, bins, self.nodes, at), self.left[at], self.right[at])  # a leaf: itself
         return at
 
     def values(self, layout: Layout, bins: np.ndarray) -> np.ndarray:
@@ -406,86 +411,105 @@ def _boost_in_tasks(rows: DataFrame, settings: list[Setting], spec: Boosted) ->
     return out
 
 
-Rows = tuple[int, Setting, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+#: Rows of one fit as arrays: fit, bins, target, weight, margin.
+Block = tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _with_margins(
-    batches: Iterable[pa.RecordBatch], settings: list[Setting], recent: dict[int, list[np.ndarray]]
-) -> Iterator[Rows]:
-    """(fit, setting, bins, y, w, margin) of one fit at a time, the trees not yet written added."""
-    trees = {i: [Tree(n) for n in new] for i, new in recent.items()}
-    for whole in batches:
-        for at in range(0, whole.num_rows, EXACT_ROWS):
-            batch = whole.slice(at, EXACT_ROWS)
-            fit = batch.column(0).to_numpy()
-            for i in np.unique(fit):
-                part = batch.filter(pa.array(fit == i))
-                setting = settings[i]
-                bins = _bins_of(part.column(1).to_pylist(), len(setting.layout.sizes))
-                y, w, margin = (part.column(c).to_numpy().copy() for c in (2, 3, 4))
-                for tree in trees[i]:
-                    margin += tree.values(setting.layout, bins)
-                yield int(i), setting, bins, y, w, margin
+def _blocks(rows: DataFrame, shared: Broadcast) -> RDD:
+    """The rows as blocks, which are read, routed and advanced without a plan or a row object each."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[pa.RecordBatch]] = {}
+
+        def block(fit: int) -> pa.RecordBatch:
+            part = pa.Table.from_batches(held.pop(fit))
+            packed = [b"".join(part.column(1).to_pylist()), *(part.column(c).to_numpy().tobytes() for c in (2, 3, 4))]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([fit], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)],
+                ["fit", "bins", "y", "w", "margin"])
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK_ROWS):
+                batch = whole.slice(at, BLOCK_ROWS)
+                fit = batch.column(0).to_numpy()
+                for i in np.unique(fit).tolist():
+                    held.setdefault(i, []).append(batch.filter(pa.array(fit == i)))
+                    if sum(b.num_rows for b in held[i]) >= BLOCK_ROWS:
+                        yield block(i)
+        for i in list(held):
+            yield block(i)
+
+    def unpacked(row) -> Block:
+        y, w, margin = (np.frombuffer(bytes(row[c]), dtype="<f8") for c in ("y", "w", "margin"))
+        return row["fit"], _bins_of([bytes(row["bins"])], len(shared.value[row["fit"]].layout.sizes)), y, w, margin
+
+    return rows.mapInArrow(gather, "fit int, bins binary, y binary, w binary, margin binary").rdd.map(unpacked)
 
 
 def _boost_by_levels(
     rows: DataFrame, settings: list[Setting], spec: Boosted, large: list[int]
 ) -> dict[int, list[np.ndarray]]:
-    """All large fits in step: a job per level while nodes are large, one more for all subtrees that fit a task."""
+    """All large fits in step: a job per level while nodes are large, one more for all subtrees that fit a task.
+
+    The blocks of a tree's margins stay with the executors until the next tree has theirs; every so many trees they
+    are written, so that a lost one is not made anew from the first tree on.
+    """
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(settings)
     trees: dict[int, list[np.ndarray]] = {i: [] for i in large}
-    recent: dict[int, list[np.ndarray]] = {i: [] for i in large}
-    for _ in range(spec.trees):
-        if len(recent[large[0]]) >= REWRITE_EVERY:
-            rows, recent = written(_advanced(rows, settings, recent), "boosting-margins"), {i: [] for i in large}
-        grown = _one_tree_each(rows, settings, spec, large, recent)
+    before, blocks = None, _blocks(rows, shared).persist(StorageLevel.MEMORY_AND_DISK)
+    for t in range(1, spec.trees + 1):
+        grown = _one_tree_each(blocks, shared, spec, large)
         for i in large:
             trees[i].append(grown[i])
-            recent[i].append(grown[i])
+        if before is not None:
+            before.unpersist()
+        before, blocks = blocks, _advanced(blocks, shared, grown)
+        if t % REWRITE_EVERY == 0 and t < spec.trees:
+            path = fresh_path(spark, "boosting-margins")
+            blocks.saveAsPickleFile(path, 1)
+            blocks = spark.sparkContext.pickleFile(path)
+        blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    for held in (before, blocks):
+        if held is not None:
+            held.unpersist()
     return trees
 
 
-def _advanced(rows: DataFrame, settings: list[Setting], recent: dict[int, list[np.ndarray]]) -> DataFrame:
-    """The rows with the newest trees added to their margins."""
-    width = {i: 2 * len(s.layout.sizes) for i, s in enumerate(settings)}
+def _advanced(blocks: RDD, shared: Broadcast, grown: dict[int, np.ndarray]) -> RDD:
+    """The blocks with the newest tree of each fit added to their margins."""
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for fit, _, bins, y, w, margin in _with_margins(batches, settings, recent):
-            flat, size = bins.tobytes(), width[fit]
-            packed = [flat[at:at + size] for at in range(0, len(flat), size)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(y), fit, dtype=np.int32)), pa.array(packed, pa.binary()),
-                 pa.array(y), pa.array(w), pa.array(margin)],
-                ["fit", "bins", "y", "w", "margin"])
+    def add(part: Iterator[Block]) -> Iterator[Block]:
+        trees = {i: Tree(nodes) for i, nodes in grown.items()}
+        for fit, bins, y, w, margin in part:
+            yield fit, bins, y, w, margin + trees[fit].values(shared.value[fit].layout, bins)
 
-    return rows.mapInArrow(add, rows.schema)
+    return blocks.mapPartitions(add)
 
 
-def _one_tree_each(
-    rows: DataFrame, settings: list[Setting], spec: Boosted, large: list[int], recent: dict[int, list[np.ndarray]]
-) -> dict[int, np.ndarray]:
+def _one_tree_each(blocks: RDD, shared: Broadcast, spec: Boosted, large: list[int]) -> dict[int, np.ndarray]:
     """The next tree of every fit. Splits come to the driver, one row per node; sums and rows do not."""
     nodes: dict[int, list[np.ndarray]] = {i: [] for i in large}
     wide: dict[int, list[int]] = {i: [1] for i in large}
     narrow: dict[int, list[int]] = {i: [] for i in large}
     level = 0
     while any(wide.values()):
-        decided = _level(rows, settings, spec, recent, nodes, wide)
+        decided = _level(blocks, shared, spec, nodes, wide)
         following: dict[int, list[int]] = {i: [] for i in large}
         level += 1
-        for row in decided:
-            i, (record, *children) = row["fit"], np.frombuffer(bytes(row["nodes"]), dtype=NODE)
+        for i, (record, *children), *counts in decided:
             nodes[i].append(np.array([record]))
             if record["feature"] < 0:
                 continue
-            for child, count in zip(children, (row["left_rows"], row["right_rows"])):
+            for child, count in zip(children, counts):
                 if level == spec.depth:
                     nodes[i].append(np.array([child]))
                 else:
                     (following if count > spec.task_rows else narrow)[i].append(int(child["id"]))
         wide = following
     if any(narrow.values()):
-        for row in _subtrees(rows, settings, spec, recent, nodes, narrow):
-            nodes[row["fit"]].append(np.frombuffer(bytes(row["nodes"]), dtype=NODE))
+        for i, grown in _subtrees(blocks, shared, spec, nodes, narrow):
+            nodes[i].append(grown)
     return {i: np.concatenate(nodes[i]) for i in large}
 
 
@@ -506,79 +530,93 @@ def _router(nodes: dict[int, list[np.ndarray]], ends: dict[int, list[int]]) -> C
     return of
 
 
-def _level(rows, settings, spec, recent, nodes, wide) -> list:
-    """(fit, nodes, left_rows, right_rows) of all wide nodes, decided from the sums of all rows.
+def _open(ends: dict[int, list[int]]) -> tuple[list[tuple[int, int]], dict[int, tuple[np.ndarray, int]]]:
+    """(fit, id) of the open nodes; of each fit the ids, ascending, and the place of its first one."""
+    keys = [(fit, node) for fit, ids in ends.items() for node in sorted(ids)]
+    first = {fit: next(k for k, key in enumerate(keys) if key[0] == fit) for fit, ids in ends.items() if ids}
+    return keys, {fit: (np.sort(np.array(ends[fit], dtype=np.int64)), k) for fit, k in first.items()}
+
+
+def _arrived(
+    setting: Setting, tree: Tree, ids: np.ndarray, bins: np.ndarray, y: np.ndarray, w: np.ndarray, margin: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the rows that end in the nodes ``ids``: the place of their node, bins, gradients and curvatures."""
+    at = tree.nodes["id"][tree.leaves(setting.layout, bins)]
+    place = np.minimum(np.searchsorted(ids, at), len(ids) - 1)
+    here = ids[place] == at
+    return place[here], bins[here], *gradients(setting, margin[here], y[here], w[here])
+
+
+def _level(
+    blocks: RDD, shared: Broadcast, spec: Boosted, nodes: dict[int, list[np.ndarray]], wide: dict[int, list[int]]
+) -> list[tuple[int, np.ndarray, int, int]]:
+    """(fit, nodes, rows left, rows right) of all wide nodes, decided from the sums of all rows.
 
     ``nodes`` are the node and its two children as leaves, which they are if the tree may grow no deeper.
     """
     tree_of = _router(nodes, wide)
     trees = {i: tree_of(i) for i, open_ids in wide.items() if open_ids}
+    keys, places = _open(wide)
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums(part: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
         totals: dict[int, list[np.ndarray]] = {}
-        for fit, setting, bins, y, w, margin in _with_margins(batches, settings, recent):
+        for fit, *arrays in part:
             if fit not in trees:
                 continue
-            tree, ids = trees[fit], np.sort(np.array(wide[fit], dtype=np.int64))
-            at = tree.nodes["id"][tree.leaves(setting.layout, bins)]
-            place = np.minimum(np.searchsorted(ids, at), len(ids) - 1)
-            here = ids[place] == at
-            g, h = gradients(setting, margin, y, w)
-            part = histograms(setting.layout, bins[here], place[here], len(ids), g[here], h[here], None)
-            totals[fit] = [a + b for a, b in zip(totals[fit], part)] if fit in totals else part
+            setting, (ids, _) = shared.value[fit], places[fit]
+            place, bins, g, h = _arrived(setting, trees[fit], ids, *arrays)
+            new = histograms(setting.layout, bins, place, len(ids), g, h, None)
+            totals[fit] = [a + b for a, b in zip(totals[fit], new)] if fit in totals else new
         for fit, (g, h, n) in totals.items():
-            ids = np.sort(np.array(wide[fit], dtype=np.int64))
-            node, spot = np.nonzero(n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(node), fit, dtype=np.int32)), pa.array(ids[node]), pa.array(spot),
-                 *(pa.array(x[node, spot]) for x in (g, h, n))], ["fit", "id", "spot", "g", "h", "n"])
+            for k in np.flatnonzero(n.any(axis=1)).tolist():
+                yield places[fit][1] + k, np.stack([g[k], h[k], n[k]])
 
-    def choose(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        setting = settings[key[0]]
+    def choose(found: tuple[int, np.ndarray]) -> tuple[int, np.ndarray, int, int]:
+        (fit, node_id), (g, h, n) = keys[found[0]], found[1][:, None, :]
+        setting = shared.value[fit]
         layout = setting.layout
-        g, h, n = (np.zeros((1, layout.width), dtype=np.int64) for _ in range(3))
-        for total, name in ((g, "g"), (h, "h"), (n, "n")):
-            total[0, group["spot"].to_numpy()] = group[name].to_numpy()
         split = best_splits(setting, spec, g, h)
         span = slice(layout.starts[0], layout.starts[1])
         all_g, all_h, all_n = (x[0, span].sum() for x in (g, h, n))
         left_g, left_h, left_n = (_sides(layout, x)[0, split[4][0]] for x in (g, h, n))
-        node = node_records(setting, spec, [key[1]], np.array([all_g]), np.array([all_h]), split)
-        children = node_records(setting, spec, [2 * key[1], 2 * key[1] + 1], np.array([left_g, all_g - left_g]),
+        node = node_records(setting, spec, [node_id], np.array([all_g]), np.array([all_h]), split)
+        children = node_records(setting, spec, [2 * node_id, 2 * node_id + 1], np.array([left_g, all_g - left_g]),
                                 np.array([left_h, all_h - left_h]))
-        return pd.DataFrame([(key[0], np.concatenate([node, children]).tobytes(), int(left_n), int(all_n - left_n))],
-                            columns=["fit", "nodes", "left_rows", "right_rows"])
+        return fit, np.concatenate([node, children]), int(left_n), int(all_n - left_n)
 
-    partial = rows.mapInArrow(sums, "fit int, id long, spot long, g long, h long, n long")
-    cells = partial.groupBy("fit", "id", "spot").agg(*[F.sum(m).alias(m) for m in ("g", "h", "n")])
-    return cells.groupBy("fit", "id").applyInPandas(
-        choose, "fit int, nodes binary, left_rows long, right_rows long").collect()
+    partial, tasks = blocks.mapPartitions(sums), blocks.getNumPartitions()
+    if 24 * tasks * sum(shared.value[fit].layout.width for fit, _ in keys) > DIRECT_BYTES:
+        return partial.reduceByKey(np.add, max(1, min(len(keys), tasks))).map(choose).collect()
+    total: dict[int, np.ndarray] = {}
+    for k, found in partial.collect():
+        total[k] = total[k] + found if k in total else found
+    return [choose(found) for found in total.items()]
 
 
-def _subtrees(rows, settings, spec, recent, nodes, narrow) -> list:
+def _subtrees(
+    blocks: RDD, shared: Broadcast, spec: Boosted, nodes: dict[int, list[np.ndarray]], narrow: dict[int, list[int]]
+) -> list[tuple[int, np.ndarray]]:
     """(fit, nodes) of the subtrees below all narrow nodes, each grown in one task from at most ``task_rows`` rows."""
     tree_of = _router(nodes, narrow)
     trees = {i: tree_of(i) for i, open_ids in narrow.items() if open_ids}
+    keys, places = _open(narrow)
 
-    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for fit, setting, bins, y, w, margin in _with_margins(batches, settings, recent):
+    def routed(part: Iterator[Block]) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
+        for fit, *arrays in part:
             if fit not in trees:
                 continue
-            tree = trees[fit]
-            at = tree.nodes["id"][tree.leaves(setting.layout, bins)]
-            here = np.isin(at, np.array(narrow[fit], dtype=np.int64))
-            g, h = gradients(setting, margin, y, w)
-            packed = [r.tobytes() for r in bins[here]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(packed), fit, dtype=np.int32)), pa.array(at[here]),
-                 pa.array(packed, pa.binary()), pa.array(g[here]), pa.array(h[here])],
-                ["fit", "id", "bins", "g", "h"])
-
-    def finish(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        setting, root = settings[key[0]], int(key[1])
-        bins = _bins_of(group["bins"], len(setting.layout.sizes))
-        grown, _ = grow(setting, spec, bins, group["g"].to_numpy(), group["h"].to_numpy(), root, root.bit_length() - 1)
-        return pd.DataFrame([(key[0], grown.tobytes())], columns=["fit", "nodes"])
-
-    moved = rows.mapInArrow(routed, "fit int, id long, bins binary, g double, h double")
-    return moved.groupBy("fit", "id").applyInPandas(finish, "fit int, nodes binary").collect()
+            ids, first = places[fit]
+            place, *moved = _arrived(shared.value[fit], trees[fit], ids, *arrays)
+            order = np.argsort(place, kind="stable")
+            cuts = np.searchsorted(place[order], np.arange(len(ids) + 1))
+            for k, (a, b) in enumerate(zip(cuts.tolist(), cuts.tolist()[1:])):
+                if a < b:
+                    yield first + k, tuple(x[order[a:b]] for x in moved)
+
+    def finish(group: tuple[int, Iterable[tuple[np.ndarray, ...]]]) -> tuple[int, np.ndarray]:
+        fit, root = keys[group[0]]
+        bins, g, h = (np.concatenate(x) for x in zip(*group[1]))
+        return fit, grow(shared.value[fit], spec, bins, g, h, root, root.bit_length() - 1)[0]
+
+    dealt = min(len(keys), 4 * blocks.getNumPartitions())
+    return blocks.mapPartitions(routed).groupByKey(max(1, dealt)).map(finish).collect()

@@ -106,3 +106,39 @@ def test_null_targets_and_weights_are_left_out(table, spark):
     spec = Boosted(trees=2, depth=3)
     one, two = (fit_all([Fit(rows, ("a", "b", "c"), "y", "w")], spec)[0] for rows in (df, df.unionByName(extra)))
     assert one.base == two.base and all(np.array_equal(p, q) for p, q in zip(one.trees, two.trees))
+
+
+def test_trees_of_large_fits_take_few_jobs(table, spark, monkeypatch):
+    # A level is one job, whose sums come directly or through a shuffle; a tree's margins are made once, not per level.
+    _, _, _, df = table
+    monkeypatch.setattr(boosting, "REWRITE_EVERY", 3)
+    fits, context = [Fit(df, ("a", "b", "c"), "y", "w"), Fit(df.where("id % 3 != 0"), ("b", "a"), "y")], spark.sparkContext
+    found, jobs = [], []
+    for trees, direct in ((2, 1 << 24), (8, 1 << 24), (8, 0)):
+        monkeypatch.setattr(boosting, "DIRECT_BYTES", direct, raising=False)
+        context.setJobGroup(f"few-jobs-{trees}-{direct}", "")
+        found.append(fit_all(fits, Boosted(trees=trees, depth=3, rate=0.3, task_rows=60)))
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"few-jobs-{trees}-{direct}")))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    # Three levels at most and one for the subtrees, six times; two writes of margins.
+    assert jobs[1] - jobs[0] <= 6 * 4 + 2 * 2 and abs(jobs[2] - jobs[1]) <= 2
+    for one, other in zip(found[1], found[2]):
+        assert all(np.array_equal(np.sort(p, order="id"), np.sort(q, order="id")) for p, q in zip(one.trees, other.trees))
+
+
+def test_walking_all_rows_at_once_ends_in_the_right_leaves():
+    rng = np.random.default_rng(8)
+    layout = boosting.Layout((9, 4), True)
+    bins = np.stack([rng.integers(0, 10, 500), rng.integers(0, 5, 500)], axis=1).astype(np.int16)
+    setting = boosting.Setting(layout, 0.0, 30, 30, 500)
+    g, h = boosting.gradients(setting, np.zeros(500), bins[:, 0] * 1.0 + (bins[:, 1] == 4) * 7, np.ones(500))
+    nodes, value = boosting.grow(setting, Boosted(depth=5), bins, g, h, 5, 2)
+    tree = boosting.Tree(nodes)
+    by_id = {int(n["id"]): n for n in nodes}
+    for row, leaf, v in zip(bins.tolist(), tree.leaves(layout, bins), value):
+        node = by_id[5]
+        while node["feature"] >= 0:
+            x = row[node["feature"]]
+            left = node["missing_left"] if x == layout.sizes[node["feature"]] else x <= node["bin"]
+            node = by_id[2 * int(node["id"]) + (not left)]
+        assert tree.nodes["id"][leaf] == node["id"] and v == node["value"]
