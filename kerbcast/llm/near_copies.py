@@ -2,7 +2,7 @@
 
 Equal sets are one class. Two collections of half keys, each half key a few MinHashes, are combined pair by
 pair: ``s`` half keys of either side give ``s * s`` table keys from ``2 * s`` half keys' hashes, where plain
-banding would need a hash group per table.
+banding would need a hash group per table. Only half keys that several sets have are combined.
 
 No bucket is expanded into all its pairs. Every bucket's members are confirmed against its hub, the member
 with the largest buckets overall. What remains are members of one bucket that ended in different components;
@@ -213,6 +213,21 @@ def near_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hal
         F.col("doc_id").eqNullSafe(F.col("group")).alias("kept"))
 
 
+def shared_halves(classes: DataFrame, side: int) -> DataFrame:
+    """``node``, ``n``, ``lefts``, ``rights``: the half keys of either side that another class has too.
+
+    A table key is shared only if both its half keys are, so no others need be combined.
+    """
+    halves = classes.select("node", "n", "name1", F.posexplode("half_keys").alias("i", "half")).select(
+        "node", "n", "name1", (F.col("i") < side).alias("left"), F.xxhash64("i", "half").alias("half"))
+    # Most occur once: they are dealt first and counted then, as counts before the shuffle would only fill memory.
+    common = halves.select("half").repartition("half").groupBy("half").agg(
+        F.count(F.lit(1)).alias("m")).where("m > 1").select("half")
+    return halves.join(common, "half").groupBy("node", "n", "name1").agg(
+        F.collect_list(F.when(F.col("left"), F.col("half"))).alias("lefts"),
+        F.collect_list(F.when(~F.col("left"), F.col("half"))).alias("rights")).drop("name1")
+
+
 def _grouped(docs: DataFrame, words: int, percent: int, half_key: int = HALF_KEY, missed: float = MISSED) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``name1``, ``name2``, ``anonym`` and ``group`` of every row."""
     side = sides(percent, half_key, missed)
@@ -221,10 +236,10 @@ def _grouped(docs: DataFrame, words: int, percent: int, half_key: int = HALF_KEY
     classes = stored(rows.where("n_shingles > 0").groupBy(*name).agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("half_keys").alias("half_keys")), "classes")
 
-    tables = (classes.where("node IS NOT NULL")
-              .select("node", "n", F.posexplode(F.slice("half_keys", 1, side)).alias("i", "left"), "half_keys")
-              .select("node", "n", "i", "left", F.posexplode(F.slice("half_keys", side + 1, side)).alias("j", "right"))
-              .select(F.xxhash64("i", "j", "left", "right").alias("key"), "node", "n"))
+    tables = (stored(shared_halves(classes.where("node IS NOT NULL"), side), "shared_halves")
+              .select("node", "n", F.explode("lefts").alias("left"), "rights")
+              .select("node", "n", "left", F.explode("rights").alias("right"))
+              .select(F.xxhash64("left", "right").alias("key"), "node", "n"))
     sizes = tables.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     buckets = stored(tables.join(sizes, "key"), "buckets")
     central = buckets.groupBy("node").agg(F.sum("m").alias("central"))

@@ -5,7 +5,7 @@ from itertools import combinations
 import pytest
 
 from kerbcast.llm.links import components
-from kerbcast.llm.near_copies import near_groups, rest_pairs, sides, without_near_copies
+from kerbcast.llm.near_copies import near_groups, rest_pairs, shared_halves, sides, without_near_copies
 
 
 def shingles(text, n):
@@ -133,3 +133,16 @@ def test_a_crowd_with_one_late_shingle_is_not_paired(spark):
     rows = [(1, node, node, 95 + node % 11, 15) for node in range(2000)]
     prefix = spark.createDataFrame(rows, "shingle long, node long, component long, n long, place long")
     assert rest_pairs(prefix, 85).count() == 0
+
+
+def test_only_shared_half_keys_are_combined(spark):
+    rng = random.Random(4)
+    side, rows = 3, [[i, 10, i, [rng.randrange(40 if i < 30 else 10**15) for _ in range(6)]] for i in range(200)]
+    classes = spark.createDataFrame(rows, "node long, n long, name1 long, half_keys array<long>")
+    got = {r.node: (len(r.lefts), len(r.rights)) for r in shared_halves(classes, side).collect()}
+    at = [defaultdict(int) for _ in range(6)]
+    for *_, keys in rows:
+        for i, k in enumerate(keys):
+            at[i][k] += 1
+    want = {d: tuple(sum(at[i][keys[i]] > 1 for i in r) for r in (range(3), range(3, 6))) for d, _, _, keys in rows}
+    assert got == {d: w for d, w in want.items() if any(w)} and len(got) <= 30
