@@ -10,7 +10,6 @@ counted by an ordinary shuffle and joined with the other kept terms.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,8 +22,8 @@ from pyspark.sql import functions as F
 
 from kerbcast.llm.common import mixed, sized, stored
 
-#: ASCII letters and everything beyond ASCII, in UTF-8; the only letters to lower are A-Z.
-TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
+#: For each byte of UTF-8: ASCII letters (A-Z in lower case) and everything beyond ASCII stay, others part terms.
+LETTERS = bytes(b if b >= 0x80 else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))
 #: Terms of all languages that are counted by broadcast hashes, and the bytes of the longest of them: 64 MB at most.
 BROADCAST_TERMS, BROADCAST_BYTES = 1_000_000, 64
 #: Terms a shard has on average; a language's shards rise with its terms.
@@ -124,7 +123,7 @@ class PerfectHash:
 # --- passes over the texts ---------------------------------------------------------------------------------------
 
 def terms_of(text: str) -> list[bytes]:
-    return TERM.findall(text.encode("utf-8", "replace").lower())
+    return text.encode("utf-8", "replace").translate(LETTERS).split()
 
 
 def _columns(batch: pa.RecordBatch) -> zip:
@@ -151,24 +150,30 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     yield from out()
 
 
-def _cells(lang: str, source: str, numbers, counts, terms) -> pa.RecordBatch:
+CELLS = "slot long, lang string, source string, term string, n long"
+
+
+def _cells(slots, lang: str | None, source: str | None, terms, counts) -> pa.RecordBatch:
+    """Counts of broadcast terms by slot alone, or of other terms by themselves."""
     n = len(counts)
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()),
-         pa.nulls(n, pa.int64()) if numbers is None else pa.array(numbers, pa.int64()),
-         pa.nulls(n, pa.string()) if terms is None else pa.array(terms, pa.string()),
-         pa.array(counts, pa.int64())], ["lang", "source", "number", "term", "n"])
+        [pa.nulls(n, pa.int64()) if slots is None else pa.array(slots, pa.int64()),
+         *(pa.nulls(n, pa.string()) if x is None else pa.array(x, pa.string())
+           for x in (None if lang is None else [lang] * n, None if source is None else [source] * n, terms)),
+         pa.array(counts, pa.int64())], ["slot", "lang", "source", "term", "n"])
 
 
 class Recount:
     """The second pass over the texts of one task.
 
     Counts lie in dense slots per group, one per broadcast term and one more for all other terms; of languages whose
-    kept terms are not all broadcast, those others are counted by themselves.
+    kept terms are not all broadcast, those others are counted by themselves. A slot is handed on as one number: the
+    group's place in ``groups``, and 32 bits for the term's number.
     """
 
-    def __init__(self, shared: dict[str, PerfectHash], complete: set[str]):
+    def __init__(self, shared: dict[str, PerfectHash], complete: set[str], groups: list[tuple[str, str]]):
         self.shared, self.complete = shared, complete
+        self.place = {group: i for i, group in enumerate(groups)}
         self.known: dict[str, dict[bytes, int]] = {}
         self.slots: dict[tuple[str, str], np.ndarray] = {}
         self.others: dict[tuple[str, str], Counter] = {}
@@ -189,11 +194,12 @@ class Recount:
             numbers = self.numbers(lang, terms)
             if (lang, source) not in self.slots:
                 self.slots[lang, source] = np.zeros(width, dtype=np.int32)
-            counts = np.bincount(numbers, minlength=width)
-            self.slots[lang, source] += counts.astype(np.int32)
-            if lang in self.complete or not counts[-1]:
+            np.add.at(self.slots[lang, source], numbers, 1)
+            if lang in self.complete:
                 return
             terms = [terms[i] for i in np.flatnonzero(numbers == width - 1)]
+            if not terms:
+                return
         elif lang in self.complete:
             return
         self.others.setdefault((lang, source), Counter()).update(terms)
@@ -209,17 +215,17 @@ class Recount:
     def out(self) -> Iterator[pa.RecordBatch]:
         for (lang, source), counts in self.slots.items():
             numbers = np.flatnonzero(counts[:-1])
-            yield _cells(lang, source, numbers, counts[numbers], None)
+            yield _cells((self.place[lang, source] << 32) + numbers, None, None, None, counts[numbers])
         for (lang, source), counts in self.others.items():
-            yield _cells(lang, source, None, list(counts.values()), [t.decode() for t in counts])
+            yield _cells(None, lang, source, [t.decode() for t in counts], list(counts.values()))
         self.slots.clear()
         self.others.clear()
 
 
 def _recounted(
-    shared: dict[str, PerfectHash], complete: set[str], batches: Iterator[pa.RecordBatch]
+    shared: dict[str, PerfectHash], complete: set[str], groups: list[tuple[str, str]], batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
-    task = Recount(shared, complete)
+    task = Recount(shared, complete, groups)
     for batch in sized(batches, size=8_000_000):
         found: dict[tuple[str, str], list[bytes]] = {}
         for lang, source, text in _columns(batch):
@@ -323,7 +329,7 @@ def audit(docs: DataFrame, least: int = 3, top: int = 200) -> DataFrame:
     hashed = stored(_hashed_shards(marked, shared), "perfect_hashes")
     tables = _tables(hashed, shared)
     complete = {lang for lang, _ in groups if shared.get(lang, 0) == sizes.get(lang, 0)}
-    cells = stored(_all_counts(rows, marked, hashed, tables, complete), "term_counts")
+    cells = stored(_all_counts(rows, marked, hashed, tables, complete, groups), "term_counts")
     totals = {(r["lang"], r["source"]): r["n"]
               for r in cells.groupBy("lang", "source").agg(F.sum("n").alias("n")).collect()}
     found = _measured(cells, groups, totals, sizes, top)
@@ -338,25 +344,28 @@ def audit(docs: DataFrame, least: int = 3, top: int = 200) -> DataFrame:
 
 
 def _all_counts(
-    rows: DataFrame, marked: DataFrame, hashed: DataFrame, tables: dict[str, PerfectHash], complete: set[str]
+    rows: DataFrame, marked: DataFrame, hashed: DataFrame, tables: dict[str, PerfectHash], complete: set[str],
+    groups: list[tuple[str, str]],
 ) -> DataFrame:
     """(lang, source, term, n) of all kept terms: slots by their number, the others by the term itself."""
     shared = rows.sparkSession.sparkContext.broadcast(tables)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _recounted(shared.value, complete, batches)
+        yield from _recounted(shared.value, complete, groups, batches)
 
-    cells = rows.select("lang", "source", "text").mapInArrow(
-        count, "lang string, source string, number long, term string, n long")
+    cells = rows.select("lang", "source", "text").mapInArrow(count, CELLS)
     whole = complete.issuperset(r["lang"] for r in marked.select("lang").distinct().collect())
     if not whole:
         # Written, so that the texts are read once for both kinds of cells.
         cells = stored(cells, "cells")
-    slots = cells.where("number IS NOT NULL").groupBy("lang", "source", "number").agg(F.sum("n").alias("n"))
-    found = slots.join(_numbered(hashed), ["lang", "number"]).select("lang", "source", "term", "n")
+    # One long is the key that Spark adds up fastest; names and terms come to the sums.
+    slots = cells.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("n").alias("n")).select(
+        F.shiftright("slot", 32).alias("place"), F.col("slot").bitwiseAND((1 << 32) - 1).alias("number"), "n")
+    names = rows.sparkSession.createDataFrame([(i, *group) for i, group in enumerate(groups)], "place long, lang string, source string")
+    found = slots.join(F.broadcast(names), "place").join(_numbered(hashed), ["lang", "number"]).select("lang", "source", "term", "n")
     if whole:
         return found
-    others = cells.where("number IS NULL").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    others = cells.where("slot IS NULL").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
     rare = marked.where("NOT shared").select("lang", "term")
     return found.unionByName(others.join(rare, ["lang", "term"]).select("lang", "source", "term", "n"))
 

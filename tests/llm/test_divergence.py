@@ -95,3 +95,19 @@ def test_shares_are_exact():
     counts = np.array([0, 1, 7, 10**14, 3 * 10**14], dtype=np.int64)
     whole = int(counts.sum()) + 5
     assert divergence.shares(counts, whole).tolist() == [1 + 10**9 * (int(c) + 1) // whole for c in counts]
+
+
+def test_slots_go_by_one_number_without_names():
+    table = table_of(np.array(["a", "b", "é"], dtype=object), 1)
+    task = divergence.Recount({"en": table}, set(), [("en", ""), ("en", "s")])
+    task.add("en", "s", divergence.terms_of("A b2É\x00b'zz[Zz"))
+    slots, others = [b.to_pylist() for b in task.out()]
+    number = dict(zip(table.terms.to_pylist(), range(3)))
+    assert {r["slot"]: r["n"] for r in slots} == {(1 << 32) + number["a"]: 1, (1 << 32) + number["b"]: 2}
+    assert all(r["lang"] is r["source"] is r["term"] is None for r in slots)
+    assert [(r["slot"], r["lang"], r["source"], r["n"]) for r in others] == [(None, "en", "s", 1), (None, "en", "s", 2)]
+
+
+def test_terms_are_those_of_the_pattern():
+    text = "".join(map(chr, range(0x250))) + "aBc dEF\u2028日本 \x1cx\x85y \U0001f600z K"
+    assert divergence.terms_of(text) == re.findall(rb"[A-Za-z\x80-\xff]+", text.encode().lower())
