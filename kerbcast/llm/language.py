@@ -35,6 +35,8 @@ RATE, DECAY = 0.25, 1e-6
 SEED = 11
 #: Words whose scores one Python worker remembers.
 REMEMBERED = 400_000
+#: New words whose features are held at once, and bytes of text that are labelled together: what a task holds beside its rows.
+WORDS_AT_ONCE, TEXT_AT_ONCE = 8_192, 1_000_000
 #: Words per column when long streams are processed in columns side by side.
 COLUMN = 128
 LETTER = re.compile(r"[^\W\d_]")
@@ -198,7 +200,9 @@ class Field:
         new = [w for w in distinct if w not in place]
         if new:
             at = len(place)
-            self.known[at:at + len(new)] = summed(self.weights, *word_features(new))
+            for some in range(0, len(new), WORDS_AT_ONCE):
+                part = new[some:some + WORDS_AT_ONCE]
+                self.known[at + some:at + some + len(part)] = summed(self.weights, *word_features(part))
             place.update(zip(new, range(at, at + len(new))))
         return self.known[np.array([place[w] for w in distinct], dtype=np.int64)][codes].astype(np.float64)
 
@@ -324,7 +328,7 @@ def languages(docs: DataFrame, training: Column, sample_rows: int = SAMPLE_ROWS)
     field = fitted(docs, training, sample_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sized(batches):
+        for batch in sized(batches, size=TEXT_AT_ONCE):
             names, scores = field.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              ["doc_id", "lang_pred", "score"])
@@ -338,7 +342,7 @@ def in_language(docs: DataFrame, training: Column, sample_rows: int = SAMPLE_ROW
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sized(batches):
+        for batch in sized(batches, size=TEXT_AT_ONCE):
             names, scores = field.predict([t or "" for t in batch.column(at).to_pylist()])
             yield batch.filter(pa.array([n != UNDECIDED and s >= least for n, s in zip(names, scores)], pa.bool_()))
 

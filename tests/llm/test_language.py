@@ -1,10 +1,11 @@
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from kerbcast.llm.language import Field, chain_expectations, fitted, in_language, label_marginals, languages
+from kerbcast.llm.language import Field, chain_expectations, fitted, in_language, label_marginals, languages, summed, word_features
 
 SYLLABLES = {"aa": ["tion", "the", "er", "ing"], "bb": ["eau", "oui", "que", "ç"], "cc": ["ung", "sch", "ß", "ver"]}
 
@@ -73,6 +74,19 @@ def test_words_of_mixed_texts_get_their_own_language():
     assert 0.5 < scores[0] < 0.7 < 0.9 < scores[1]
 
 
+def test_many_new_words_are_scored_in_bounded_memory():
+    field = Field(["aa", "bb"])
+    field.weights = np.random.default_rng(5).standard_normal(field.weights.shape).astype(np.float32)
+    words = [f"{i:x}{text('aa', i, 1)}" for i in range(60_000)]
+    want = summed(field.weights, *word_features(words)).astype(np.float32)
+    tracemalloc.start()
+    got = field.scores(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got, want)
+    assert peak < 40e6
+
+
 def test_held_out_accuracy_and_awkward_rows(documents, odd):
     rows = [(1000 + i, text(lang, i), lang) for i, lang in enumerate(sorted(SYLLABLES) * 60)]
     docs = documents([*odd, *rows, (9000, text("cc", 1), None)])
