@@ -29,6 +29,8 @@ HALF_KEY, MISSED = 3, 5e-4
 #: Bands of set sizes within the ratio that two similar sets can have.
 SIZE_BANDS = 4
 SEED = 23
+#: Bits of a bitmap as Spark makes them, bits for each id that is looked up, and bitmaps that are broadcast at most.
+BITMAP_BITS, BITS_AN_ID, MOST_BITMAPS = 32_768, 16, 1_024
 
 
 def sides(percent: int, half_key: int = HALF_KEY, missed: float = MISSED) -> int:
@@ -271,6 +273,27 @@ def _grouped(docs: DataFrame, words: int, percent: int, half_key: int = HALF_KEY
         plain.where("n_shingles = 0").withColumn("group", F.col("doc_id")))
 
 
+def marked_by_bitmaps(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` with ``asked``: whether ``doc_id`` can be among ``ids``, by bitmaps of their hashes. It is true for all
+    that are, and for about one in ``BITS_AN_ID`` of the others, more if ``MOST_BITMAPS`` are too few."""
+    bitmaps = min(MOST_BITMAPS, max(1, -(-ids.count() * BITS_AN_ID // BITMAP_BITS)))
+    place = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(bitmaps * BITMAP_BITS))
+    number, bit = F.shiftright(place, 15).alias("number"), place.bitwiseAND(BITMAP_BITS - 1).alias("bit")
+    made = ids.select(number, bit).groupBy("number").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    byte = F.conv(F.hex(F.substr("bitmap", (F.shiftright("bit", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    asked = F.getbit(byte, F.col("bit").bitwiseAND(7).cast("int")) == 1
+    return rows.select("*", number, bit).join(F.broadcast(made), "number", "left").withColumn(
+        "asked", F.coalesce(asked, F.lit(False))).drop("number", "bit", "bitmap")
+
+
+def without_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` whose ``doc_id`` is not among ``ids``. Only rows that the bitmaps cannot rule out are looked up, so
+    that the texts of all others stay where they lie."""
+    marked = marked_by_bitmaps(rows, ids)
+    looked_up = marked.where("asked").join(ids, "doc_id", "left_anti")
+    return marked.where("NOT asked").unionByName(looked_up).drop("asked")
+
+
 def without_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with all its columns and one document of each group, the one with the smallest ``doc_id``.
 
@@ -278,10 +301,10 @@ def without_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERC
     one stays, and those without a shingle all stay.
     """
     groups = _grouped(docs, words, percent)
-    dropped = groups.where("doc_id IS NOT NULL AND doc_id <> group").select("doc_id").distinct()
+    dropped = stored(groups.where("doc_id IS NOT NULL AND doc_id <> group").select("doc_id").distinct(), "dropped")
     named = docs.where(F.col("doc_id").isNotNull())
     rows = named.select(F.col("doc_id").cast("long").alias("doc_id"), _entry(docs))
-    kept = rows.join(dropped, "doc_id", "left_anti").select("entry.*")
+    kept = without_ids(rows, dropped).select("entry.*")
     nameless = groups.where("anonym IS NOT NULL")
     if not nameless.limit(1).count():
         return kept

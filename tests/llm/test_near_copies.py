@@ -3,7 +3,9 @@ from collections import defaultdict
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
+from kerbcast.llm import near_copies
 from kerbcast.llm.links import components
 from kerbcast.llm.near_copies import near_groups, rest_pairs, shared_halves, sides, without_near_copies
 
@@ -146,3 +148,18 @@ def test_only_shared_half_keys_are_combined(spark):
             at[i][k] += 1
     want = {d: tuple(sum(at[i][keys[i]] > 1 for i in r) for r in (range(3), range(3, 6))) for d, _, _, keys in rows}
     assert got == {d: w for d, w in want.items() if any(w)} and len(got) <= 30
+
+
+def test_rows_that_stay_are_not_looked_up(spark, monkeypatch):
+    rows = spark.range(-3000, 17_000).select(F.col("id").alias("doc_id"), F.lit("entry").alias("entry"))
+    rows = rows.unionByName(rows.where("doc_id % 1000 = 7"))
+    ids = spark.createDataFrame([(i,) for i in range(-3000, 17_000, 20)] + [(10**12,)], "doc_id long")
+    want = sorted(r.doc_id for r in rows.where("pmod(doc_id, 20) <> 0").collect())
+    for bits in (16, 160):  # one bitmap, then several
+        monkeypatch.setattr(near_copies, "BITS_AN_ID", bits)
+        marked = near_copies.marked_by_bitmaps(rows, ids)
+        assert marked.where("NOT asked AND pmod(doc_id, 20) = 0").isEmpty()
+        assert marked.where("asked").count() < 3000
+        left = near_copies.without_ids(rows, ids)
+        assert left.columns == rows.columns and sorted(r.doc_id for r in left.collect()) == want
+    assert near_copies.without_ids(rows, ids.limit(0)).count() == rows.count()
