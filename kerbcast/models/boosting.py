@@ -32,6 +32,8 @@ EXACT_ROWS = 1 << 20
 BLOCK_ROWS = 1 << 16
 #: Bytes of a level's sums that come to the driver from all tasks at once; larger ones are added up by a shuffle.
 DIRECT_BYTES = 16_000_000
+#: Most combinations of bins of features that are counted together.
+PACK_CELLS = 1 << 11
 #: A gain must exceed this.
 LEAST_GAIN = 1e-6
 #: Trees after which the predictions of a fit spread over many tasks are written again.
@@ -86,8 +88,19 @@ class Layout:
     slot: np.ndarray = field(init=False)
     feature: np.ndarray = field(init=False)
     bin: np.ndarray = field(init=False)
+    #: Features whose bins are counted together: as a joint table of few cells, or one feature alone.
+    packs: tuple[tuple[int, ...], ...] = field(init=False)
 
     def __post_init__(self):
+        packs: list[list[int]] = []
+        for f in sorted(range(len(self.sizes)), key=lambda f: -self.sizes[f]):
+            fitting = (p for p in packs if math.prod(self.sizes[k] + 1 for k in [*p, f]) <= PACK_CELLS)
+            found = next(fitting, None)
+            if found is None:
+                packs.append([f])
+            else:
+                found.append(f)
+        object.__setattr__(self, "packs", tuple(map(tuple, packs)))
         starts = self.starts
         parts = [(starts[f] + i, starts[f], starts[f] + b, f, i) for f, b in enumerate(self.sizes) for i in range(b)]
         for name, values in zip(("cut", "base", "slot", "feature", "bin"), zip(*parts)):
@@ -112,6 +125,13 @@ class Setting:
     gradient_bits: int
     weight_bits: int
     rows: int
+    #: The weight of all rows, if they have the same.
+    weight: float | None = None
+
+    @property
+    def curvature(self) -> float | None:
+        """The curvature of every row in whole units, if all rows have the same."""
+        return None if self.weight is None else float(np.rint(self.weight * 2.0**self.weight_bits))
 
 
 # --- inside a task -----------------------------------------------------------------------------------------------
@@ -122,18 +142,39 @@ def gradients(setting: Setting, margin: np.ndarray, y: np.ndarray, w: np.ndarray
             np.rint(w * 2.0**setting.weight_bits))
 
 
+def joint_sums(
+    layout: Layout, bins: np.ndarray, place: np.ndarray, nodes: int, measures: Sequence[np.ndarray | None]
+) -> list[list[np.ndarray]]:
+    """Per pack of features the sums of each measure (None: number of rows) per node and combination of bins."""
+    out, place, index = [], place.astype(np.int64, copy=False), np.empty(len(bins), dtype=np.int64)
+    for pack in layout.packs:
+        code, cells = bins[:, pack[0]], layout.sizes[pack[0]] + 1
+        for f in pack[1:]:
+            code, cells = code * np.int16(layout.sizes[f] + 1) + bins[:, f], cells * (layout.sizes[f] + 1)
+        np.multiply(place, cells, out=index)
+        np.add(index, code, out=index)
+        out.append([np.bincount(index, m, nodes * cells)[:nodes * cells] for m in measures])
+    return out
+
+
+def flat_sums(layout: Layout, nodes: int, joint: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """The same per node and flat bin, as whole numbers."""
+    starts = layout.starts
+    out = [np.empty((nodes, layout.width), dtype=np.int64) for _ in joint[0]]
+    for pack, sums in zip(layout.packs, joint):
+        shape = [nodes, *(layout.sizes[f] + 1 for f in pack)]
+        for total, cells in zip(out, sums):
+            cells = cells.reshape(shape)
+            for at, f in enumerate(pack, 1):
+                total[:, starts[f]:starts[f + 1]] = cells.sum(axis=tuple(k for k in range(1, len(shape)) if k != at))
+    return out
+
+
 def histograms(
     layout: Layout, bins: np.ndarray, place: np.ndarray, nodes: int, *measures: np.ndarray | None
 ) -> list[np.ndarray]:
     """Sums of each measure (None: number of rows) per node and flat bin, as whole numbers."""
-    out = [np.empty((nodes, layout.width), dtype=np.int64) for _ in measures]
-    starts = layout.starts
-    for f, size in enumerate(layout.sizes):
-        index = place * (size + 1) + bins[:, f]
-        for total, measure in zip(out, measures):
-            sums = np.bincount(index, measure, nodes * (size + 1))
-            total[:, starts[f]:starts[f + 1]] = sums.reshape(nodes, size + 1)
-    return out
+    return flat_sums(layout, nodes, joint_sums(layout, bins, place, nodes, measures))
 
 
 def _sides(layout: Layout, sums: np.ndarray) -> np.ndarray:
@@ -180,15 +221,38 @@ def node_records(setting: Setting, spec: Boosted, ids, sum_g, sum_h, split=None)
     return nodes
 
 
+class Turns:
+    """Where the rows go right: those whose bin, less the lowest such bin, is below a node's span.
+
+    Bins are counted modulo 2 ** 16, so bins below the lowest one come out above every span. The slot of missing
+    values lies above all bins; it is within the span unless missing values go left. The span of a leaf is empty.
+    """
+
+    def __init__(self, layout: Layout, nodes: np.ndarray):
+        inner = nodes["feature"] >= 0
+        self.feature = np.where(inner, nodes["feature"], 0).astype(np.int64)
+        low = np.where(inner, nodes["bin"].astype(np.int64) + 1, 0)
+        top = np.array(layout.sizes, dtype=np.int64)[self.feature] + ~nodes["missing_left"]
+        self.low = low.astype(np.uint16)
+        self.span = np.where(inner, np.maximum(top - low, 0), 0).astype(np.uint16)
+
+    def right(self, bins: np.ndarray, offset: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """``bins``: all bins in one row; ``offset``: where each row begins there; ``place``: its node."""
+        index = self.feature.take(place)
+        index += offset
+        value = bins.take(index)
+        value -= self.low.take(place)
+        return value < self.span.take(place)
+
+
+def _flat(bins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All bins in one row, and where each row begins there."""
+    return np.ascontiguousarray(bins).reshape(-1).view(np.uint16), np.arange(len(bins)) * bins.shape[1]
+
+
 def goes_left(layout: Layout, bins: np.ndarray, nodes: np.ndarray, place: np.ndarray | None = None) -> np.ndarray:
     """Whether each row goes left at its node, the one at ``place`` (None: its own one); of no meaning at leaves."""
-    here = np.arange(len(bins))
-    place = here if place is None else place
-    feature = np.maximum(nodes["feature"].astype(np.int64), 0)
-    # The slot of missing values lies above all bins.
-    lost = np.where(nodes["missing_left"], np.array(layout.sizes)[feature], -1)
-    value = bins[here, feature[place]]
-    return (value <= np.ascontiguousarray(nodes["bin"])[place]) | (value == lost[place])
+    return ~Turns(layout, nodes).right(*_flat(bins), np.arange(len(bins)) if place is None else place)
 
 
 def grow(
@@ -200,7 +264,12 @@ def grow(
     while len(ids):
         split = None
         if level < spec.depth:
-            split = best_splits(setting, spec, *histograms(setting.layout, bins, place, len(ids), g, h))
+            if setting.curvature is None:
+                sums = histograms(setting.layout, bins, place, len(ids), g, h)
+            else:
+                sums = histograms(setting.layout, bins, place, len(ids), g, None)
+                sums[1] *= int(setting.curvature)
+            split = best_splits(setting, spec, *sums)
         sums = (np.bincount(place, x, len(ids)) for x in (g, h))
         nodes = node_records(setting, spec, ids, *sums, split)
         grown.append(nodes)
@@ -236,12 +305,15 @@ class Tree:
     def leaves(self, layout: Layout, bins: np.ndarray) -> np.ndarray:
         """Place of the leaf each row ends in."""
         at, ids = np.zeros(len(bins), dtype=np.int64), self.nodes["id"]
+        turns, (flat, offset) = Turns(layout, self.nodes), _flat(bins)
         for _ in range(int(ids[-1]).bit_length() - int(ids[0]).bit_length()):
-            at = np.where(goes_left(layout, bins, self.nodes, at), self.left[at], self.right[at])  # a leaf: itself
+            right = turns.right(flat, offset, at)
+            at = self.left.take(at)  # a leaf: itself; the right child stands behind the left one
+            at += right
         return at
 
     def values(self, layout: Layout, bins: np.ndarray) -> np.ndarray:
-        return self.nodes["value"][self.leaves(layout, bins)]
+        return np.ascontiguousarray(self.nodes["value"]).take(self.leaves(layout, bins))
 
 
 def binned(cuts: Sequence[np.ndarray], columns: Iterable[np.ndarray]) -> np.ndarray:
@@ -336,7 +408,7 @@ def _settings(cells: DataFrame, cuts: list[list[np.ndarray]]) -> list[Setting]:
     """Base value, units and size of every fit: one row per fit comes to the driver."""
     exact = "decimal(38,12)"
     found = {r["fit"]: r for r in cells.groupBy("fit").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.abs("y")).alias("y"), F.max("w").alias("w"),
+        F.count(F.lit(1)).alias("n"), F.max(F.abs("y")).alias("y"), F.max("w").alias("w"), F.min("w").alias("least_w"),
         F.sum((F.col("w") * F.col("y")).cast(exact)).cast("double").alias("wy"),
         F.sum(F.col("w").cast(exact)).cast("double").alias("sum_w"),
         F.max(F.exists("x", F.isnull)).alias("gap"),
@@ -354,7 +426,8 @@ def _settings(cells: DataFrame, cuts: list[list[np.ndarray]]) -> list[Setting]:
             return min(52 - room - EXACT_ROWS.bit_length(), 61 - room - int(row["n"]).bit_length())
 
         base = row["wy"] / row["sum_w"] if row["sum_w"] else 0.0
-        out.append(Setting(layout, base, bits(4 * row["w"] * row["y"]), bits(row["w"]), row["n"]))
+        out.append(Setting(layout, base, bits(4 * row["w"] * row["y"]), bits(row["w"]), row["n"],
+                           row["w"] if row["w"] == row["least_w"] else None))
     return out
 
 
@@ -411,8 +484,8 @@ def _boost_in_tasks(rows: DataFrame, settings: list[Setting], spec: Boosted) ->
     return out
 
 
-#: Rows of one fit as arrays: fit, bins, target, weight, margin.
-Block = tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+#: Rows of one fit as arrays: fit, bins, target, weight (None: the one weight all rows have), margin.
+Block = tuple[int, np.ndarray, np.ndarray, np.ndarray | None, np.ndarray]
 
 
 def _blocks(rows: DataFrame, shared: Broadcast) -> RDD:
@@ -424,6 +497,8 @@ def _blocks(rows: DataFrame, shared: Broadcast) -> RDD:
         def block(fit: int) -> pa.RecordBatch:
             part = pa.Table.from_batches(held.pop(fit))
             packed = [b"".join(part.column(1).to_pylist()), *(part.column(c).to_numpy().tobytes() for c in (2, 3, 4))]
+            if shared.value[fit].weight is not None:
+                packed[2] = b""
             return pa.RecordBatch.from_arrays(
                 [pa.array([fit], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)],
                 ["fit", "bins", "y", "w", "margin"])
@@ -440,10 +515,19 @@ def _blocks(rows: DataFrame, shared: Broadcast) -> RDD:
             yield block(i)
 
     def unpacked(row) -> Block:
+        setting = shared.value[row["fit"]]
         y, w, margin = (np.frombuffer(bytes(row[c]), dtype="<f8") for c in ("y", "w", "margin"))
-        return row["fit"], _bins_of([bytes(row["bins"])], len(shared.value[row["fit"]].layout.sizes)), y, w, margin
+        bins = _bins_of([bytes(row["bins"])], len(setting.layout.sizes))
+        return row["fit"], bins, y, w if setting.weight is None else None, margin
 
-    return rows.mapInArrow(gather, "fit int, bins binary, y binary, w binary, margin binary").rdd.map(unpacked)
+    found = rows.mapInArrow(gather, "fit int, bins binary, y binary, w binary, margin binary").rdd.map(unpacked)
+    parts = max(found.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism)
+
+    def dealt(part: int, blocks: Iterator[Block]) -> Iterator[tuple[int, Block]]:
+        return (((part + k) % parts, block) for k, block in enumerate(blocks))
+
+    # Files are of any sizes; every level waits for the task with the most rows.
+    return found.mapPartitionsWithIndex(dealt).partitionBy(parts, int).values()
 
 
 def _boost_by_levels(
@@ -537,14 +621,20 @@ def _open(ends: dict[int, list[int]]) -> tuple[list[tuple[int, int]], dict[int,
     return keys, {fit: (np.sort(np.array(ends[fit], dtype=np.int64)), k) for fit, k in first.items()}
 
 
-def _arrived(
-    setting: Setting, tree: Tree, ids: np.ndarray, bins: np.ndarray, y: np.ndarray, w: np.ndarray, margin: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the rows that end in the nodes ``ids``: the place of their node, bins, gradients and curvatures."""
-    at = tree.nodes["id"][tree.leaves(setting.layout, bins)]
-    place = np.minimum(np.searchsorted(ids, at), len(ids) - 1)
-    here = ids[place] == at
-    return place[here], bins[here], *gradients(setting, margin[here], y[here], w[here])
+def _places(tree: Tree, ids: np.ndarray) -> np.ndarray:
+    """For each node of the tree its place among ``ids``, or the number of ``ids`` if it is not there."""
+    place = np.minimum(np.searchsorted(ids, tree.nodes["id"]), len(ids) - 1)
+    return np.where(ids[place] == tree.nodes["id"], place, len(ids))
+
+
+def _measures(setting: Setting, y: np.ndarray, w: np.ndarray | None, margin: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Gradients, and curvatures if they differ."""
+    if w is not None:
+        return gradients(setting, margin, y, w)
+    g = margin - y
+    g *= setting.weight
+    g *= 2.0**setting.gradient_bits
+    return (np.rint(g, out=g),)
 
 
 def _level(
@@ -559,22 +649,35 @@ def _level(
     keys, places = _open(wide)
 
     def sums(part: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
-        totals: dict[int, list[np.ndarray]] = {}
-        for fit, *arrays in part:
+        totals: dict[int, list[list[np.ndarray]]] = {}
+        place_of = {i: _places(tree, places[i][0]) for i, tree in trees.items()}
+        for fit, bins, *arrays in part:
             if fit not in trees:
                 continue
-            setting, (ids, _) = shared.value[fit], places[fit]
-            place, bins, g, h = _arrived(setting, trees[fit], ids, *arrays)
-            new = histograms(setting.layout, bins, place, len(ids), g, h, None)
-            totals[fit] = [a + b for a, b in zip(totals[fit], new)] if fit in totals else new
-        for fit, (g, h, n) in totals.items():
-            for k in np.flatnonzero(n.any(axis=1)).tolist():
-                yield places[fit][1] + k, np.stack([g[k], h[k], n[k]])
+            setting, n_open = shared.value[fit], len(places[fit][0])
+            place = place_of[fit].take(trees[fit].leaves(setting.layout, bins))
+            measures = _measures(setting, *arrays)
+            nodes_here = n_open + 1  # the last one takes the rows that are elsewhere
+            if 2 * np.count_nonzero(place < n_open) < len(place):
+                here, nodes_here = np.flatnonzero(place < n_open), n_open
+                place, bins, *measures = (x.take(here, axis=0) for x in (place, bins, *measures))
+            new = joint_sums(setting.layout, bins, place, nodes_here, (*measures, None))
+            new = [[x[:len(x) // nodes_here * n_open] for x in pack] for pack in new]
+            if fit not in totals:
+                totals[fit] = [[x.astype(np.int64) for x in pack] for pack in new]
+            else:
+                for a, b in ((a, b) for total, pack in zip(totals[fit], new) for a, b in zip(total, pack)):
+                    np.add(a, b, out=a, casting="unsafe")  # whole numbers
+        for fit, joint in totals.items():
+            flat = flat_sums(shared.value[fit].layout, len(places[fit][0]), joint)
+            for k in np.flatnonzero(flat[-1].any(axis=1)).tolist():
+                yield places[fit][1] + k, np.stack([x[k] for x in flat])
 
     def choose(found: tuple[int, np.ndarray]) -> tuple[int, np.ndarray, int, int]:
-        (fit, node_id), (g, h, n) = keys[found[0]], found[1][:, None, :]
+        (fit, node_id), (g, *h, n) = keys[found[0]], found[1][:, None, :]
         setting = shared.value[fit]
         layout = setting.layout
+        h = h[0] if h else n * int(setting.curvature)
         split = best_splits(setting, spec, g, h)
         span = slice(layout.starts[0], layout.starts[1])
         all_g, all_h, all_n = (x[0, span].sum() for x in (g, h, n))
@@ -606,7 +709,10 @@ def _subtrees(
             if fit not in trees:
                 continue
             ids, first = places[fit]
-            place, *moved = _arrived(shared.value[fit], trees[fit], ids, *arrays)
+            setting = shared.value[fit]
+            place = _places(trees[fit], ids).take(trees[fit].leaves(setting.layout, arrays[0]))
+            here = np.flatnonzero(place < len(ids))
+            place, *moved = (x.take(here, axis=0) for x in (place, arrays[0], *_measures(setting, *arrays[1:])))
             order = np.argsort(place, kind="stable")
             cuts = np.searchsorted(place[order], np.arange(len(ids) + 1))
             for k, (a, b) in enumerate(zip(cuts.tolist(), cuts.tolist()[1:])):
@@ -615,8 +721,10 @@ def _subtrees(
 
     def finish(group: tuple[int, Iterable[tuple[np.ndarray, ...]]]) -> tuple[int, np.ndarray]:
         fit, root = keys[group[0]]
-        bins, g, h = (np.concatenate(x) for x in zip(*group[1]))
-        return fit, grow(shared.value[fit], spec, bins, g, h, root, root.bit_length() - 1)[0]
+        setting = shared.value[fit]
+        bins, g, *h = (np.concatenate(x) for x in zip(*group[1]))
+        h = h[0] if h else np.full(len(g), setting.curvature)
+        return fit, grow(setting, spec, bins, g, h, root, root.bit_length() - 1)[0]
 
     dealt = min(len(keys), 4 * blocks.getNumPartitions())
     return blocks.mapPartitions(routed).groupByKey(max(1, dealt)).map(finish).collect()

@@ -1,5 +1,7 @@
 """Boosted trees: against a plain trainer that tries every split, and against themselves grown in other ways."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 
@@ -142,3 +144,42 @@ def test_walking_all_rows_at_once_ends_in_the_right_leaves():
             left = node["missing_left"] if x == layout.sizes[node["feature"]] else x <= node["bin"]
             node = by_id[2 * int(node["id"]) + (not left)]
         assert tree.nodes["id"][leaf] == node["id"] and v == node["value"]
+
+
+def test_sums_of_packed_features_equal_plain_ones():
+    rng = np.random.default_rng(4)
+    layout = boosting.Layout((256, 4, 90, 2999, 10), True)
+    assert sorted(f for pack in layout.packs for f in pack) == [0, 1, 2, 3, 4] and max(map(len, layout.packs)) > 1
+    bins = np.stack([rng.integers(0, k + 1, 700) for k in layout.sizes], axis=1).astype(np.int16)
+    place, g = rng.integers(0, 3, 700), rng.integers(-2**40, 2**40, 700).astype(float)
+    sums, rows = boosting.histograms(layout, bins, place, 3, g, None)
+    want_sums, want_rows = np.zeros((3, layout.width)), np.zeros((3, layout.width))
+    for f, start in enumerate(layout.starts[:-1]):
+        np.add.at(want_sums, (place, start + bins[:, f]), g)
+        np.add.at(want_rows, (place, start + bins[:, f]), 1)
+    assert np.array_equal(sums, want_sums) and np.array_equal(rows, want_rows)
+
+
+def test_blocks_of_uneven_files_are_dealt_evenly_and_carry_no_equal_weights(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 50)
+    parts = [(i, np.zeros(2, "<i2").tobytes(), float(i), 0.5, 0.0) for i in range(1600)]
+    uneven = spark.sparkContext.parallelize(parts, 1).toDF("fit int, bins binary, y double, w double, margin double")
+    setting = boosting.Setting(boosting.Layout((4, 4), False), 0.0, 20, 20, 1600, 0.5)
+    shared = spark.sparkContext.broadcast([setting] * 1600)
+    blocks = boosting._blocks(uneven.selectExpr("0 as fit", "bins", "y", "w", "margin"), shared).glom().collect()
+    held = [sum(len(b[2]) for b in part) for part in blocks]
+    assert sum(held) == 1600 and len(held) >= 8 and max(held) - min(held) <= 50
+    assert sorted(y for part in blocks for b in part for y in b[2]) == list(range(1600))
+    assert all(b[3] is None for part in blocks for b in part)
+
+
+def test_equal_weights_grow_the_trees_of_listed_ones(table, monkeypatch):
+    _, _, _, df = table
+    spec, fit = Boosted(trees=3, depth=4, rate=0.3, task_rows=60), Fit(df.selectExpr("a", "b", "c", "y", "0.5 as w"), ("a", "b", "c"), "y", "w")
+    one = fit_all([fit], spec)[0]
+    known = boosting._settings
+    monkeypatch.setattr(boosting, "_settings", lambda *a: [replace(s, weight=None) for s in known(*a)])
+    other = fit_all([fit], spec)[0]
+    assert one.base == other.base
+    for p, q in zip(one.trees, other.trees):
+        assert np.array_equal(np.sort(p, order="id"), np.sort(q, order="id"))
