@@ -4,7 +4,9 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from kerbcast.llm.pitman_yor import CONTEXTS, Seating, bucket_count, endings, get, put, scored, seated, totals_of
+from kerbcast.llm.pitman_yor import (
+    CONTEXTS, Seating, WordSeating, bucket_count, endings, get, pairs_of, put, scored, seated, totals_of, word_numbers,
+)
 
 
 def base_scores(rows, learn):
@@ -120,3 +122,67 @@ def test_every_ending_is_a_context_of_its_own(documents):
     rows += [(1, pairs[0][0] + " " + pairs[0][1]), (6, pairs[0][0] + " " + pairs[1][1])]
     got = {r.doc_id: r.score for r in scored(documents(rows), F.col("doc_id") % 5 != 1).collect()}
     assert got[1] > got[6] + 3
+
+
+def test_every_preceding_word_is_a_context_of_its_own(documents):
+    # 300 words with one ending, each followed by one word only: endings alone cannot tell which.
+    pairs = [(f"w{i}ing", f"then{i}z") for i in range(300)]
+    rows = [(5 * i, " ".join(f"{a} {b}" for a, b in pairs[i::30] for _ in range(20))) for i in range(30)]
+    rows += [(1, f"{pairs[0][0]} {pairs[0][1]}"), (6, f"{pairs[0][0]} {pairs[1][1]}"), (11, f"newing {pairs[1][1]}"),
+             (16, f"newxyz {pairs[1][1]}")]
+    for size in (10**9, 200):  # few buckets without frequent words, and many buckets with some
+        got = {r.doc_id: r.score for r in scored(documents(rows), F.col("doc_id") % 5 != 1, bucket_bytes=size).collect()}
+        assert got[1] > got[6] + 1.5
+        # A word that training does not have backs off to its ending, and one with an unknown ending to all words.
+        assert got[11] > got[16]
+
+
+def test_probabilities_after_words_sum_to_one():
+    rng = np.random.default_rng(2)
+    words, contexts = 30, 12
+    ending_of = np.sort(rng.integers(0, 4, contexts))
+    pairs = [np.sort(rng.choice(contexts, rng.integers(2, 9), replace=False)) for _ in range(words)]
+    ending = [np.unique(ending_of[p], return_counts=True) for p in pairs]
+    context = np.concatenate(pairs)
+    customers = rng.integers(0, 60, len(context))
+    lengths, sizes = np.array([len(e) for e, _ in ending]), np.concatenate([n for _, n in ending])
+    seating = WordSeating(lengths, np.concatenate([e for e, _ in ending]), sizes, context, customers, 3)
+    own = np.bincount(context, weights=customers, minlength=contexts)
+    word = np.repeat(np.arange(words), [len(p) for p in pairs])
+    totals = totals_of(seating.sums(0))
+    for k in range(4):
+        there = np.bincount(context, weights=seating.tables, minlength=contexts)
+        assert totals.customers.sum() == seating.tables.sum() and totals.tables.sum() == seating.below.root_customers.sum()
+        assert (seating.tables <= customers).all() and (seating.below.tables <= seating.below.customers).all()
+        root = seating.below.root(totals)
+        unknown = totals.root_probability(np.zeros(1), np.zeros(1))
+        p = seating.probability(totals, there, own)
+        of_ending = {(w, e): x for w, e, x in zip(seating.word, seating.ending, seating.endings(totals))}
+        for u in range(contexts):
+            e, sum_ = ending_of[u], 0.0
+            back = (1.0 + totals.word_discount * there[u]) / (1.0 + own[u])
+            none = totals.probability(np.array([e]), np.zeros(1), np.zeros(1), np.ones(1))[0]
+            for w in np.flatnonzero(seating.counts > 0):
+                here = p[(word == w) & (context == u)]
+                sum_ += here[0] if len(here) else back * of_ending.get((w, e), none * root[w])
+            assert math.isclose(sum_ + back * none * unknown[0], 1, rel_tol=1e-9)
+        # Written and read again, the seating is the same.
+        again = WordSeating(lengths, seating.ending, sizes, context, customers, 3)
+        again.take(seating.put())
+        assert (again.probability(totals, there, own) == p).all()
+        seating.sweep(totals, k, there)
+        totals = totals_of(seating.sums(0), totals, k)
+
+
+def test_pairs_of_a_batch_are_whole():
+    texts = ["a b a b", "", "b a\tB", "ping thing ping"]
+    heavy = np.sort(word_numbers([b"b"]))
+    found = pairs_of(texts, np.array([1, 1, 0, 1]), 4, heavy)
+    assert found.tokens.tolist() == [5, 1, 4, 4] and found.times.sum() == 14 and found.sizes.sum() == len(found.pair)
+    want = Counter()
+    for text, learn in zip(texts, (1, 1, 0, 1)):
+        words = text.lower().encode().split() + [b""]
+        for before, word in zip([b"", *words], words):
+            want[before, word] += learn
+    assert len(found.word) == len(want) and sorted(found.customers) == sorted(want.values())
+    assert (np.diff(found.home) >= 0).all() and (found.home < 4).sum() == sum(word == b"b" for _, word in want)
