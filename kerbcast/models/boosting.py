@@ -552,7 +552,8 @@ def _boost_by_levels(
         if t % REWRITE_EVERY == 0 and t < spec.trees:
             path = fresh_path(spark, "boosting-margins")
             blocks.saveAsPickleFile(path, 1)
-            blocks = spark.sparkContext.pickleFile(path)
+            # Read back in as many tasks as before, however the files are split.
+            blocks = spark.sparkContext.pickleFile(path).coalesce(before.getNumPartitions())
         blocks.persist(StorageLevel.MEMORY_AND_DISK)
     for held in (before, blocks):
         if held is not None:
